@@ -58,6 +58,10 @@ def query(function: Query) -> Query:
     return function
 
 
+def rounded(df: DataFrame, *names: str) -> DataFrame:
+    return df.withColumns({name: F.round(name, 6) for name in names})
+
+
 def joined(column: str):
     return F.concat_ws(",", column)
 
@@ -358,12 +362,13 @@ def events_processed_rollup(spark, folder):
 
 @query
 def latency_percentiles(spark, folder):
-    return metrics.latency_percentiles(_log(spark, folder))
+    return rounded(metrics.latency_percentiles(_log(spark, folder)), "p50", "p95", "p99")
 
 
 @query
 def latency_worst_case(spark, folder):
-    return metrics.worst_latency(metrics.latency_percentiles(_log(spark, folder)))
+    worst = metrics.worst_latency(metrics.latency_percentiles(_log(spark, folder)))
+    return rounded(worst, "p50", "p95", "p99")
 
 
 @query
@@ -399,13 +404,14 @@ def _outcomes(spark, folder):
 
 @query
 def dispatch_metrics(spark, folder):
-    return metrics.dispatch_metrics(_outcomes(spark, folder))
+    return rounded(metrics.dispatch_metrics(_outcomes(spark, folder)), "p95_latency_ms")
 
 
 @query
 def query_metrics(spark, folder):
     checked, valid, items = _served(spark, folder)
-    return metrics.query_metrics(checked, reads.serve_requests(valid, items))
+    served = metrics.query_metrics(checked, reads.serve_requests(valid, items))
+    return rounded(served, "p95_latency_ms")
 
 
 def _tokens(spark, folder):

@@ -31,6 +31,8 @@ EVENT_SCHEMA = (
 READING_OF = """CASE event_type WHEN 'click' THEN 'voltage' WHEN 'view' THEN 'frequency'
   WHEN 'purchase' THEN 'current' WHEN 'error' THEN 'power_factor'
   WHEN 'signup' THEN 'temperature' END"""
+# Three digits at least; longer numbers are kept whole.
+NAME_OF = """concat('sensor-', if(u < 1000, lpad(cast(u AS string), 3, '0'), cast(u AS string)))"""
 UNIT_OF = """CASE readingType WHEN 'voltage' THEN 'V' WHEN 'frequency' THEN 'Hz'
   WHEN 'current' THEN 'A' WHEN 'power_factor' THEN 'pf' ELSE 'degC' END"""
 VALUE_OF = """round(CASE readingType
@@ -61,7 +63,7 @@ def as_readings(events: DataFrame) -> DataFrame:
             "e",
             "u",
             "event_ts",
-            "concat('sensor-', lpad(cast(u AS string), 3, '0')) AS sensorId",
+            f"{NAME_OF} AS sensorId",
             "readingType",
             f"{VALUE_OF} AS value",
             f"{UNIT_OF} AS unit",
@@ -302,7 +304,7 @@ def sensor_mappings(spark: SparkSession, folder: str) -> DataFrame:
         sensor_units(spark, folder)
         .where("u % 25 <> 0")
         .selectExpr(
-            "concat('sensor-', lpad(cast(u AS string), 3, '0')) AS sensorId",
+            f"{NAME_OF} AS sensorId",
             "concat('asset-', lpad(cast(u % 40 AS string), 2, '0')) AS assetId",
             "if(u % 2 = 0, 'voltage', 'frequency') AS metricType",
             "if(u % 2 = 0, 'V', 'Hz') AS unit",
@@ -318,7 +320,7 @@ def assets(spark: SparkSession, folder: str) -> DataFrame:
     """Assets with the sensors they claim; number 39 has no row, 38 no position."""
     grouped = (
         sensor_units(spark, folder)
-        .selectExpr("u % 40 AS a", "concat('sensor-', lpad(cast(u AS string), 3, '0')) AS sensorId")
+        .selectExpr("u % 40 AS a", f"{NAME_OF} AS sensorId")
         .where("a <> 39")
         .groupBy("a")
         .agg(F.array_sort(F.collect_set("sensorId")).alias("sensorIds"))
