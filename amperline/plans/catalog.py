@@ -31,8 +31,12 @@ from amperline.operators import (
 )
 from amperline.plans.alerting import audit_enrichment, classified_breaches, enriched_alerts
 from amperline.plans.ingest import ingest
-from amperline.session import tune
+from amperline.session import shared_folder, tune
 from amperline.sources import samples, stores, telemetry
+from amperline.streaming import acks as stream_acks
+from amperline.streaming import ingest as stream_ingest_jobs
+from amperline.streaming import jobs
+from amperline.streaming import metrics as stream_metrics
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -835,3 +839,91 @@ def sensor_specific_breaches(spark, folder):
         samples.readings(spark, folder), samples.sensor_mappings(spark, folder)
     )
     return judged.where("exceeded").select("e", "sensorId", "value", "details")
+
+
+# --- streams ---------------------------------------------------------------
+
+
+def _raw_stream(spark, folder):
+    raw = samples.as_raw(samples.as_readings(samples.event_stream(spark, folder)))
+    return raw.withColumn("arrival_ts", F.timestamp_millis("arrival_ms"))
+
+
+@query
+def stream_ingest(spark, folder):
+    jobs.use_rocksdb(spark)
+    target = stream_ingest_jobs.IngestTarget(shared_folder(spark, "ingest"))
+    stream_ingest_jobs.run_ingest(_raw_stream(spark, folder), target)
+    return spark.read.parquet(target.readings).select(
+        "sensorId", "timestamp", "readingType", "value", "unit", "gridZone"
+    )
+
+
+@query
+def stream_archive(spark, folder):
+    """Records per day, read back from the archive files."""
+    target = stream_ingest_jobs.IngestTarget(shared_folder(spark, "archive"))
+    stream_ingest_jobs.run_archive(_raw_stream(spark, folder), target)
+    schema = "event_id bigint, payload string, year string, month string, day string"
+    return (
+        spark.read.schema(schema).json(target.archive).groupBy("year", "month", "day")
+        .agg(F.count("*").alias("records"), F.sum(F.char_length("payload")).alias("payload_chars"))
+    )
+
+
+@query
+def stream_dedup(spark, folder):
+    jobs.use_rocksdb(spark)
+    root = shared_folder(spark, "dedup")
+    rows = stream_ingest_jobs.drop_redelivered_stream(_raw_stream(spark, folder))
+    kept = rows.select("shard_id", "sequence_number", "event_id")
+    jobs.run_to_end(
+        kept.writeStream.format("parquet").option("path", f"{root}/rows").outputMode("append"),
+        f"{root}/checkpoint",
+    )
+    return spark.read.parquet(f"{root}/rows")
+
+
+@query
+def stream_events_per_minute(spark, folder):
+    root = shared_folder(spark, "minutes")
+    readings = samples.as_readings(samples.event_stream(spark, folder))
+    stream_metrics.run_events_per_minute(readings, root)
+    return stream_metrics.current_counts(spark, root)
+
+
+def _alert_streams(spark, folder):
+    def found():
+        readings = samples.as_readings(samples.event_stream(spark, folder))
+        return classified_breaches(readings)
+
+    alerts = found().select("case_pk", F.unix_millis("event_ts").alias("at_ms"))
+    acked = samples.acks(found()).select("case_pk", F.col("ack_ms").alias("at_ms"))
+    return alerts, acked
+
+
+@query
+def stream_ack_escalation(spark, folder):
+    root = shared_folder(spark, "acks")
+    alerts, acked = _alert_streams(spark, folder)
+    beat = stream_acks.heartbeat_stream(spark, f"{root}/heartbeat")
+    joined_rows = stream_acks.ack_join(alerts, acked, beat)
+    jobs.run_to_end(
+        joined_rows.writeStream.format("parquet").option("path", f"{root}/rows").outputMode("append"),
+        f"{root}/checkpoint",
+    )
+    return stream_acks.first_acks(spark.read.schema(stream_acks.OUTCOMES).parquet(f"{root}/rows"))
+
+
+@query
+def stream_ack_timer(spark, folder):
+    jobs.use_rocksdb(spark)
+    root = shared_folder(spark, "timers")
+    alerts, acked = _alert_streams(spark, folder)
+    beat = stream_acks.heartbeat_stream(spark, f"{root}/heartbeat")
+    rows = stream_acks.ack_timer(alerts, acked, beat)
+    jobs.run_to_end(
+        rows.writeStream.format("parquet").option("path", f"{root}/rows").outputMode("append"),
+        f"{root}/checkpoint",
+    )
+    return spark.read.schema(stream_acks.OUTCOMES).parquet(f"{root}/rows")

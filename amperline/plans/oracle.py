@@ -773,3 +773,15 @@ FROM (SELECT r.*, CASE WHEN m.u % 2 = 0 THEN 112.0::DOUBLE + m.u % 3 ELSE 59.4::
       FROM readings r JOIN mappings m ON r.sensorId = m.sensorId
         AND r.readingType = CASE WHEN m.u % 2 = 0 THEN 'voltage' ELSE 'frequency' END)
 WHERE value < low OR value > high""")
+
+# --- streams: the same results as the batch forms ----------------------------
+
+oracle("stream_ingest", "kept", """
+SELECT sensorId, timestamp, readingType, value, unit, gridZone FROM kept""")
+ORACLE["stream_archive"] = ORACLE["archive_daily_counts"]
+oracle("stream_dedup", "raw", "SELECT DISTINCT shard_id, sequence_number, event_id FROM raw")
+oracle("stream_events_per_minute", "clean", """
+SELECT ts_ms - ts_ms % 60000 AS minute_ms, readingType, count(*) AS events FROM clean GROUP BY 1, 2""")
+oracle("stream_ack_escalation", "waited", """
+SELECT case_pk, notified_ms, ack_ms, escalated FROM waited""")
+ORACLE["stream_ack_timer"] = ORACLE["stream_ack_escalation"]

@@ -49,6 +49,15 @@ def source_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EVENT_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
+def event_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same file as a stream."""
+    return (
+        spark.readStream.schema(EVENT_SCHEMA)
+        .option("pathGlobFilter", "events.parquet")
+        .parquet(folder)
+    )
+
+
 def as_readings(events: DataFrame) -> DataFrame:
     """Clean sensor readings: one per source row, works on streams too."""
     return (

@@ -9,25 +9,26 @@ from pyspark.sql import functions as F
 ARCHIVE_ROWS_PER_FILE = 2_000_000
 
 
-def with_event_parts(df: DataFrame) -> DataFrame:
-    """Partition columns of the readings table."""
-    return df.withColumn("event_date", F.to_date("event_ts")).withColumn(
-        "event_hour", F.hour("event_ts")
-    )
+def with_event_date(df: DataFrame) -> DataFrame:
+    """Partition column of the readings table."""
+    return df.withColumn("event_date", F.to_date("event_ts"))
 
 
 def write_readings(df: DataFrame, path: str, mode: str = "append") -> None:
-    """Readings by event date and hour, sorted so that sensor ranges skip row groups.
+    """Readings by event date, sorted so that sensor ranges skip row groups.
 
-    Rows are spread by hour and sensor hash; a busy sensor of one hour is split
-    by the adaptive rebalance, which also keeps files near the advised size.
+    The rebalance brings a day's rows together and splits a large day into
+    files near the advised partition size, a busy sensor's rows included.
     """
-    parts = with_event_parts(df)
+    _write_days(with_event_date(df), path, mode)
+
+
+def _write_days(rows: DataFrame, path: str, mode: str) -> None:
     (
-        parts.hint("rebalance", "event_date", "event_hour")
-        .sortWithinPartitions("event_date", "event_hour", "sensorId", "event_ts")
+        rows.hint("rebalance", "event_date")
+        .sortWithinPartitions("event_date", "sensorId", "event_ts")
         .write.mode(mode)
-        .partitionBy("event_date", "event_hour")
+        .partitionBy("event_date")
         .parquet(path)
     )
 
@@ -97,14 +98,7 @@ def rewrite_day(spark: SparkSession, source: str, target: str, day: str) -> None
     The source is left alone: readers switch over once the copy is complete.
     """
     rows = spark.read.parquet(source).where(F.col("event_date") == F.lit(day).cast("date"))
-    (
-        rows.drop("batch_id")
-        .hint("rebalance", "event_date", "event_hour")
-        .sortWithinPartitions("event_date", "event_hour", "sensorId", "event_ts")
-        .write.mode("append")
-        .partitionBy("event_date", "event_hour")
-        .parquet(target)
-    )
+    _write_days(rows.drop("batch_id"), target, "append")
 
 
 def write_outbox(messages: DataFrame, path: str) -> None:
