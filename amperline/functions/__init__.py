@@ -2,7 +2,7 @@
 
 from amperline.functions.checks import codes, datetime_ok, matches, name_ok
 from amperline.functions.keys import case_key, expiry_seconds, reading_key
-from amperline.functions.text import number_text, short_digest
+from amperline.functions.text import number_literal, number_sql, number_text
 from amperline.functions.times import (
     epoch_ms,
     from_ms,
@@ -22,8 +22,9 @@ __all__ = [
     "matches",
     "minute_ms",
     "name_ok",
+    "number_literal",
+    "number_sql",
     "number_text",
     "parse_time",
     "reading_key",
-    "short_digest",
 ]

@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amperline.functions import short_digest
 from amperline.operators.payloads import channel_subject
 
 # Channels that have a handler.  The list is part of the plan, so adding a
@@ -41,20 +40,6 @@ def channel_input(df: DataFrame) -> DataFrame:
     )
 
 
-def stub_case_id(channel: Column, case_pk: Column, attempt_ms: Column) -> Column:
-    """Id of a stand-in adapter; equal attempts get equal ids."""
-    mark = short_digest(F.concat(case_pk, F.lit("#"), channel))
-    return F.concat(F.lit("MOCK-"), channel, F.lit("-"), attempt_ms.cast("string"), F.lit("-"), mark)
-
-
-def early_skip(handlers: Sequence[str]) -> Column:
-    """Skip reasons that do not depend on earlier attempts, in their order."""
-    empty = F.coalesce(F.col("narrative") == "", F.lit(True))
-    return F.when(empty, F.lit("narrative_missing")).when(
-        ~F.col("channel").isin(*handlers), F.lit("no_handler_registered")
-    )
-
-
 def dispatch_outcomes(attempts: DataFrame, handlers: Sequence[str] = HANDLERS) -> DataFrame:
     """Delivered, failed or skipped for every attempt.
 
@@ -62,32 +47,38 @@ def dispatch_outcomes(attempts: DataFrame, handlers: Sequence[str] = HANDLERS) -
     first delivery of a case and channel is found by an aggregate, so a case
     with endless retries is no single group; later attempts are skipped.
     """
-    reasoned = attempts.withColumn("early", early_skip(handlers))
-    key = ["case_pk", "channel"]
-    delivered = F.col("early").isNull() & (F.col("adapter_status") == "delivered")
-    first = (
-        reasoned.where(delivered).groupBy(*key).agg(F.min("attempt_no").alias("delivered_at"))
+    known = ", ".join(f"'{name}'" for name in handlers)
+    reasoned = attempts.selectExpr(
+        "*",
+        f"""CASE WHEN coalesce(narrative, '') = '' THEN 'narrative_missing'
+          WHEN channel NOT IN ({known}) THEN 'no_handler_registered' END AS early""",
     )
-    joined = reasoned.join(first, key, "left")
-    repeated = F.coalesce(F.col("attempt_no") > F.col("delivered_at"), F.lit(False))
-    reason = F.coalesce(F.col("early"), F.when(repeated, F.lit("retry_already_delivered")))
-    sent = joined.withColumn("skip_reason", reason).withColumn(
-        "kind",
-        F.when(F.col("skip_reason").isNotNull(), F.lit("skipped")).otherwise(F.col("adapter_status")),
+    first = (
+        reasoned.where("early IS NULL AND adapter_status = 'delivered'")
+        .groupBy("case_pk", "channel")
+        .agg(F.min("attempt_no").alias("delivered_at"))
     )
-    is_sms, done = F.col("channel") == "sms", F.col("kind") == "delivered"
-    stub = stub_case_id(F.col("channel"), F.col("case_pk"), F.col("attempt_ms"))
-    mail = F.concat(
-        F.lit("msg-"), short_digest(F.concat_ws("#", "case_pk", F.col("attempt_no").cast("string")), 12)
+    joined = reasoned.join(first, ["case_pk", "channel"], "left")
+    sent = joined.selectExpr(
+        "*",
+        """coalesce(early, if(attempt_no > delivered_at, 'retry_already_delivered', NULL))
+          AS skip_reason""",
+    ).selectExpr("*", "if(skip_reason IS NULL, adapter_status, 'skipped') AS kind")
+    # A stand-in adapter has no outside id: its own is made from the case and
+    # the attempt, so equal attempts get equal ids.
+    identified = sent.selectExpr(
+        "*",
+        """CASE kind WHEN 'failed' THEN '' WHEN 'delivered' THEN if(channel = 'sms',
+            concat('MOCK-sms-', cast(attempt_ms AS string), '-',
+              substring(sha2(concat(case_pk, '#', channel), 256), 1, 6)),
+            concat('msg-', substring(sha2(concat(case_pk, '#', cast(attempt_no AS string)), 256), 1, 12)))
+          END AS case_id""",
     )
-    return sent.select(
-        "case_pk", "channel", "attempt_no", "attempt_ms", "severity", "kind", "skip_reason",
-        F.when(done, F.when(is_sms, stub).otherwise(mail))
-        .when(F.col("kind") == "failed", F.lit(""))
-        .alias("case_id"),
-        F.when(done & is_sms, F.concat(F.lit(SMS_LOG), stub)).alias("external_url"),
-        F.when(F.col("kind") == "failed", F.col("error")).alias("error"),
-        F.when(F.col("kind") != "skipped", F.col("latency_ms")).alias("latency_ms"),
+    return identified.selectExpr(
+        "case_pk", "channel", "attempt_no", "attempt_ms", "severity", "kind", "skip_reason", "case_id",
+        f"if(kind = 'delivered' AND channel = 'sms', concat('{SMS_LOG}', case_id), NULL) AS external_url",
+        "if(kind = 'failed', error, NULL) AS error",
+        "if(kind = 'skipped', NULL, latency_ms) AS latency_ms",
     )
 
 

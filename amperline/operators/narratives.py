@@ -24,16 +24,15 @@ def selected_text() -> Column:
 
 def narratives(plans: DataFrame) -> DataFrame:
     """One text per selected channel, null for the others."""
-    email = F.concat(
-        F.col("severity"), F.lit(" breach on "), F.col("sensorId"), F.lit(" ("), zone_text(),
-        F.lit(") at "), F.col("timestamp"), F.lit(": "), F.col("details"), F.lit(". "),
-        F.col("reasoning"), F.lit(" Notified by "), selected_text(), F.lit("."),
-    )
-    sms = F.concat(F.col("severity"), F.lit(" "), F.col("sensorId"), F.lit(" "), F.col("details"))
-    return plans.select(
+    zone = "coalesce(gridZone, 'unknown')"
+    selected = "concat_ws(', ', if(email, 'email', NULL), if(sms, 'sms', NULL))"
+    return plans.selectExpr(
         "*",
-        F.when(F.col("email"), F.substring(email, 1, EMAIL_LENGTH[1])).alias("email_text"),
-        F.when(F.col("sms"), F.substring(sms, 1, SMS_LENGTH[1])).alias("sms_text"),
+        f"""if(email, substring(concat(severity, ' breach on ', sensorId, ' (', {zone}, ') at ',
+          timestamp, ': ', details, '. ', reasoning, ' Notified by ', {selected}, '.'),
+          1, {EMAIL_LENGTH[1]}), NULL) AS email_text""",
+        f"""if(sms, substring(concat(severity, ' ', sensorId, ' ', details), 1, {SMS_LENGTH[1]}), NULL)
+          AS sms_text""",
     )
 
 
@@ -63,11 +62,11 @@ def prompt_texts(plans: DataFrame) -> DataFrame:
     subject = [
         F.concat(F.lit("Sensor: "), F.col("sensorId")),
         F.concat(F.lit("Reading type: "), F.col("readingType")),
-        F.concat(F.lit("Value: "), number_text(F.col("value")), F.lit(" "), F.col("unit")),
+        F.concat(F.lit("Value: "), number_text("value"), F.lit(" "), F.col("unit")),
         F.concat(F.lit("Timestamp: "), F.col("timestamp")),
         F.concat(F.lit("Grid zone: "), zone_text()),
     ]
-    confidence = number_text(F.col("confidence"))
+    confidence = number_text("confidence")
     selected = selected_text()
     return plans.select(
         "*",

@@ -39,14 +39,11 @@ def baseline_routing(
     classified: DataFrame, matrix: Mapping[str, tuple[str, ...]] = BASELINE
 ) -> DataFrame:
     """One boolean column per channel.  The matrix is a constant of the plan."""
-    tier = F.col("severity")
-    columns = [
-        F.when(tier.isNull(), F.lit(None)).otherwise(
-            tier.isin(*[name for name, used in matrix.items() if channel in used])
-        ).alias(channel)
-        for channel in CHANNELS
-    ]
-    return classified.select("*", *columns)
+    def used_by(channel: str) -> str:
+        tiers = ", ".join(f"'{name}'" for name, used in matrix.items() if channel in used)
+        return f"severity IN ({tiers or 'NULL'}) AS {channel}"
+
+    return classified.selectExpr("*", *[used_by(channel) for channel in CHANNELS])
 
 
 def recurrence(breaches: DataFrame, seconds: int = 1800) -> DataFrame:
@@ -122,45 +119,29 @@ def cascade_size(breaches: DataFrame, seconds: int = 900, slide: int = 300) -> D
     )
 
 
-def quiet_hours(ts: Column, start: int, end: int) -> Column:
-    hour = F.hour(ts)
-    inside = (hour >= start) | (hour < end) if start > end else (hour >= start) & (hour < end)
-    return inside
-
-
 def routing_plan(classified: DataFrame, signals: Signals = Signals()) -> DataFrame:
     """Baseline channels, raised to sms where a context signal asks for it."""
     base = baseline_routing(classified)
     with_recent = recurrence(base, signals.recurrence_seconds)
     with_all = cascade_size(with_recent, signals.cascade_seconds, signals.cascade_slide)
-    repeated = F.col("recent_breaches") >= signals.recurrence_count
-    cascading = F.coalesce(F.col("cascade_sensors") >= signals.cascade_sensors, F.lit(False))
-    quiet = quiet_hours(F.col("event_ts"), signals.quiet_from, signals.quiet_until) & F.col(
-        "severity"
-    ).isin(*signals.quiet_tiers)
-    override = ~F.col("sms") & (repeated | cascading | quiet)
-    reason = F.concat_ws(
-        "; ",
-        F.when(
-            repeated,
-            F.concat(
-                F.col("recent_breaches").cast("string"),
-                F.lit(f" breaches of this sensor in {signals.recurrence_seconds // 60} minutes"),
-            ),
-        ),
-        F.when(
-            cascading,
-            F.concat(
-                F.col("cascade_sensors").cast("string"),
-                F.lit(f" sensors of the zone breached within {signals.cascade_seconds // 60} minutes"),
-            ),
-        ),
-        F.when(quiet, F.lit("breach outside staffed hours")),
-    )
-    return (
-        with_all.withColumn("override_applied", override)
-        .withColumn("override_reason", F.when(override, reason))
-        .withColumn("sms", F.col("sms") | override)
+    tiers = ", ".join(f"'{tier}'" for tier in signals.quiet_tiers)
+    either = "OR" if signals.quiet_from > signals.quiet_until else "AND"
+    signalled = with_all.selectExpr(
+        "*",
+        f"recent_breaches >= {signals.recurrence_count} AS _repeated",
+        f"coalesce(cascade_sensors >= {signals.cascade_sensors}, false) AS _cascading",
+        f"""severity IN ({tiers}) AND (hour(event_ts) >= {signals.quiet_from}
+          {either} hour(event_ts) < {signals.quiet_until}) AS _quiet""",
+    ).selectExpr("*", "NOT sms AND (_repeated OR _cascading OR _quiet) AS override_applied")
+    return signalled.selectExpr(
+        "* EXCEPT (sms, _repeated, _cascading, _quiet)",
+        "sms OR override_applied AS sms",
+        f"""if(override_applied, concat_ws('; ',
+          if(_repeated, concat(cast(recent_breaches AS string),
+            ' breaches of this sensor in {signals.recurrence_seconds // 60} minutes'), NULL),
+          if(_cascading, concat(cast(cascade_sensors AS string),
+            ' sensors of the zone breached within {signals.cascade_seconds // 60} minutes'), NULL),
+          if(_quiet, 'breach outside staffed hours', NULL)), NULL) AS override_reason""",
     )
 
 

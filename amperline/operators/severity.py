@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amperline.functions import codes, number_text
+from amperline.functions import codes, number_sql
 
 TIERS = ("P0", "P1", "P2", "P3")
 
@@ -22,62 +22,45 @@ MARGIN: Mapping[str, float] = {"frequency": 0.05, "voltage": 0.4}
 CLEAR, UNSURE = 0.95, 0.7
 
 
-def deviation() -> Column:
-    """Distance outside the broken bound, from the columns of ``evaluate``."""
-    value = F.col("value")
-    return F.round(
-        F.coalesce(F.col("broken_min") - value, value - F.col("broken_max")), 6
-    )
-
-
-def _by_type(build) -> Column:
-    column = F.lit(None)
-    for name in sorted(EDGES):
-        column = F.when(F.col("readingType") == name, build(name)).otherwise(column)
-    return column
+def _by_type(build) -> str:
+    cases = " ".join(f"WHEN '{name}' THEN {build(name)}" for name in sorted(EDGES))
+    return f"CASE readingType {cases} END"
 
 
-def _tier(name: str) -> Column:
+def _tier(name: str) -> str:
     top, high, mid = EDGES[name]
-    gap = F.col("deviation")
     return (
-        F.when(gap > top, F.lit("P0"))
-        .when(gap >= high, F.lit("P1"))
-        .when(gap >= mid, F.lit("P2"))
-        .otherwise(F.lit("P3"))
+        f"CASE WHEN deviation > {top}D THEN 'P0' WHEN deviation >= {high}D THEN 'P1'"
+        f" WHEN deviation >= {mid}D THEN 'P2' ELSE 'P3' END"
     )
 
 
-def _confidence(name: str) -> Column:
-    gap = F.col("deviation")
-    near = F.lit(False)
-    for edge in EDGES[name]:
-        near = near | (F.round(F.abs(gap - edge), 6) <= MARGIN[name])
-    return F.when(near, F.lit(UNSURE)).otherwise(F.lit(CLEAR))
+def _confidence(name: str) -> str:
+    gaps = ", ".join(f"round(abs(deviation - {edge}D), 6)" for edge in EDGES[name])
+    return f"if(least({gaps}) <= {MARGIN[name]}D, {UNSURE}D, {CLEAR}D)"
 
 
 def classify(breaches: DataFrame) -> DataFrame:
-    """Add tier, confidence and reasoning to rows that ``evaluate`` flagged.
+    """Add deviation, tier, confidence and reasoning to rows that ``evaluate`` flagged.
 
-    Rows that are no breach get nulls: they take the fallback path.
+    The deviation is the distance outside the broken bound.  Rows that are no
+    breach get nulls: they take the fallback path.
     """
-    sized = breaches.withColumn("deviation", F.when(F.col("exceeded"), deviation()))
-    known = F.col("deviation").isNotNull()
-    tiered = sized.select(
-        "*",
-        F.when(known, _by_type(_tier)).alias("severity"),
-        F.when(known, _by_type(_confidence)).alias("confidence"),
+    sized = breaches.selectExpr(
+        "*", "round(coalesce(broken_min - value, value - broken_max), 6) AS deviation"
     )
-    side = F.when(F.col("broken_min").isNotNull(), F.lit("below min ")).otherwise(
-        F.lit("above max ")
+    tiered = sized.selectExpr(
+        "*",
+        f"if(deviation IS NULL, NULL, {_by_type(_tier)}) AS severity",
+        f"if(deviation IS NULL, NULL, {_by_type(_confidence)}) AS confidence",
     )
-    limit = F.coalesce("broken_min", "broken_max")
-    reasoning = F.concat(
-        F.col("readingType"), F.lit(" of "), number_text(F.col("value")), F.col("unit"),
-        F.lit(" is "), number_text(F.col("deviation")), F.col("unit"), F.lit(" "),
-        side, number_text(limit), F.lit("; tier "), F.col("severity"), F.lit("."),
+    return tiered.selectExpr(
+        "*",
+        f"""concat(readingType, ' of ', {number_sql('value')}, unit, ' is ',
+          {number_sql('deviation')}, unit,
+          if(broken_min IS NOT NULL, ' below min ', ' above max '),
+          {number_sql('coalesce(broken_min, broken_max)')}, '; tier ', severity, '.') AS reasoning""",
     )
-    return tiered.withColumn("reasoning", reasoning)
 
 
 def answer_errors(severity: Column, confidence: Column, reasoning: Column) -> Column:

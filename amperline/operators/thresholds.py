@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amperline.functions import number_text
+from amperline.functions import number_literal, number_sql
 
 Bounds = Mapping[str, tuple[float, float]]
 
@@ -15,56 +15,56 @@ Bounds = Mapping[str, tuple[float, float]]
 DEFAULT_BOUNDS: Bounds = {"frequency": (59.5, 60.5), "voltage": (114.0, 126.0)}
 
 
-def by_type(reading_type: Column, values: Mapping[str, float]) -> Column:
-    """Constant per reading type, null where there is none.
+def constant_by_type(values: Mapping[str, str]) -> str:
+    """SQL for one constant per reading type, null where there is none.
 
     Bounds are part of the plan, so evaluation stays in the scan stage and takes
     no join.
     """
-    column = F.lit(None).cast("double")
-    for name, value in sorted(values.items()):
-        column = F.when(reading_type == name, F.lit(float(value))).otherwise(column)
-    return column
+    cases = " ".join(f"WHEN '{name}' THEN {value}" for name, value in sorted(values.items()))
+    return f"CASE readingType {cases} END"
 
 
-def is_breach(reading_type: Column, value: Column, bounds: Bounds = DEFAULT_BOUNDS) -> Column:
+def is_breach(bounds: Bounds = DEFAULT_BOUNDS) -> Column:
     """The one definition of a breach; false for types without bounds."""
-    hit = F.lit(False)
-    for name, (low, high) in sorted(bounds.items()):
-        hit = hit | ((reading_type == name) & ((value < float(low)) | (value > float(high))))
-    return F.coalesce(hit, F.lit(False))
-
-
-def judge(df: DataFrame, low: Column, high: Column, low_text: Column, high_text: Column) -> DataFrame:
-    """Compare ``value`` with bound columns; bounds themselves are in range."""
-    value = F.col("value")
-    below = F.coalesce(value < low, F.lit(False))
-    above = F.coalesce(value > high, F.lit(False)) & ~below
-    known = low.isNotNull() & high.isNotNull()
-    rest = (
-        F.when(below, F.concat(F.lit(" below min "), low_text))
-        .when(above, F.concat(F.lit(" above max "), high_text))
-        .otherwise(F.concat(F.lit(" within ["), low_text, F.lit(", "), high_text, F.lit("]")))
+    tests = " OR ".join(
+        f"(readingType = '{name}' AND (value < {float(low)}D OR value > {float(high)}D))"
+        for name, (low, high) in sorted(bounds.items())
     )
-    details = F.when(
-        known,
-        F.concat(F.col("readingType"), F.lit("="), number_text(value), F.col("unit"), rest),
-    ).otherwise(F.concat(F.col("readingType"), F.lit(": no threshold configured")))
-    return df.select(
-        "*",
-        (below | above).alias("exceeded"),
-        details.alias("details"),
-        F.when(below, low).alias("broken_min"),
-        F.when(above, high).alias("broken_max"),
+    return F.expr(f"coalesce({tests}, false)")
+
+
+def judge(df: DataFrame, low_text: str, high_text: str) -> DataFrame:
+    """Compare ``value`` with the columns ``low`` and ``high``, which are dropped.
+
+    The bounds themselves are in range.  A null bound means there is none.
+    """
+    shown = f"concat(readingType, '=', {number_sql('value')}, unit"
+    return df.selectExpr(
+        "* EXCEPT (low, high)",
+        "coalesce(value < low OR value > high, false) AS exceeded",
+        f"""CASE WHEN low IS NULL OR high IS NULL THEN concat(readingType, ': no threshold configured')
+          ELSE {shown}, CASE WHEN value < low THEN concat(' below min ', {low_text})
+            WHEN value > high THEN concat(' above max ', {high_text})
+            ELSE concat(' within [', {low_text}, ', ', {high_text}, ']') END) END AS details""",
+        "CASE WHEN value < low THEN low END AS broken_min",
+        "CASE WHEN value > high AND NOT coalesce(value < low, false) THEN high END AS broken_max",
     )
 
 
 def evaluate(df: DataFrame, bounds: Bounds = DEFAULT_BOUNDS) -> DataFrame:
     """Add ``exceeded``, ``details`` and the broken bound to each reading."""
-    kind = F.col("readingType")
-    low = by_type(kind, {name: pair[0] for name, pair in bounds.items()})
-    high = by_type(kind, {name: pair[1] for name, pair in bounds.items()})
-    return judge(df, low, high, number_text(low), number_text(high))
+    def pick(side: int, form) -> str:
+        return constant_by_type({name: form(pair[side]) for name, pair in bounds.items()})
+
+    def number(value: float) -> str:
+        return f"{float(value)}D"
+
+    def text(value: float) -> str:
+        return f"'{number_literal(value)}'"
+
+    bounded = df.selectExpr("*", f"{pick(0, number)} AS low", f"{pick(1, number)} AS high")
+    return judge(bounded, pick(0, text), pick(1, text))
 
 
 def evaluate_per_sensor(
@@ -83,5 +83,4 @@ def evaluate_per_sensor(
         F.col(f"{range_column}.max").alias("high"),
     )
     joined = df.join(wanted, ["sensorId", "readingType"], "left")
-    low, high = F.col("low"), F.col("high")
-    return judge(joined, low, high, number_text(low), number_text(high)).drop("low", "high")
+    return judge(joined, number_sql("low"), number_sql("high"))

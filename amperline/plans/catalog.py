@@ -233,8 +233,7 @@ def threshold_alert_rule(spark, folder):
     checked = validation.validate(
         telemetry.route(samples.raw_telemetry(spark, folder)), sensor="partition_key"
     )
-    hit = thresholds.is_breach(F.col("readingType"), F.col("value"))
-    return checked.where(hit).select(
+    return checked.where(thresholds.is_breach()).select(
         "event_id", "copy", "readingType", "value", (F.size("errors") == 0).alias("passes_validation")
     )
 

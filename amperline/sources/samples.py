@@ -49,6 +49,17 @@ def source_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EVENT_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
+def spread(scan: DataFrame, key: str) -> DataFrame:
+    """Give a scan of a single task to all cores before heavy parsing.
+
+    One scan task reads one file split at most, so this never moves a large
+    table; a scan of several tasks is left as it is.
+    """
+    if scan.rdd.getNumPartitions() > 1:
+        return scan
+    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same file as a stream."""
     return (
@@ -131,7 +142,7 @@ def as_raw(readings: DataFrame) -> DataFrame:
 
 
 def raw_telemetry(spark: SparkSession, folder: str) -> DataFrame:
-    return as_raw(clean_events(spark, folder))
+    return as_raw(spread(clean_events(spark, folder), "e"))
 
 
 def readings(spark: SparkSession, folder: str) -> DataFrame:
