@@ -73,33 +73,44 @@ def check_requests(requests: DataFrame) -> DataFrame:
 def _needed_blocks(requests: DataFrame, readings: DataFrame, block_seconds: int) -> DataFrame:
     """For each request the time blocks that can hold one of its rows.
 
-    Blocks are counted once per sensor.  Going back from the newest block, a
-    request needs blocks until those that lie wholly inside its range hold
-    ``limit`` rows; edge blocks count as nothing, so no needed block is missed.
+    Blocks are counted once per sensor and kept as one array with the number of
+    newer rows, so its length is bounded by the stored time and not by the rows.
+    Going back from the newest block, a request needs blocks until those that
+    lie wholly inside its range hold ``limit`` rows; edge blocks count as
+    nothing, so no needed block is missed.  Only needed blocks become rows.
     """
     per_block = readings.groupBy(
         "sensorId", F.floor(F.unix_seconds("event_ts") / block_seconds).alias("block")
-    ).agg(F.count("*").alias("rows_in_block"))
-    low = F.floor(F.unix_seconds("from_ts") / block_seconds)
-    high = F.floor(F.unix_seconds("to_ts") / block_seconds)
-    block = F.col("block")
-    paired = requests.join(per_block, "sensorId").where(
-        (F.col("from_ts").isNull() | (block >= low)) & (F.col("to_ts").isNull() | (block <= high))
-    )
-    inside = F.when(
-        (F.col("from_ts").isNull() | (block > low)) & (F.col("to_ts").isNull() | (block < high)),
-        F.col("rows_in_block"),
-    ).otherwise(0)
+    ).agg(F.count("*").alias("n"))
     newer = (
-        Window.partitionBy("request_id")
-        .orderBy(block.desc())
+        Window.partitionBy("sensorId")
+        .orderBy(F.col("block").desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    sure = F.coalesce(F.sum(inside).over(newer), F.lit(0))
+    profile = (
+        per_block.withColumn("newer", F.coalesce(F.sum("n").over(newer), F.lit(0)))
+        .groupBy("sensorId")
+        .agg(F.collect_list(F.struct("block", "n", "newer")).alias("blocks"))
+    )
+    bounded = requests.select(
+        "*",
+        F.floor(F.unix_seconds("from_ts") / block_seconds).alias("low"),
+        F.floor(F.unix_seconds("to_ts") / block_seconds).alias("high"),
+    ).join(profile, "sensorId")
+    # Rows from the upper edge block on: they do not count towards the limit.
+    beyond = F.expr(
+        "coalesce(array_max(transform(filter(blocks, b -> b.block >= high),"
+        " b -> b.newer + b.n)), 0)"
+    )
+    needed = F.expr(
+        "transform(filter(blocks, b -> (low IS NULL OR b.block >= low)"
+        " AND (high IS NULL OR b.block <= high)"
+        " AND (limit IS NULL OR b.newer - beyond < limit)), b -> b.block)"
+    )
     return (
-        paired.withColumn("sure", sure)
-        .where(F.col("limit").isNull() | (F.col("sure") < F.col("limit")))
-        .drop("sure", "rows_in_block")
+        bounded.withColumn("beyond", beyond)
+        .withColumn("block", F.explode(needed))
+        .drop("blocks", "beyond", "low", "high")
     )
 
 

@@ -55,10 +55,12 @@ WIDE = routing.Signals(
 
 
 def query(function: Query) -> Query:
+    """Register a function under its name; a trailing underscore is left out."""
+
     def run(spark: SparkSession, folder: str) -> DataFrame:
         return function(tune(spark), folder)
 
-    QUERIES[function.__name__] = run
+    QUERIES[function.__name__.rstrip("_")] = run
     return function
 
 
@@ -122,12 +124,13 @@ def escalation_projection(spark, folder):
     ).otherwise(F.col("payload"))
     states = events.select("event_id", "copy", state.alias("state"))
     strict = validation.validate(states, "state").select(
-        "event_id", "copy", F.size("errors").alias("strict_errors")
+        "event_id", "copy", "state", F.size("errors").alias("strict_errors")
     )
-    projected = validation.validate(validation.escalation_event(states), "payload").select(
-        "event_id", "copy", "sensorId", "readingType", "value", joined("errors").alias("errors")
+    projected = validation.validate(validation.escalation_event(strict))
+    return projected.select(
+        "event_id", "copy", "sensorId", "readingType", "value",
+        joined("errors").alias("errors"), "strict_errors",
     )
-    return projected.join(strict, ["event_id", "copy"])
 
 
 @query
@@ -553,7 +556,7 @@ def audit_routing_plans(spark, folder):
 
 
 @query
-def narrative_texts(spark, folder):
+def narratives_(spark, folder):
     told = enriched_alerts(samples.readings(spark, folder), signals=WIDE)
     return told.select("e", "email_text", "sms_text")
 

@@ -618,7 +618,7 @@ GROUP BY 1, 2""")
 oracle("routing_plan", "planned", """
 SELECT e, severity, email, sms, override_applied, override_reason FROM planned""")
 oracle("audit_routing_plans", "audited", "SELECT e, plan_errors AS errors FROM audited")
-oracle("narrative_texts", "told", "SELECT e, email_text, sms_text FROM told")
+oracle("narratives", "told", "SELECT e, email_text, sms_text FROM told")
 oracle("audit_narratives", "audited", "SELECT e, text_errors AS errors FROM audited")
 
 _SUBJECT = f"""'Sensor: ' || sensorId || chr(10) || 'Reading type: ' || readingType || chr(10)

@@ -119,12 +119,20 @@ def store_batch(target: IngestTarget):
             write_batch(
                 new.select(*READING_COLUMNS, "event_date"), target.readings, batch_id, "event_date"
             )
-            written = read_or_empty(spark, target.readings, STORED_KEYS).where(
-                F.col("batch_id") == batch_id
-            ).agg(F.count("*").alias("kept"))
-            counts = batch.agg(
-                F.count("*").alias("records"), F.count_if(~ok).alias("rejected")
-            ).crossJoin(written)
+            # What was stored is read back from this batch's own partitions, so the
+            # number is right after a lost executor or a replay too.
+            written = read_or_empty(
+                spark, target.readings, STORED_KEYS, [f"event_date=*/batch_id={batch_id}"]
+            )
+            seen = batch.select(
+                F.lit(1).alias("records"), (~ok).cast("int").alias("rejected"), F.lit(0).alias("kept")
+            )
+            stored_rows = written.select(
+                F.lit(0).alias("records"), F.lit(0).alias("rejected"), F.lit(1).alias("kept")
+            )
+            counts = seen.unionByName(stored_rows).agg(
+                *[F.sum(name).alias(name) for name in ("records", "rejected", "kept")]
+            )
             write_batch(
                 counts.withColumn("duplicates", F.expr("records - rejected - kept")),
                 target.counts, batch_id,
