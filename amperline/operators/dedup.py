@@ -100,23 +100,25 @@ def with_previous(
     """``lag`` of a column per key without putting a whole key into one task.
 
     ``block`` numbers stretches of the order.  A window runs within key and
-    block; the last value of each block, one row, is carried to the next block
-    that has rows.
+    block.  Only the first row of a block lacks its predecessor; it is found
+    among the first and last rows of all blocks, at most two per block.  Both
+    parts read the same shuffle, so the input is computed once.
     """
-    cut = df.withColumn("_block", block)
     within = Window.partitionBy(key, "_block").orderBy(*order)
-    local = cut.withColumn("_before", F.lag(value).over(within)).withColumn(
-        "_first", F.row_number().over(within) == 1
+    local = df.withColumn("_block", block).select(
+        "*",
+        F.lag(value).over(within).alias(name),
+        (F.row_number().over(within) == 1).alias("_first"),
+        F.lead(F.lit(1)).over(within).isNull().alias("_last"),
     )
-    ends = cut.groupBy(key, "_block").agg(
-        F.max_by(F.col(value), F.struct(*order)).alias("_end")
+    helpers = ("_block", "_first", "_last")
+    across = Window.partitionBy(key).orderBy("_block", *order)
+    edges = local.where("_first OR _last").withColumn(name, F.lag(value).over(across))
+    return (
+        local.where("NOT _first")
+        .drop(*helpers)
+        .unionByName(edges.where("_first").drop(*helpers))
     )
-    across = Window.partitionBy(key).orderBy("_block")
-    carried = ends.select(key, "_block", F.lag("_end").over(across).alias("_carried"))
-    joined = local.join(carried, [key, "_block"], "left")
-    return joined.withColumn(
-        name, F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_before"))
-    ).drop("_block", "_before", "_first", "_carried")
 
 
 def out_of_order(df: DataFrame, block_ms: int = 3_600_000) -> DataFrame:

@@ -206,9 +206,13 @@ def alert_history(
 
 
 def latest_readings(readings: DataFrame) -> DataFrame:
-    """Newest value and last-seen time per sensor and reading type."""
+    """Newest value and last-seen time per sensor and reading type.
+
+    Both aggregates have fixed-width buffers, so this is a hash aggregate that
+    sends one row per sensor and type out of each task.
+    """
     return readings.groupBy("sensorId", "readingType").agg(
-        F.max_by("value", F.struct("event_ts", "value")).alias("current_value"),
+        F.max_by("value", "event_ts").alias("current_value"),
         F.max(F.unix_millis("event_ts")).alias("last_seen_ms"),
     )
 

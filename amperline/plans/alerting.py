@@ -10,6 +10,7 @@ from amperline.operators.narratives import audit_narratives, narratives
 from amperline.operators.routing import Signals, audit_plans, routing_plan
 from amperline.operators.severity import answer_errors, classify
 from amperline.operators.thresholds import DEFAULT_BOUNDS, Bounds, evaluate
+from amperline.session import stored
 
 
 def classified_breaches(readings: DataFrame, bounds: Bounds = DEFAULT_BOUNDS) -> DataFrame:
@@ -19,11 +20,19 @@ def classified_breaches(readings: DataFrame, bounds: Bounds = DEFAULT_BOUNDS) ->
     )
 
 
+def enrich_breaches(breaches: DataFrame, signals: Signals = Signals()) -> DataFrame:
+    """Classified breaches with routing plan and channel texts.
+
+    The signals look at the breaches three times, so hand in a stored table.
+    """
+    return narratives(routing_plan(breaches, signals))
+
+
 def enriched_alerts(
     readings: DataFrame, bounds: Bounds = DEFAULT_BOUNDS, signals: Signals = Signals()
 ) -> DataFrame:
-    """Breaches with tier, routing plan and channel texts."""
-    return narratives(routing_plan(classified_breaches(readings, bounds), signals))
+    """From readings to alerts; the breaches are stored in between, read from one scan."""
+    return enrich_breaches(stored(classified_breaches(readings, bounds), "breaches"), signals)
 
 
 def audit_enrichment(answers: DataFrame) -> DataFrame:

@@ -29,9 +29,9 @@ from amperline.operators import (
     validation,
     workflow,
 )
-from amperline.plans.alerting import audit_enrichment, classified_breaches, enriched_alerts
+from amperline.plans.alerting import audit_enrichment, classified_breaches, enrich_breaches
 from amperline.plans.ingest import ingest
-from amperline.session import shared_folder, tune
+from amperline.session import shared_folder, stored, tune
 from amperline.sources import samples, stores, telemetry
 from amperline.streaming import acks as stream_acks
 from amperline.streaming import ingest as stream_ingest_jobs
@@ -68,6 +68,14 @@ def rounded(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.round(name, 6) for name in names})
 
 
+def _breaches(spark: SparkSession, folder: str) -> DataFrame:
+    """Breaches as a stored table, for plans that use them more than once.
+
+    They are a small part of all readings; the readings are scanned once.
+    """
+    return stored(samples.breaches(spark, folder), "breaches")
+
+
 def joined(column: str):
     return F.concat_ws(",", column)
 
@@ -385,7 +393,7 @@ def failure_counters(spark, folder):
 
 def _alert_log(spark, folder):
     """Alerts as they are handled: notified, escalated, or refused by validation."""
-    found = samples.breaches(spark, folder)
+    found = _breaches(spark, folder)
     waited = workflow.ack_escalation(found, samples.acks(found))
     refused = F.col("e") % 50 == 7
     first = waited.select(
@@ -404,8 +412,9 @@ def alerts_notified_vs_escalated(spark, folder):
     return metrics.alert_counts(_alert_log(spark, folder))
 
 
-def _outcomes(spark, folder):
-    return dispatch.dispatch_outcomes(samples.case_attempts(samples.breaches(spark, folder)))
+def _outcomes(spark, folder, found=None):
+    found = _breaches(spark, folder) if found is None else found
+    return dispatch.dispatch_outcomes(samples.case_attempts(found))
 
 
 @query
@@ -446,7 +455,7 @@ def dlq_counters(spark, folder):
 
 @query
 def override_audit(spark, folder):
-    return routing.override_audit(routing.routing_plan(samples.breaches(spark, folder), WIDE))
+    return routing.override_audit(routing.routing_plan(_breaches(spark, folder), WIDE))
 
 
 # --- alarms ----------------------------------------------------------------
@@ -528,12 +537,12 @@ def baseline_routing(spark, folder):
 
 @query
 def breach_recurrence(spark, folder):
-    return routing.recurrence(samples.breaches(spark, folder)).select("e", "recent_breaches")
+    return routing.recurrence(_breaches(spark, folder)).select("e", "recent_breaches")
 
 
 @query
 def breach_recurrence_daily(spark, folder):
-    return routing.recurrence(samples.breaches(spark, folder), 86_400).select(
+    return routing.recurrence(_breaches(spark, folder), 86_400).select(
         "e", "recent_breaches"
     )
 
@@ -545,7 +554,7 @@ def zone_cascade(spark, folder):
 
 @query
 def routing_plan(spark, folder):
-    plan = routing.routing_plan(samples.breaches(spark, folder), WIDE)
+    plan = routing.routing_plan(_breaches(spark, folder), WIDE)
     return plan.select("e", "severity", "email", "sms", "override_applied", "override_reason")
 
 
@@ -557,7 +566,7 @@ def audit_routing_plans(spark, folder):
 
 @query
 def narratives_(spark, folder):
-    told = enriched_alerts(samples.readings(spark, folder), signals=WIDE)
+    told = enrich_breaches(_breaches(spark, folder), WIDE)
     return told.select("e", "email_text", "sms_text")
 
 
@@ -569,7 +578,7 @@ def audit_narratives(spark, folder):
 
 @query
 def prompt_texts(spark, folder):
-    plan = routing.routing_plan(samples.breaches(spark, folder), WIDE)
+    plan = routing.routing_plan(_breaches(spark, folder), WIDE)
     return narratives.prompt_texts(plan).select(
         "e", "severity_prompt", "routing_prompt", "narrative_prompt"
     )
@@ -589,8 +598,9 @@ def fallback_payloads(spark, folder):
 
 @query
 def enriched_payloads(spark, folder):
-    told = enriched_alerts(samples.readings(spark, folder), signals=WIDE)
-    summary = dispatch.dispatch_summary(_outcomes(spark, folder)).where("attempt_no = 1")
+    found = _breaches(spark, folder)
+    told = enrich_breaches(found, WIDE)
+    summary = dispatch.dispatch_summary(_outcomes(spark, folder, found)).where("attempt_no = 1")
     full = payloads.enriched_payload(told.join(summary, "case_pk", "left"))
     members = F.from_json(
         "payload",
@@ -620,9 +630,8 @@ def alert_subjects(spark, folder):
     )
 
 
-def _fallback_alerts(spark, folder):
+def _fallback_alerts(spark, folder, found):
     """First notifications: classified breaches with audited answers, and non-breaches."""
-    found = samples.breaches(spark, folder)
     audited = audit_enrichment(samples.model_answers(found)).select("e", "used_fallback")
     rows = _alerts(spark, folder).join(audited, "e", "left")
     return rows.select(
@@ -635,8 +644,8 @@ def _fallback_alerts(spark, folder):
 @query
 def alert_outbox(spark, folder):
     """Fallback and escalation alerts, and the ops alerts of the dead letters."""
-    first = _fallback_alerts(spark, folder)
-    found = samples.breaches(spark, folder)
+    found = _breaches(spark, folder)
+    first = _fallback_alerts(spark, folder, found)
     waited = workflow.ack_escalation(found, samples.acks(found))
     second = workflow.escalations(waited).withColumn("used_fallback", F.lit(False))
     both = payloads.alert_outbox(first.select(*_ALERT)).unionByName(
@@ -657,7 +666,7 @@ _ALERT = (
 
 @query
 def selected_channels(spark, folder):
-    plan = routing.routing_plan(samples.breaches(spark, folder), WIDE)
+    plan = routing.routing_plan(_breaches(spark, folder), WIDE)
     return dispatch.selected_channels(plan).select("e", "channel")
 
 
@@ -670,7 +679,7 @@ def channel_inputs(spark, folder):
 @query
 def skip_reasons(spark, folder):
     """Outcomes where sms has no handler."""
-    attempts = samples.case_attempts(samples.breaches(spark, folder))
+    attempts = samples.case_attempts(_breaches(spark, folder))
     outcomes = dispatch.dispatch_outcomes(attempts, ("email",))
     return outcomes.where("kind = 'skipped'").select(
         "case_pk", "channel", "attempt_no", "skip_reason"
@@ -698,8 +707,8 @@ def dispatch_summary(spark, folder):
 
 @query
 def case_metadata(spark, folder):
-    found = samples.breaches(spark, folder)
-    return cases.case_metadata(_outcomes(spark, folder), samples.acks(found))
+    found = _breaches(spark, folder)
+    return cases.case_metadata(_outcomes(spark, folder, found), samples.acks(found))
 
 
 @query
@@ -710,8 +719,9 @@ def case_channels(spark, folder):
 @query
 def case_lookup(spark, folder):
     """Three lookups per breach: the metadata row and both channels."""
-    outcomes = _outcomes(spark, folder)
-    asked = samples.breaches(spark, folder).select(
+    found = _breaches(spark, folder)
+    outcomes = _outcomes(spark, folder, found)
+    asked = found.select(
         "case_pk",
         F.explode(F.array(F.lit(cases.METADATA_ROW), F.lit("email"), F.lit("sms"))).alias("row"),
     )
@@ -729,7 +739,7 @@ def retry_audit(spark, folder):
 
 
 def _waited(spark, folder):
-    found = samples.breaches(spark, folder)
+    found = _breaches(spark, folder)
     return workflow.ack_escalation(found, samples.acks(found))
 
 

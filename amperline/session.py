@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that change results, so every entry point applies them.
 REQUIRED = {
@@ -46,13 +47,24 @@ def local_session(cores: int | str = 8, app: str = "amperline") -> SparkSession:
     return tune(spark)
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
+
+    For a small extract of a large scan that several branches of a plan use: the
+    scan runs once, later joins see the extract's true size, and a lost executor
+    does not bring the scan back.
+    """
+    spark = df.sparkSession
+    path = shared_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
     A machine-local folder is made only where the setting is absent, as in tests.
     """
-    import uuid
-
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         base = tempfile.mkdtemp(prefix="run-")

@@ -350,7 +350,7 @@ def assets(spark: SparkSession, folder: str) -> DataFrame:
         "concat('Conveyor ', lpad(cast(a AS string), 2, '0')) AS displayName",
         "'conveyor' AS assetType",
         "'plant-01' AS plantId",
-        "'building-a' AS buildingId",
+        "concat('building-', cast(a % 2 AS string)) AS buildingId",
         "'floor-1' AS floorId",
         "concat('line-', cast(a % 6 AS string)) AS lineId",
         "concat('cell-', cast(a % 2 AS string)) AS cellId",
@@ -366,13 +366,14 @@ def assets(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def floor_maps(spark: SparkSession, folder: str) -> DataFrame:
-    """One floor row whose zones are 10 by 10 squares; zone 5 is left out."""
+    """A floor per building, with 10 by 10 squares as zones; zone 5 is left out."""
     zones = (
         sensor_units(spark, folder)
         .selectExpr("u % 6 AS z")
         .where("z <> 5")
         .distinct()
         .selectExpr(
+            "z",
             "named_struct('zoneId', concat('zone-line-', cast(z AS string)),"
             " 'name', concat('Line ', cast(z AS string)), 'zoneType', 'production',"
             " 'polygon', array(named_struct('x', z * 10D, 'y', 0D),"
@@ -383,7 +384,7 @@ def floor_maps(spark: SparkSession, folder: str) -> DataFrame:
     )
     return zones.groupBy(
         F.lit("plant-01").alias("plantId"),
-        F.lit("building-a").alias("buildingId"),
+        F.concat(F.lit("building-"), (F.col("z") % 2).cast("string")).alias("buildingId"),
         F.lit("floor-1").alias("floorId"),
     ).agg(
         F.lit("Ground floor").alias("name"),
