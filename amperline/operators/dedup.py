@@ -121,7 +121,7 @@ def with_previous(
     )
 
 
-def out_of_order(df: DataFrame, block_ms: int = 3_600_000) -> DataFrame:
+def out_of_order(df: DataFrame, block_ms: int = 60_000) -> DataFrame:
     """Records whose event time is before that of the sensor's previous arrival."""
     timed = df.withColumn("event_ms", F.unix_millis("event_ts"))
     block = F.floor(F.col("arrival_ms") / block_ms)
