@@ -139,6 +139,21 @@ def test_percentiles_differ_from_pooled_ones(spark):
     assert worst["p50"] == 100.0
 
 
+def test_approximate_percentiles_are_values_of_the_log(spark):
+    rows = [(0, "a", x) for x in range(1, 101)]
+    log = spark.createDataFrame(rows, "processed_ms long, readingType string, latency_ms long")
+    row = metrics.latency_percentiles(log, exact=False).first()
+    assert (row["p50"], row["p95"], row["p99"]) == (50.0, 95.0, 99.0)
+
+
+def test_ordered_export_splits_a_hot_sensor(spark):
+    rows = [(s, ms, f"{i:05d}") for i, s, ms, _ in skewed(2000, 9)]
+    frame = spark.createDataFrame(rows, "sensorId string, arrival_ms long, sequence_number string")
+    out = dedup.stream_order(frame, 4).withColumn("part", F.spark_partition_id()).collect()
+    assert [tuple(r)[:3] for r in sorted(out, key=lambda r: r["part"])] == sorted(rows)
+    assert len({r["part"] for r in out if r["sensorId"] == "sensor-hot"}) > 1
+
+
 def stored(spark, folder):
     rows = [(f"sensor-{i % 3}", i) for i in range(96)]
     frame = spark.createDataFrame(rows, "sensorId string, i int").select(
