@@ -50,17 +50,20 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(buffers[2], np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and ends of the maximal runs of ``inside`` that don't cross an offset."""
-    size = len(inside)
-    if not size:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+def edges(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Marks at the first and the last bytes of the maximal runs of ``inside`` that don't cross an offset."""
     begin, end = inside.copy(), inside.copy()
     begin[1:] &= ~inside[:-1]
     end[:-1] &= ~inside[1:]
-    cuts = offsets[(offsets > 0) & (offsets < size)]
+    cuts = offsets[(offsets > 0) & (offsets < len(inside))]
     begin[cuts] = inside[cuts]
     end[cuts - 1] = inside[cuts - 1]
+    return begin, end
+
+
+def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the maximal runs of ``inside`` that don't cross an offset."""
+    begin, end = edges(inside, offsets)
     return np.flatnonzero(begin), np.flatnonzero(end) + 1
 
 

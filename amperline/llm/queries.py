@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from amperline.llm import quality_rules
+from amperline.llm import near_dedup, packing, quality_rules
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,4 +18,16 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(_table(spark, folder, "documents")).select(*counts)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_quality_rules": op1_quality_rules}
+def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.packed(_table(spark, folder, "documents"))
+
+
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.grouped(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_rules": op1_quality_rules,
+    "op3_packing": op3_packing,
+    "op8_near_dedup": op8_near_dedup,
+}
