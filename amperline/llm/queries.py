@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from amperline.llm import near_dedup, packing, quality_rules
+from amperline.llm import near_dedup, packing, quality_rules, suffix_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,10 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"))
 
 
+def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.removal(_table(spark, folder, "documents"))
+
+
 def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.grouped(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -29,5 +33,6 @@ def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_packing": op3_packing,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op8_near_dedup": op8_near_dedup,
 }
