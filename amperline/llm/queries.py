@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from amperline.llm import near_dedup, packing, quality_rules, suffix_dedup
+from amperline.llm import decontamination, near_dedup, packing, quality_rules, suffix_dedup
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -22,6 +22,11 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"))
 
 
+def op4_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontamination.leaks(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "similarity", "passage")
+
+
 def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.removal(_table(spark, folder, "documents"))
 
@@ -33,6 +38,7 @@ def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_packing": op3_packing,
+    "op4_decontamination": op4_decontamination,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op8_near_dedup": op8_near_dedup,
 }
