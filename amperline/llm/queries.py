@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from amperline.llm import decontamination, near_dedup, packing, quality_rules, suffix_dedup
+from amperline.llm import decontamination, near_dedup, packing, quality_rules, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -18,6 +19,15 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.verdicts(_table(spark, folder, "documents")).select(*counts)
 
 
+def _fold(parts: int, held_out: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % parts == held_out
+
+
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    found = toxicity.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"), _fold(5, 0))
+    return found.withColumn("n_passages", F.size("segments")).drop("segments")
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"))
 
@@ -37,6 +47,7 @@ def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_toxicity": op2_toxicity,
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
     "op5_suffix_dedup": op5_suffix_dedup,
