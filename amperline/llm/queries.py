@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amperline.llm import decontamination, near_dedup, packing, quality_rules, suffix_dedup, toxicity
+from amperline.llm import decontamination, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.grouped(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_classifier.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"), _fold(3, 1))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op2_toxicity": op2_toxicity,
@@ -52,4 +56,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_decontamination": op4_decontamination,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op8_near_dedup": op8_near_dedup,
+    "op10_quality_classifier": op10_quality_classifier,
 }
