@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amperline.llm import decontamination, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
+from amperline.llm import decontamination, html_consensus, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +41,10 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.removal(_table(spark, folder, "documents"))
 
 
+def op7_html_consensus(spark: SparkSession, folder: str) -> DataFrame:
+    return html_consensus.extracted(_table(spark, folder, "pages"))
+
+
 def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.grouped(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op7_html_consensus": op7_html_consensus,
     "op8_near_dedup": op8_near_dedup,
     "op10_quality_classifier": op10_quality_classifier,
 }
