@@ -73,4 +73,39 @@ def quality_rules() -> str:
     SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept FROM judged"""
 
 
-ORACLE = {"op1_quality_rules": quality_rules()}
+REVISITS = r"""
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS h, 1700000000 + (page_id * 7919) % 2592000 AS t, '"' || md5(coalesce(html, '')) || '"' AS tag FROM pages),
+records AS (
+  SELECT page_id * 8 AS record_id, url, t AS sec, 'response' AS kind, tag AS etag, CAST(t - 86400 AS VARCHAR) AS modified, md5(h) AS digest,
+         CAST(strlen(h) AS VARCHAR) AS size FROM p
+  UNION ALL SELECT page_id * 8 + 1, url || '#again', t + 60, 'revisit', 'W/' || tag, NULL, NULL, NULL FROM p WHERE page_id % 2 = 0
+  UNION ALL SELECT page_id * 8 + 2, url, t + 90000, 'revisit', NULL, CAST(t - 86400 AS VARCHAR), md5(h), NULL FROM p WHERE page_id % 3 = 0
+  UNION ALL SELECT page_id * 8 + 3, url, t - 30, 'revisit', tag, NULL, NULL, NULL FROM p WHERE page_id % 5 = 0
+  UNION ALL SELECT page_id * 8 + 4, url, t + 7200, 'revisit', '"other"', NULL, NULL, NULL FROM p WHERE page_id % 7 = 0
+  UNION ALL SELECT page_id * 8 + 5, url, t + 10, 'revisit', NULL, NULL, NULL, NULL FROM p WHERE page_id % 11 = 0),
+parts AS (
+  SELECT *, regexp_replace(regexp_replace(lower(regexp_extract(bare, '^([^/?]*)', 1)), '^www[.]', ''), ':(80|443)$', '') AS host,
+         regexp_replace(regexp_extract(bare, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(bare, '^[^?]*[?](.*)$', 1), '&'),
+                   lambda q: q <> '' AND NOT regexp_matches(q, '^(utm_[a-z]+|ref|gclid|fbclid)(=|$)'))) AS query
+  FROM (SELECT *, regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS bare FROM records)),
+named AS (SELECT *, host || path || CASE WHEN len(query) > 0 THEN '?' || array_to_string(query, '&') ELSE '' END AS canonical_url FROM parts),
+found AS (
+  SELECT v.record_id, v.canonical_url, v.sec, v.etag, v.modified, v.digest, r.record_id AS response_id,
+         r.etag AS its_etag, r.modified AS its_modified, r.digest AS its_digest, r.size
+  FROM (SELECT * FROM named WHERE kind = 'revisit') v
+  LEFT JOIN (SELECT * FROM named WHERE kind = 'response') r ON r.canonical_url = v.canonical_url AND r.sec < v.sec
+  QUALIFY row_number() OVER (PARTITION BY v.record_id ORDER BY r.sec DESC NULLS LAST, r.record_id DESC) = 1),
+judged AS (
+  SELECT *, CASE WHEN response_id IS NULL THEN 'no_response' WHEN digest <> its_digest THEN 'mismatch'
+                 WHEN etag IS NOT NULL AND its_etag IS NOT NULL
+                 THEN CASE WHEN regexp_replace(etag, '^W/', '') = regexp_replace(its_etag, '^W/', '') THEN 'resolved' ELSE 'mismatch' END
+                 WHEN modified IS NOT NULL AND its_modified IS NOT NULL THEN CASE WHEN modified = its_modified THEN 'resolved' ELSE 'mismatch' END
+                 WHEN digest = its_digest THEN 'resolved' ELSE 'no_validator' END AS outcome
+  FROM found)
+SELECT record_id, canonical_url, response_id, outcome,
+       CASE WHEN outcome = 'resolved' THEN concat('cache-control: max-age=120', chr(10), 'content-length: ', size, chr(10), 'content-type: text/html', chr(10),
+            'date: ', sec, chr(10), 'etag: ', its_etag, chr(10), 'last-modified: ', its_modified) END AS headers
+FROM judged"""
+
+ORACLE = {"op1_quality_rules": quality_rules(), "op6_revisits": REVISITS}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amperline.llm import decontamination, html_consensus, near_dedup, packing, quality_classifier, quality_rules, suffix_dedup, toxicity
+from amperline.llm import decontamination, html_consensus, near_dedup, packing, quality_classifier, quality_rules, revisits, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -41,6 +41,12 @@ def op5_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return suffix_dedup.removal(_table(spark, folder, "documents"))
 
 
+def op6_revisits(spark: SparkSession, folder: str) -> DataFrame:
+    found = revisits.resolve(revisits.captures(_table(spark, folder, "pages")))
+    lines = F.transform(F.array_sort(F.map_entries("headers")), lambda e: F.concat(e.key, F.lit(": "), e.value))
+    return found.withColumn("headers", F.array_join(lines, "\n"))
+
+
 def op7_html_consensus(spark: SparkSession, folder: str) -> DataFrame:
     return html_consensus.extracted(_table(spark, folder, "pages"))
 
@@ -49,6 +55,10 @@ def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.grouped(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op9_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(_table(spark, folder, "documents"))
+
+
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"), _fold(3, 1))
 
@@ -59,7 +69,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_packing": op3_packing,
     "op4_decontamination": op4_decontamination,
     "op5_suffix_dedup": op5_suffix_dedup,
+    "op6_revisits": op6_revisits,
     "op7_html_consensus": op7_html_consensus,
     "op8_near_dedup": op8_near_dedup,
+    "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
 }
