@@ -13,10 +13,21 @@ from pyspark.sql import functions as F
 FLOOR_KEY = ["plantId", "buildingId", "floorId"]
 
 
+def one_per_key(rows: DataFrame, *key: str) -> DataFrame:
+    """The row with the smallest other values of each key, so that a join with registry rows multiplies nothing."""
+    rest = [c for c in rows.columns if c not in key]
+    return rows.groupBy(*key).agg(F.min_by(F.struct(*rest), F.to_json(F.struct(*rest))).alias("_row")).select(*key, "_row.*")
+
+
+def duplicate_keys(rows: DataFrame, *key: str) -> DataFrame:
+    """Integrity finding: keys with more than one registry row, and how many."""
+    return rows.groupBy(*key).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+
+
 def sensor_assets(mappings: DataFrame, assets: DataFrame) -> DataFrame:
     """Per mapped sensor the asset row, with ``has_asset`` false where it is missing."""
-    return mappings.select("sensorId", "assetId").join(
-        assets.withColumn("has_asset", F.lit(True)), "assetId", "left"
+    return one_per_key(mappings.select("sensorId", "assetId"), "sensorId").join(
+        one_per_key(assets, "assetId").withColumn("has_asset", F.lit(True)), "assetId", "left"
     )
 
 

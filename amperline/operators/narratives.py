@@ -23,16 +23,17 @@ def selected_text() -> Column:
 
 
 def narratives(plans: DataFrame) -> DataFrame:
-    """One text per selected channel, null for the others."""
+    """One text per selected channel, null for the others.
+
+    Texts are whole; one that breaks a length rule shows in ``audit_narratives``, and its alert takes the fallback.
+    """
     zone = "coalesce(gridZone, 'unknown')"
     selected = "concat_ws(', ', if(email, 'email', NULL), if(sms, 'sms', NULL))"
     return plans.selectExpr(
         "*",
-        f"""if(email, substring(concat(severity, ' breach on ', sensorId, ' (', {zone}, ') at ',
-          timestamp, ': ', details, '. ', reasoning, ' Notified by ', {selected}, '.'),
-          1, {EMAIL_LENGTH[1]}), NULL) AS email_text""",
-        f"""if(sms, substring(concat(severity, ' ', sensorId, ' ', details), 1, {SMS_LENGTH[1]}), NULL)
-          AS sms_text""",
+        f"""if(email, concat(severity, ' breach on ', sensorId, ' (', {zone}, ') at ',
+          timestamp, ': ', details, '. ', reasoning, ' Notified by ', {selected}, '.'), NULL) AS email_text""",
+        "if(sms, concat(severity, ' ', sensorId, ' ', details), NULL) AS sms_text",
     )
 
 

@@ -50,11 +50,23 @@ def sensor_range(
     return rows if limit is None else rows.limit(limit)
 
 
+def coerced_number(text: str) -> Column:
+    """A text as a number by the rules of web forms: blank is zero; decimal, or hexadecimal, octal, binary with a prefix."""
+    bare = f"regexp_replace({text}, r'^\\s+|\\s+$', '')"
+    based = " ".join(
+        f"WHEN {bare} RLIKE r'^0[{p}{p.upper()}][{digits}]{{1,15}}$' THEN CAST(conv(substring({bare}, 3), {base}, 10) AS DOUBLE)"
+        for p, digits, base in (("x", "0-9a-fA-F", 16), ("o", "0-7", 8), ("b", "01", 2))
+    )
+    return F.expr(
+        f"CASE WHEN {bare} = '' THEN 0D"
+        f" WHEN {bare} RLIKE r'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$' THEN try_cast({bare} AS DOUBLE) {based} END"
+    )
+
+
 def check_requests(requests: DataFrame) -> DataFrame:
     """Read requests with their parsed limit and the codes of broken rules."""
     text = F.col("limit_text")
-    # An empty text counts as zero, which the lower bound then refuses.
-    number = F.when(F.trim(text) == "", F.lit(0.0)).otherwise(text.try_cast("double"))
+    number = coerced_number("limit_text")
     whole = F.coalesce((number == F.floor(number)) & number.between(1, MAX_LIMIT), F.lit(False))
     def bad_time(column: str) -> Column:
         return F.col(column).isNotNull() & ~datetime_ok(F.col(column))
@@ -128,7 +140,8 @@ def request_items(
         "sensorId",
         parse_time(F.col("from_time")).alias("from_ts"),
         parse_time(F.col("to_time")).alias("to_ts"),
-        "limit",
+        # Ranking may drop rows beyond the largest limit early; a larger one is refused and not cut.
+        F.expr(f"if(limit > {MAX_LIMIT}, raise_error('limit above {MAX_LIMIT}'), limit)").cast("int").alias("limit"),
     )
     wanted = _needed_blocks(timed, readings, block_seconds)
     cut = readings.withColumn("block", F.floor(F.unix_seconds("event_ts") / block_seconds))
@@ -208,12 +221,15 @@ def alert_history(
 def latest_readings(readings: DataFrame) -> DataFrame:
     """Newest value and last-seen time per sensor and reading type.
 
-    Both aggregates have fixed-width buffers, so this is a hash aggregate that
-    sends one row per sensor and type out of each task.
+    Of several at one time the largest counts.  Each task sends one row per sensor and type.
     """
     return readings.groupBy("sensorId", "readingType").agg(
-        F.max_by("value", "event_ts").alias("current_value"),
-        F.max(F.unix_millis("event_ts")).alias("last_seen_ms"),
+        F.max(F.struct("event_ts", "value")).alias("last"),
+    ).select(
+        "sensorId",
+        "readingType",
+        F.col("last.value").alias("current_value"),
+        F.unix_millis("last.event_ts").alias("last_seen_ms"),
     )
 
 

@@ -82,5 +82,7 @@ def evaluate_per_sensor(
         F.col(f"{range_column}.min").alias("low"),
         F.col(f"{range_column}.max").alias("high"),
     )
-    joined = df.join(wanted, ["sensorId", "readingType"], "left")
+    # Of several mappings of a sensor's metric the narrowest from below counts.
+    one = wanted.groupBy("sensorId", "readingType").agg(F.max(F.struct("low", "high")).alias("b"))
+    joined = df.join(one.select("sensorId", "readingType", "b.low", "b.high"), ["sensorId", "readingType"], "left")
     return judge(joined, number_sql("low"), number_sql("high"))

@@ -13,18 +13,18 @@ TIMEOUT_MS = 60 * 60 * 1000
 def ack_escalation(alerts: DataFrame, acks: DataFrame, wait_ms: int = WAIT_MS) -> DataFrame:
     """Each alert with its first acknowledgement in time, and whether it escalates.
 
-    Acknowledgements are reduced to the earliest usable one per case and alert
+    ``alerts`` has ``case_pk`` and ``notified_ms``, when the notice was sent: the wait starts there, however late the
+    reading came.  Acknowledgements are reduced to the earliest usable one per case and alert
     before they are attached; an alert has one row however often it was acked.
     """
-    timed = alerts.withColumn("notified_ms", F.unix_millis("event_ts"))
     in_time = (
-        timed.select("case_pk", "notified_ms")
+        alerts.select("case_pk", "notified_ms")
         .join(acks, "case_pk")
         .where(F.col("ack_ms").between(F.col("notified_ms"), F.col("notified_ms") + wait_ms))
         .groupBy("case_pk")
         .agg(F.min("ack_ms").alias("ack_ms"))
     )
-    joined = timed.join(in_time, "case_pk", "left")
+    joined = alerts.join(in_time, "case_pk", "left")
     return joined.withColumn("escalated", F.col("ack_ms").isNull()).withColumn(
         "escalated_ms", F.when(F.col("escalated"), F.col("notified_ms") + wait_ms)
     )

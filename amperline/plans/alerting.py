@@ -21,11 +21,12 @@ def classified_breaches(readings: DataFrame, bounds: Bounds = DEFAULT_BOUNDS) ->
 
 
 def enrich_breaches(breaches: DataFrame, signals: Signals = Signals()) -> DataFrame:
-    """Classified breaches with routing plan and channel texts.
+    """Classified breaches with routing plan and channel texts, and whether a broken text calls for the fallback.
 
     The signals look at the breaches three times, so hand in a stored table.
     """
-    return narratives(routing_plan(breaches, signals))
+    told = audit_narratives(narratives(routing_plan(breaches, signals)))
+    return told.withColumn("used_fallback", F.size("errors") > 0).drop("errors")
 
 
 def enriched_alerts(

@@ -44,6 +44,8 @@ QUERIES: dict[str, Query] = {}
 # The moment the look-backs count from, near the end of the event tables.
 AS_OF = "2024-01-30T00:00:00Z"
 AS_OF_MS = 1_706_572_800_000
+# The sample's streams end; this time closes all their waits.
+FAR = "2100-01-01T00:00:00Z"
 # Windows wide enough for the sparse sample; the defaults are minutes.
 WIDE = routing.Signals(
     recurrence_seconds=86_400,
@@ -394,7 +396,7 @@ def failure_counters(spark, folder):
 def _alert_log(spark, folder):
     """Alerts as they are handled: notified, escalated, or refused by validation."""
     found = _breaches(spark, folder)
-    waited = workflow.ack_escalation(found, samples.acks(found))
+    waited = workflow.ack_escalation(found.withColumn("notified_ms", F.unix_millis("event_ts")), samples.acks(found))
     refused = F.col("e") % 50 == 7
     first = waited.select(
         "readingType",
@@ -646,7 +648,7 @@ def alert_outbox(spark, folder):
     """Fallback and escalation alerts, and the ops alerts of the dead letters."""
     found = _breaches(spark, folder)
     first = _fallback_alerts(spark, folder, found)
-    waited = workflow.ack_escalation(found, samples.acks(found))
+    waited = workflow.ack_escalation(found.withColumn("notified_ms", F.unix_millis("event_ts")), samples.acks(found))
     second = workflow.escalations(waited).withColumn("used_fallback", F.lit(False))
     both = payloads.alert_outbox(first.select(*_ALERT)).unionByName(
         payloads.alert_outbox(second.select(*_ALERT))
@@ -739,7 +741,8 @@ def retry_audit(spark, folder):
 
 
 def _waited(spark, folder):
-    found = _breaches(spark, folder)
+    # The sample sends each notice when the event happens.
+    found = _breaches(spark, folder).withColumn("notified_ms", F.unix_millis("event_ts"))
     return workflow.ack_escalation(found, samples.acks(found))
 
 
@@ -863,7 +866,6 @@ def _raw_stream(spark, folder):
 
 @query
 def stream_ingest(spark, folder):
-    jobs.use_rocksdb(spark)
     target = stream_ingest_jobs.IngestTarget(shared_folder(spark, "ingest"))
     stream_ingest_jobs.run_ingest(_raw_stream(spark, folder), target)
     return spark.read.parquet(target.readings).select(
@@ -883,24 +885,57 @@ def stream_archive(spark, folder):
     )
 
 
+@query
+def stream_dead_letters(spark, folder):
+    """What ingest refuses when some records are too old by the time they are processed."""
+    target = stream_ingest_jobs.IngestTarget(shared_folder(spark, "dead-letters"))
+    stream_ingest_jobs.run_ingest(_raw_stream(spark, folder), target, as_of_ms=AS_OF_MS - 15 * 86_400_000)
+    return spark.read.parquet(target.quarantine).select("shard_id", "sequence_number", "arrival_ms", joined("errors").alias("errors"))
+
+
+@query
+def stored_round_trip(spark, folder):
+    """Raw files to stored readings and back: per sensor the rows of a range read, and those not yet expired."""
+    root = shared_folder(spark, "round-trip")
+    raw = samples.raw_telemetry(spark, folder)
+    telemetry_columns = ("shard_id", "sequence_number", F.lit(None).cast("string").alias("partition_key"), "topic", F.timestamp_millis("arrival_ms").alias("arrival_ts"), "payload")
+    raw.select(*telemetry_columns).write.parquet(f"{root}/raw")
+    stores.write_readings(ingest(telemetry.read_batch(spark, f"{root}/raw")).kept, f"{root}/readings")
+    rows = stores.read_readings(spark, f"{root}/readings")
+    active = dedup.active_readings(rows, AS_OF_MS // 1000 + 15 * 86_400)
+    one = reads.sensor_range(rows, "sensor-001").select("pk", "sk", "ttl", F.lit("range").alias("read"))
+    return one.unionByName(active.select("pk", "sk", "ttl", F.lit("active").alias("read")))
+
+
 @query
 def stream_dedup(spark, folder):
-    jobs.use_rocksdb(spark)
     root = shared_folder(spark, "dedup")
-    rows = stream_ingest_jobs.drop_redelivered_stream(_raw_stream(spark, folder))
-    kept = rows.select("shard_id", "sequence_number", "event_id")
-    jobs.run_to_end(
-        kept.writeStream.format("parquet").option("path", f"{root}/rows").outputMode("append"),
-        f"{root}/checkpoint",
-    )
-    return spark.read.parquet(f"{root}/rows")
+    stream_ingest_jobs.run_dedup(_raw_stream(spark, folder).select("shard_id", "sequence_number", "event_id", "arrival_ms", "payload"), root)
+    return spark.read.parquet(f"{root}/rows").select("shard_id", "sequence_number", "event_id")
+
+
+@query
+def expired_partitions(spark, folder):
+    """Days of readings left after whole days have expired."""
+    root = shared_folder(spark, "expiry")
+    stores.write_readings(samples.readings(spark, folder), root)
+    left = stores.expire_days(spark, root, "2024-02-14")
+    return left.groupBy(F.col("event_date").cast("string").alias("day")).agg(F.count("*").alias("n_rows"))
+
+
+@query
+def registry_duplicates(spark, folder):
+    """Sensors that a second, conflicting registry file maps again."""
+    mappings = samples.sensor_mappings(spark, folder)
+    second = mappings.where("sensorId LIKE '%7'").withColumn("assetId", F.lit("asset-other"))
+    return location.duplicate_keys(mappings.unionByName(second), "sensorId")
 
 
 @query
 def stream_events_per_minute(spark, folder):
     root = shared_folder(spark, "minutes")
     readings = samples.as_readings(samples.event_stream(spark, folder))
-    stream_metrics.run_events_per_minute(readings, root)
+    stream_metrics.run_events_per_minute(readings.withColumnRenamed("event_ts", "arrival_ts"), root)
     return stream_metrics.current_counts(spark, root)
 
 
@@ -918,7 +953,7 @@ def _alert_streams(spark, folder):
 def stream_ack_escalation(spark, folder):
     root = shared_folder(spark, "acks")
     alerts, acked = _alert_streams(spark, folder)
-    beat = stream_acks.heartbeat_stream(spark, f"{root}/heartbeat")
+    beat = stream_acks.heartbeat_stream(spark, f"{root}/heartbeat", at=FAR)
     joined_rows = stream_acks.ack_join(alerts, acked, beat)
     jobs.run_to_end(
         joined_rows.writeStream.format("parquet").option("path", f"{root}/rows").outputMode("append"),
@@ -932,7 +967,7 @@ def stream_ack_timer(spark, folder):
     jobs.use_rocksdb(spark)
     root = shared_folder(spark, "timers")
     alerts, acked = _alert_streams(spark, folder)
-    beat = stream_acks.heartbeat_stream(spark, f"{root}/heartbeat")
+    beat = stream_acks.heartbeat_stream(spark, f"{root}/heartbeat", at=FAR)
     rows = stream_acks.ack_timer(alerts, acked, beat)
     jobs.run_to_end(
         rows.writeStream.format("parquet").option("path", f"{root}/rows").outputMode("append"),

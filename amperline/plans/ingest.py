@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 
 from amperline.operators.dedup import drop_redelivered, first_writes
 from amperline.operators.validation import rejected_rows, valid_rows, validate
+from amperline.sources.stores import with_keys
 from amperline.sources.telemetry import route
 
 
@@ -31,4 +32,4 @@ def ingest(raw: DataFrame) -> Ingest:
     checked = validate(route(raw), sensor="partition_key")
     valid = valid_rows(checked)
     writes = drop_redelivered(valid)
-    return Ingest(checked, valid, rejected_rows(checked), writes, first_writes(writes))
+    return Ingest(checked, valid, rejected_rows(checked), writes, with_keys(first_writes(writes)))

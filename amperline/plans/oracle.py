@@ -191,15 +191,17 @@ SELECT request_id, requested_ms, (request_id * 17) % 300 AS latency_ms,
   CASE WHEN request_id % 5 = 0 THEN NULL
     ELSE strftime(day + INTERVAL 1 DAY, '%Y-%m-%d') || 'T00:00:00Z' END AS to_time,
   CASE request_id % 11 WHEN 0 THEN '0' WHEN 1 THEN '1001' WHEN 2 THEN 'x' WHEN 3 THEN NULL
-    WHEN 4 THEN '2.5' ELSE '10' END AS limit_text
+    WHEN 4 THEN '2.5' ELSE CASE request_id % 13 WHEN 0 THEN '1e2' WHEN 1 THEN ' 7 ' WHEN 2 THEN '10d' WHEN 3 THEN '1000'
+      WHEN 4 THEN '0x10' WHEN 5 THEN '10f' ELSE '10' END END AS limit_text
 FROM (SELECT sensorId, CAST(event_ts AS DATE) AS day, min(e) AS request_id,
         epoch_us(min(event_ts)) // 1000 AS requested_ms FROM clean GROUP BY ALL)""")
 
 part("asked", "requests", """
-SELECT *, CASE WHEN limit_text = '10' THEN 10 END AS "limit", concat_ws(',',
+SELECT *, CASE limit_text WHEN '10' THEN 10 WHEN '1e2' THEN 100 WHEN ' 7 ' THEN 7 WHEN '1000' THEN 1000 WHEN '0x10' THEN 16 END AS "limit",
+  concat_ws(',',
   CASE WHEN NOT regexp_full_match(sensorId, 'sensor-[a-z0-9-]+') THEN 'sensorId' END,
   CASE WHEN from_time = 'yesterday' THEN 'from' END,
-  CASE WHEN limit_text <> '10' THEN 'limit' END) AS errors
+  CASE WHEN limit_text NOT IN ('10', '1e2', ' 7 ', '1000', '0x10') THEN 'limit' END) AS errors
 FROM requests""")
 
 part("items", "asked readings", """
@@ -779,6 +781,19 @@ WHERE value < low OR value > high""")
 oracle("stream_ingest", "kept", """
 SELECT sensorId, timestamp, readingType, value, unit, gridZone FROM kept""")
 ORACLE["stream_archive"] = ORACLE["archive_daily_counts"]
+oracle("stream_dead_letters", "checked", f"""
+SELECT shard_id, sequence_number, arrival_ms,
+  CASE WHEN arrival_ms < 1706572800000 - 16 * 86400000 THEN 'aged' ELSE errors END AS errors
+FROM checked WHERE errors <> '' OR arrival_ms < 1706572800000 - 16 * 86400000""")
+oracle("stored_round_trip", "kept", """
+SELECT pk, sk, ttl, read FROM (
+  SELECT sensorId AS pk, timestamp || '#' || readingType AS sk, arrival_ms // 1000 + 2592000 AS ttl, unnest(['range', 'active']) AS read FROM kept)
+WHERE CASE read WHEN 'range' THEN pk = 'sensor-001' ELSE ttl > 1706572800 + 15 * 86400 END""")
+oracle("expired_partitions", "readings", """
+SELECT CAST(CAST(event_ts AS DATE) AS VARCHAR) AS day, count(*) AS n_rows FROM readings
+WHERE CAST(event_ts AS DATE) + 31 > DATE '2024-02-14' GROUP BY 1""")
+oracle("registry_duplicates", "mappings", """
+SELECT sensorId, CAST(2 AS BIGINT) AS n_rows FROM mappings WHERE sensorId LIKE '%7'""")
 oracle("stream_dedup", "raw", "SELECT DISTINCT shard_id, sequence_number, event_id FROM raw")
 oracle("stream_events_per_minute", "clean", """
 SELECT ts_ms - ts_ms % 60000 AS minute_ms, readingType, count(*) AS events FROM clean GROUP BY 1, 2""")

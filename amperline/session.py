@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -26,7 +27,7 @@ def tune(spark: SparkSession) -> SparkSession:
     """Apply the settings to a session made elsewhere."""
     for name, value in REQUIRED.items():
         spark.conf.set(name, value)
-    given = dict(spark.sparkContext.getConf().getAll())
+    given = spark.conf.getAll
     for name, value in ADVISED.items():
         if name not in given:
             spark.conf.set(name, value)
@@ -63,9 +64,12 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder under the cluster's shared checkpoint folder.
 
-    A machine-local folder is made only where the setting is absent, as in tests.
+    Without the setting only a session that runs on one machine gets a folder, as in tests: elsewhere each executor
+    would write to a disk of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="run-")
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

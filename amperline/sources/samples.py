@@ -50,14 +50,8 @@ def source_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Give a scan of a single task to all cores before heavy parsing.
-
-    One scan task reads one file split at most, so this never moves a large
-    table; a scan of several tasks is left as it is.
-    """
-    if scan.rdd.getNumPartitions() > 1:
-        return scan
-    return scan.repartition(scan.sparkSession.sparkContext.defaultParallelism, key)
+    """Deal source rows out evenly before heavy parsing: one narrow shuffle, whatever the files are like."""
+    return scan.repartition(key)
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -210,7 +204,9 @@ def query_requests(spark: SparkSession, folder: str) -> DataFrame:
         "CASE WHEN request_id % 5 = 0 THEN NULL"
         " ELSE concat(cast(date_add(day, 1) AS string), 'T00:00:00Z') END AS to_time",
         "CASE request_id % 11 WHEN 0 THEN '0' WHEN 1 THEN '1001' WHEN 2 THEN 'x'"
-        " WHEN 3 THEN NULL WHEN 4 THEN '2.5' ELSE '10' END AS limit_text",
+        " WHEN 3 THEN NULL WHEN 4 THEN '2.5' ELSE CASE request_id % 13 WHEN 0 THEN '1e2'"
+        " WHEN 1 THEN ' 7 ' WHEN 2 THEN '10d' WHEN 3 THEN '1000' WHEN 4 THEN '0x10' WHEN 5 THEN '10f'"
+        " ELSE '10' END END AS limit_text",
     )
 
 

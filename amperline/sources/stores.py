@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from amperline.functions.keys import RETENTION_SECONDS, expiry_seconds, reading_key
+
 # Rows per archive file; keeps a day's gzip files at a readable size.
 ARCHIVE_ROWS_PER_FILE = 2_000_000
 
@@ -14,6 +16,16 @@ def with_event_date(df: DataFrame) -> DataFrame:
     return df.withColumn("event_date", F.to_date("event_ts"))
 
 
+def with_keys(df: DataFrame, written: Column | None = None) -> DataFrame:
+    """Keys of a stored reading: ``pk``, ``sk``, and ``ttl`` from the time it was written, by default its arrival."""
+    written = F.timestamp_millis("arrival_ms") if written is None else written
+    return df.withColumns({
+        "pk": F.col("sensorId"),
+        "sk": reading_key(F.col("timestamp"), F.col("readingType")),
+        "ttl": expiry_seconds(written),
+    })
+
+
 def write_readings(df: DataFrame, path: str, mode: str = "append") -> None:
     """Readings by event date, sorted so that sensor ranges skip row groups.
 
@@ -71,6 +83,7 @@ def write_archive(df: DataFrame, path: str, errors: DataFrame | None = None) ->
     def put(frame: DataFrame, target: str, *before: str) -> None:
         (
             archive_parts(frame)
+            .hint("rebalance", "year", "month", "day")
             .write.mode("append")
             .partitionBy(*before, "year", "month", "day")
             .option("compression", "gzip")
@@ -101,6 +114,16 @@ def rewrite_day(spark: SparkSession, source: str, target: str, day: str) -> None
     _write_days(rows.drop("batch_id"), target, "append")
 
 
+def expire_days(spark: SparkSession, path: str, today: str) -> DataFrame:
+    """Readings of the days that still hold unexpired rows as of ``today``; the partition filter skips the others' files.
+
+    A day has expired as a whole when the retention after its end has passed.  The folders themselves are removed by
+    whoever owns the storage.
+    """
+    first = F.date_sub(F.lit(today).cast("date"), RETENTION_SECONDS // 86_400)
+    return spark.read.parquet(path).where(F.col("event_date") >= first)
+
+
 def write_outbox(messages: DataFrame, path: str) -> None:
     """Append notifications; delivery is done by whoever reads the outbox."""
     messages.write.mode("append").partitionBy("topic").parquet(path)

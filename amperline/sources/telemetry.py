@@ -17,8 +17,13 @@ RAW_SCHEMA = (
 )
 
 
+def timed(raw: DataFrame) -> DataFrame:
+    """With the arrival as epoch milliseconds, which ingest works with."""
+    return raw.withColumn("arrival_ms", F.unix_millis("arrival_ts"))
+
+
 def read_batch(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.schema(RAW_SCHEMA).format(fmt).load(path)
+    return timed(spark.read.schema(RAW_SCHEMA).format(fmt).load(path))
 
 
 def read_stream(
@@ -28,7 +33,7 @@ def read_stream(
     reader = spark.readStream.schema(RAW_SCHEMA).format(fmt)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.load(path)
+    return timed(reader.load(path))
 
 
 def read_kafka(
@@ -47,14 +52,14 @@ def read_kafka(
     )
     if records_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", records_per_trigger)
-    return reader.load().select(
+    return timed(reader.load().select(
         F.concat(F.lit("shard-"), F.col("partition").cast("string")).alias("shard_id"),
         F.col("offset").cast("string").alias("sequence_number"),
         F.split_part(F.col("key").cast("string"), F.lit("/"), F.lit(2)).alias("partition_key"),
         F.col("key").cast("string").alias("topic"),
         F.col("timestamp").alias("arrival_ts"),
         F.col("value").cast("string").alias("payload"),
-    )
+    ))
 
 
 def route(df: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from amperline.operators.dedup import LEDGER_HOURS
 from amperline.operators.workflow import WAIT_MS
 
 HEARTBEAT = "heartbeat"
@@ -21,12 +22,18 @@ MARKS = "case_pk string, at_ms bigint"
 OUTCOMES = "case_pk string, notified_ms bigint, ack_ms bigint, escalated boolean"
 
 
-def heartbeat_stream(spark: SparkSession, folder: str, at: str = "2100-01-01T00:00:00Z") -> DataFrame:
-    """A stream with one row that tells how far time has come."""
-    at_ms = F.unix_millis(F.lit(at).cast("timestamp"))
-    spark.range(1).select(F.lit(HEARTBEAT).alias("case_pk"), at_ms.alias("at_ms")).write.mode(
-        "overwrite"
-    ).parquet(folder)
+def beat(spark: SparkSession, folder: str, at: str | None = None) -> None:
+    """Add a row that tells how far time has come: now, or ``at`` for input that has an end.
+
+    A live stream beats again and again with the current time; a far date would make all later rows late.
+    """
+    at_ms = F.unix_millis(F.current_timestamp() if at is None else F.lit(at).cast("timestamp"))
+    spark.range(1).select(F.lit(HEARTBEAT).alias("case_pk"), at_ms.alias("at_ms")).write.mode("append").parquet(folder)
+
+
+def heartbeat_stream(spark: SparkSession, folder: str, at: str | None = None) -> DataFrame:
+    """The stream of heartbeats in a folder, begun with one."""
+    beat(spark, folder, at)
     return spark.readStream.schema(MARKS).parquet(folder)
 
 
@@ -71,49 +78,59 @@ def first_acks(outcomes: DataFrame) -> DataFrame:
 
 
 class AckTimer(StatefulProcessor):
-    """Per case: remember the alert, wait for an acknowledgement or the timer."""
+    """Per case: the alert, its acknowledgements, and a mark once the wait is over.
+
+    Acknowledgements may come before their alert: all are kept and the first one within the wait counts, whatever
+    the batches were.  State goes by timers: the wait's own, that of acknowledgements without an alert, and that of
+    the closed mark, which keeps a redelivered alert from waiting again.
+    """
 
     wait_ms = WAIT_MS
+    closed_ms = LEDGER_HOURS * 3_600_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.alert = handle.getValueState("alert", "at_ms long")
-        self.early = handle.getValueState("ack", "at_ms long")
+        self.acks = handle.getListState("acks", "at_ms long")
+        self.closed = handle.getValueState("closed", "at_ms long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         (case_pk,) = key
-        if case_pk == HEARTBEAT:
-            return
-        frame = pd.concat(rows, ignore_index=True)
-        notified = frame.loc[frame["kind"] == "alert", "at_ms"]
-        acked = frame.loc[frame["kind"] == "ack", "at_ms"]
-        if len(notified) and not self.alert.exists():
-            start = int(notified.min())
-            self.alert.update((start,))
-            self.handle.registerTimer(start + self.wait_ms)
-        times = [int(t) for t in acked]
-        if self.early.exists():
-            times.append(int(self.early.get()[0]))
-        if not self.alert.exists():
-            # The acknowledgement came first in processing order.
-            if times:
-                self.early.update((min(times),))
-            return
-        start = int(self.alert.get()[0])
-        in_time = [t for t in times if start <= t <= start + self.wait_ms]
-        if in_time:
-            best = min(in_time)
-            if not self.early.exists() or int(self.early.get()[0]) != best:
-                self.early.update((best,))
+        if case_pk != HEARTBEAT and not self.closed.exists():
+            frame = pd.concat(rows, ignore_index=True)
+            notified = frame.loc[frame["kind"] == "alert", "at_ms"]
+            acked = sorted({int(t) for t in frame.loc[frame["kind"] == "ack", "at_ms"]})
+            if len(notified) and not self.alert.exists():
+                start = int(notified.min())
+                self.alert.update((start,))
+                self.handle.registerTimer(start + self.wait_ms)
+            known = {int(t[0]) for t in self.acks.get()} if self.acks.exists() else set()
+            for at in acked:
+                if at not in known:
+                    self.acks.appendValue((at,))
+                    if not self.alert.exists():
+                        self.handle.registerTimer(at + self.wait_ms)
         yield from ()
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        now = expiredTimerInfo.getExpiryTimeInMs()
+        if self.closed.exists():
+            if now >= int(self.closed.get()[0]) + self.closed_ms:
+                self.closed.clear()
+            return
+        acks = [int(t[0]) for t in self.acks.get()] if self.acks.exists() else []
+        if not self.alert.exists():
+            left = [(t,) for t in acks if t + self.wait_ms > now]
+            self.acks.put(left) if left else self.acks.clear()
+            return
         start = int(self.alert.get()[0])
-        ack = int(self.early.get()[0]) if self.early.exists() else None
-        if ack is not None and not start <= ack <= start + self.wait_ms:
-            ack = None
+        if now < start + self.wait_ms:
+            return
+        ack = min((t for t in acks if start <= t <= start + self.wait_ms), default=None)
         self.alert.clear()
-        self.early.clear()
+        self.acks.clear()
+        self.closed.update((now,))
+        self.handle.registerTimer(now + self.closed_ms)
         yield pd.DataFrame(
             {
                 "case_pk": [key[0]],
@@ -130,8 +147,8 @@ class AckTimer(StatefulProcessor):
 def ack_timer(alerts: DataFrame, acks: DataFrame, heartbeat: DataFrame) -> DataFrame:
     """The same outcome from an event-time timer per case, for long waits.
 
-    Rows are spread by case key; a case holds one alert and one acknowledgement
-    in its state and is cleared when its timer fires.
+    Rows are spread by case key.  The interval join is the usual form; this one is for waits too long to keep
+    joined rows in state.
     """
     rows = (
         alerts.withColumn("kind", F.lit("alert"))

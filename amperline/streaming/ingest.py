@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amperline.operators.dedup import LEDGER_HOURS, NATURAL_KEY, first_writes
+from amperline.operators.dedup import LEDGER_HOURS, NATURAL_KEY, drop_redelivered, first_writes, is_exhausted
+from amperline.operators.dedup import MAX_ATTEMPTS, SEQUENCE_KEY
 from amperline.operators.validation import validate
-from amperline.sources.stores import ARCHIVE_ROWS_PER_FILE, archive_parts, with_event_date
+from amperline.sources.stores import ARCHIVE_ROWS_PER_FILE, archive_parts, with_event_date, with_keys
 from amperline.sources.telemetry import route
 from amperline.streaming.jobs import read_or_empty, run_to_end, write_batch
 
@@ -17,57 +18,54 @@ STORED_KEYS = (
     "sensorId string, timestamp string, readingType string,"
     " event_ts timestamp, event_date date, batch_id bigint"
 )
+LEDGER = "shard_id string, sequence_number string, arrival_ms bigint, arrival_day date, batch_id bigint"
 READING_COLUMNS = (
-    "sensorId", "timestamp", "event_ts", "readingType", "value", "unit", "gridZone",
+    "pk", "sk", "ttl", "sensorId", "timestamp", "event_ts", "readingType", "value", "unit", "gridZone",
     "shard_id", "sequence_number", "arrival_ms",
 )
-# Days a batch may touch before the stored keys are read without day pruning.
-MAX_PRUNED_DAYS = 1000
+HOUR_MS = 3_600_000
 
 
-def drop_redelivered_stream(df: DataFrame, *more_keys: str) -> DataFrame:
-    """One row per sequence number of a shard, remembered for the ledger's 25 hours."""
-    return df.withWatermark("arrival_ts", f"{LEDGER_HOURS} hours").dropDuplicatesWithinWatermark(
-        ["shard_id", "sequence_number", *more_keys]
-    )
+def checked_stream(raw: DataFrame) -> DataFrame:
+    """Validated records.  No watermark: a lagging shard loses nothing, and what was seen before is told by the ledger."""
+    return validate(route(raw), sensor="partition_key")
 
 
-def checked_stream(raw: DataFrame) -> DataFrame:
-    """Validated records without redelivered ones.
+def _arrival_day(ms: str) -> Column:
+    return F.to_date(F.timestamp_millis(ms))
+
+
+def new_sequences(spark: SparkSession, rows: DataFrame, ledger: str, batch_id: int) -> DataFrame:
+    """The first copy of each sequence number that no earlier batch has processed.
 
-    Only records that were processed enter the ledger: a rejected record is told
-    apart by its arrival, so each of its tries is rejected again.
+    A copy arrives at most the ledger's hours after its first one, so stored days of that range prune the ledger.
     """
-    checked = validate(route(raw), sensor="partition_key")
-    marked = checked.withColumn(
-        "try_mark",
-        F.when(F.size("errors") == 0, F.lit("")).otherwise(F.col("arrival_ts").cast("string")),
-    )
-    return drop_redelivered_stream(marked, "try_mark").drop("try_mark")
+    low, high = rows.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
+    first = drop_redelivered(rows)
+    if low is None:
+        return first
+    span = LEDGER_HOURS * HOUR_MS
+    days = [F.to_date(F.timestamp_millis(F.lit(ms))) for ms in (low - span, high + span)]
+    known = read_or_empty(spark, ledger, LEDGER).where(F.col("arrival_day").between(*days) & (F.col("batch_id") != batch_id))
+    known = known.where(F.col("arrival_ms").between(low - span, high + span))
+    return first.join(known.select(*SEQUENCE_KEY), [*SEQUENCE_KEY], "left_anti")
+
+
+def write_ledger(rows: DataFrame, path: str, batch_id: int) -> None:
+    write_batch(rows.select(*SEQUENCE_KEY, "arrival_ms", _arrival_day("arrival_ms").alias("arrival_day")), path, batch_id, "arrival_day")
 
 
 def _stored_keys(spark: SparkSession, path: str, rows: DataFrame, batch_id: int) -> DataFrame:
     """Natural keys already stored that a batch can collide with.
 
-    The natural key holds the event time, so only stored rows of the batch's own
-    days and within its range of event times can be duplicates.  The days prune
-    partitions, the range prunes files: a file holds the rows of one batch.  A
-    batch with very many days is not pruned by day, with the same result.
+    The natural key holds the event time, so only stored rows within the batch's range of event times can be
+    duplicates.  Their days prune partitions and the range prunes files, as a file holds the rows of one batch.
     """
-    days = rows.groupBy("event_date").agg(
-        F.min("event_ts").alias("low"), F.max("event_ts").alias("high")
-    ).limit(MAX_PRUNED_DAYS + 1).collect()
-    if not days:
+    low, high = rows.agg(F.min("event_ts"), F.max("event_ts")).first()
+    if low is None:
         return spark.createDataFrame([], STORED_KEYS)
-    if len(days) > MAX_PRUNED_DAYS:
-        stored = read_or_empty(spark, path, STORED_KEYS)
-    else:
-        names = ",".join(sorted(str(day["event_date"]) for day in days))
-        low, high = min(day["low"] for day in days), max(day["high"] for day in days)
-        stored = read_or_empty(spark, path, STORED_KEYS, [f"event_date={{{names}}}"]).where(
-            F.col("event_ts").between(F.lit(low), F.lit(high))
-        )
-    return stored.where(F.col("batch_id") != batch_id)
+    stored = read_or_empty(spark, path, STORED_KEYS).where(F.col("event_date").between(F.to_date(F.lit(low)), F.to_date(F.lit(high))))
+    return stored.where(F.col("event_ts").between(F.lit(low), F.lit(high)) & (F.col("batch_id") != batch_id))
 
 
 @dataclass(frozen=True)
@@ -84,6 +82,14 @@ class IngestTarget:
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
 
+    @property
+    def ledger(self) -> str:
+        return f"{self.root}/ledger"
+
+    @property
+    def staging(self) -> str:
+        return f"{self.root}/staging"
+
     @property
     def counts(self) -> str:
         return f"{self.root}/counts"
@@ -97,56 +103,67 @@ class IngestTarget:
         return f"{self.root}/checkpoint"
 
 
-def store_batch(target: IngestTarget):
-    """The function each micro-batch of ``checked_stream`` is handed to."""
+def store_batch(target: IngestTarget, as_of_ms: int | None = None):
+    """The function each micro-batch of ``checked_stream`` is handed to.
+
+    Every record ends in one place: readings, quarantine (rejected, or given up by age or tries), or it is counted as
+    redelivered or duplicate.  ``as_of_ms`` is the time of processing that ages count from; a replay of old records has
+    none, and then only tries count.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        # Three writes use the batch; without this each would run the stream's
-        # stateful part again.
-        batch = batch.persist()
-        try:
-            ok = F.size("errors") == 0
-            rejected = batch.where(~ok).select(
-                "shard_id", "sequence_number", "topic", "payload", "errors", "arrival_ms"
-            )
-            write_batch(rejected, target.quarantine, batch_id)
-            valid = with_event_date(batch.where(ok))
-            stored = _stored_keys(spark, target.readings, valid, batch_id)
-            new = first_writes(valid).join(
-                stored.select(*NATURAL_KEY), [*NATURAL_KEY], "left_anti"
-            )
-            write_batch(
-                new.select(*READING_COLUMNS, "event_date"), target.readings, batch_id, "event_date"
-            )
-            # What was stored is read back from this batch's own partitions, so the
-            # number is right after a lost executor or a replay too.
-            written = read_or_empty(
-                spark, target.readings, STORED_KEYS, [f"event_date=*/batch_id={batch_id}"]
-            )
-            seen = batch.select(
-                F.lit(1).alias("records"), (~ok).cast("int").alias("rejected"), F.lit(0).alias("kept")
-            )
-            stored_rows = written.select(
-                F.lit(0).alias("records"), F.lit(0).alias("rejected"), F.lit(1).alias("kept")
-            )
-            counts = seen.unionByName(stored_rows).agg(
-                *[F.sum(name).alias(name) for name in ("records", "rejected", "kept")]
-            )
-            write_batch(
-                counts.withColumn("duplicates", F.expr("records - rejected - kept")),
-                target.counts, batch_id,
-            )
-        finally:
-            batch.unpersist()
+        # Several writes use the batch: it is parsed once into a shared folder, which the next batch overwrites.
+        batch.write.mode("overwrite").parquet(target.staging)
+        rows = spark.read.schema(batch.schema).parquet(target.staging)
+        attempts = F.col("attempts") if "attempts" in rows.columns else F.lit(1)
+        aged = is_exhausted(F.lit(1), F.col("arrival_ms"), as_of_ms) if as_of_ms is not None else F.lit(False)
+        tired = attempts > MAX_ATTEMPTS
+        reasons = F.when(aged, F.array(F.lit("aged"))).when(tired, F.array(F.lit("exhausted"))).otherwise(F.col("errors"))
+        rows = rows.withColumn("errors", reasons)
+        ok = F.size("errors") == 0
+        quarantined = rows.where(~ok).select("shard_id", "sequence_number", "topic", "payload", "errors", "arrival_ms")
+        write_batch(quarantined, target.quarantine, batch_id)
+        fresh = new_sequences(spark, rows.where(ok), target.ledger, batch_id)
+        write_ledger(fresh, target.ledger, batch_id)
+        # Later steps see what the ledger has of this batch; a replay gives the same.
+        valid = with_event_date(fresh)
+        stored = _stored_keys(spark, target.readings, valid, batch_id)
+        new = first_writes(valid).join(stored.select(*NATURAL_KEY), [*NATURAL_KEY], "left_anti")
+        write_batch(with_keys(new).select(*READING_COLUMNS, "event_date"), target.readings, batch_id, "event_date")
+        # Counted from what was stored, so that the numbers are right after a lost executor or a replay too.
+        mine = F.col("batch_id") == batch_id
+        parts = [
+            (rows.select(F.lit(1)), "records"),
+            (quarantined.select(F.lit(1)), "quarantined"),
+            (read_or_empty(spark, target.ledger, LEDGER).where(mine).select(F.lit(1)), "processed"),
+            (read_or_empty(spark, target.readings, STORED_KEYS).where(mine).select(F.lit(1)), "kept"),
+        ]
+        counts = None
+        for frame, name in parts:
+            one = frame.agg(F.count("*").alias(name))
+            counts = one if counts is None else counts.join(one)
+        counts = counts.selectExpr("records", "quarantined", "records - quarantined - processed AS redelivered", "processed - kept AS duplicates", "kept")
+        write_batch(counts.where("records > 0"), target.counts, batch_id)
 
     return run
 
 
-def run_ingest(raw: DataFrame, target: IngestTarget) -> None:
-    """Ingest everything the stream has; safe to stop and start again."""
-    writer = checked_stream(raw).writeStream.foreachBatch(store_batch(target)).outputMode("append")
-    run_to_end(writer, f"{target.checkpoint}/ingest")
+def run_dedup(raw: DataFrame, root: str) -> None:
+    """One row per sequence number of a shard, over the whole stream: ``root``/rows."""
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        write_batch(new_sequences(spark, batch, f"{root}/ledger", batch_id), f"{root}/rows", batch_id)
+        write_ledger(spark.read.parquet(f"{root}/rows").where(F.col("batch_id") == batch_id), f"{root}/ledger", batch_id)
+
+    run_to_end(raw.writeStream.foreachBatch(run).outputMode("append"), f"{root}/checkpoint")
+
+
+def run_ingest(raw: DataFrame, target: IngestTarget, as_of_ms: int | None = None, every: str | None = None) -> None:
+    """Ingest everything the stream has, or go on with a batch ``every`` so often; safe to stop and start again."""
+    writer = checked_stream(raw).writeStream.foreachBatch(store_batch(target, as_of_ms)).outputMode("append")
+    run_to_end(writer, f"{target.checkpoint}/ingest", every)
 
 
 def run_archive(raw: DataFrame, target: IngestTarget) -> None:

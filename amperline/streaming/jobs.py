@@ -49,7 +49,8 @@ def read_or_empty(
         return spark.createDataFrame([], schema)
 
 
-def run_to_end(writer, checkpoint: str) -> None:
-    """Process all input there is, then stop; raises if the stream failed."""
-    query = writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def run_to_end(writer, checkpoint: str, every: str | None = None) -> None:
+    """Process all input there is, then stop; with ``every`` ("1 second") run on until stopped.  Raises if the stream failed."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    query = writer.option("checkpointLocation", checkpoint).trigger(**trigger).start()
     query.awaitTermination()

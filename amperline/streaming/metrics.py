@@ -10,29 +10,24 @@ from amperline.streaming.jobs import read_or_empty, run_to_end, write_batch
 COUNTS = "minute_ms bigint, readingType string, events bigint, batch_id bigint"
 
 
-def events_per_minute(readings: DataFrame, lateness: str = "10 minutes") -> DataFrame:
-    """Events per event-time minute and reading type, late ones up to the watermark."""
-    return (
-        readings.withWatermark("event_ts", lateness)
-        .groupBy(F.window("event_ts", "1 minute"), "readingType")
-        .agg(F.count("*").alias("events"))
-        .select(F.unix_millis("window.start").alias("minute_ms"), "readingType", "events")
-    )
+def events_per_minute(records: DataFrame, time: str = "arrival_ts") -> DataFrame:
+    """Records per minute of ``time`` (their arrival) and reading type."""
+    minute = F.unix_millis(F.date_trunc("minute", time)).alias("minute_ms")
+    return records.groupBy(minute, "readingType").agg(F.count("*").alias("events"))
+
 
+def run_events_per_minute(records: DataFrame, root: str) -> None:
+    """Append the counts of each batch; ``current_counts`` adds them up.
 
-def run_events_per_minute(readings: DataFrame, root: str) -> None:
-    """Append each batch's changed windows; ``current_counts`` folds them."""
-    writer = (
-        events_per_minute(readings)
-        .writeStream.outputMode("update")
-        .foreachBatch(lambda batch, batch_id: write_batch(batch, f"{root}/counts", batch_id))
+    No state and no watermark: a record counts whenever it comes.
+    """
+    writer = records.writeStream.foreachBatch(
+        lambda batch, batch_id: write_batch(events_per_minute(batch), f"{root}/counts", batch_id)
     )
     run_to_end(writer, f"{root}/checkpoint")
 
 
 def current_counts(spark: SparkSession, root: str) -> DataFrame:
-    """Newest count of every window."""
+    """Counts so far of every minute."""
     rows = read_or_empty(spark, f"{root}/counts", COUNTS)
-    return rows.groupBy("minute_ms", "readingType").agg(
-        F.max_by("events", "batch_id").alias("events")
-    )
+    return rows.groupBy("minute_ms", "readingType").agg(F.sum("events").alias("events"))

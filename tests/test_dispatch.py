@@ -88,7 +88,7 @@ def test_retry_audit(spark):
 
 def test_first_ack_in_time_counts(spark):
     alerts = spark.createDataFrame([("a", 0), ("b", 0), ("c", 0)], "case_pk string, ms long").select(
-        "case_pk", F.timestamp_millis("ms").alias("event_ts"))
+        "case_pk", F.col("ms").alias("notified_ms"))
     acks = spark.createDataFrame(
         [("a", 900_000), ("a", 5_000), ("b", 900_001), ("c", -1)], "case_pk string, ack_ms long")
     found = {r["case_pk"]: (r["ack_ms"], r["escalated"]) for r in workflow.ack_escalation(alerts, acks).collect()}

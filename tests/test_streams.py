@@ -48,8 +48,10 @@ def test_ingest_in_steps_with_restarts(spark, folder):
     streaming.run_ingest(stream(spark, f"{folder}/in"), target)
     assert kept(spark, target.readings) == want
     assert spark.read.parquet(target.quarantine).count() == run.rejected.count()
-    counts = spark.read.parquet(target.counts).agg(F.sum("kept"), F.sum("rejected"), F.sum("duplicates")).first()
-    assert counts == (len(want), run.rejected.count(), run.writes.count() - len(want))
+    counts = spark.read.parquet(target.counts).agg(F.sum("kept"), F.sum("quarantined"), F.sum("duplicates"), F.sum("redelivered"), F.sum("records")).first()
+    redelivered = run.valid.count() - run.writes.count()
+    assert counts == (len(want), run.rejected.count(), run.writes.count() - len(want), redelivered, run.checked.count())
+    assert spark.read.parquet(target.counts).where("kept IS NULL OR records IS NULL").isEmpty()
 
 
 def test_replayed_batch_changes_nothing(spark, folder):
@@ -100,13 +102,14 @@ def test_both_ack_forms_agree(spark, folder):
     given = given.union(given.withColumn("at_ms", F.col("at_ms") + 1000))
     for name, frame in (("alerts", alerts), ("acks", given)):
         frame.write.parquet(f"{folder}/{name}")
-    want = sorted((r["case_pk"], r["ack_ms"], r["escalated"]) for r in workflow.ack_escalation(found, samples_acks).collect())
+    timed = found.withColumn("notified_ms", F.unix_millis("event_ts"))
+    want = sorted((r["case_pk"], r["ack_ms"], r["escalated"]) for r in workflow.ack_escalation(timed, samples_acks).collect())
 
     def source(name):
         return spark.readStream.schema(acks.MARKS).parquet(f"{folder}/{name}")
 
     for name, build in (("join", acks.ack_join), ("timer", acks.ack_timer)):
-        beat = acks.heartbeat_stream(spark, f"{folder}/beat-{name}")
+        beat = acks.heartbeat_stream(spark, f"{folder}/beat-{name}", "2100-01-01T00:00:00Z")
         rows = build(source("alerts"), source("acks"), beat)
         out = f"{folder}/{name}"
         jobs.run_to_end(rows.writeStream.format("parquet").option("path", f"{out}/rows").outputMode("append"), f"{out}/check")
@@ -118,3 +121,102 @@ def test_ledger_outlives_the_stream():
     from amperline.operators.dedup import LEDGER_HOURS, MAX_AGE_HOURS, STREAM_RETENTION_HOURS
 
     assert LEDGER_HOURS > STREAM_RETENTION_HOURS >= MAX_AGE_HOURS
+
+
+def test_late_shard_loses_nothing(spark, folder):
+    """A record whose arrival lies far behind those already seen is kept, and a copy of it is not."""
+    target = streaming.IngestTarget(f"{folder}/out")
+    raw = samples.raw_telemetry(spark, FOLDER)
+    cut = raw.agg(F.percentile_approx("arrival_ms", 0.5)).first()[0]
+    store = streaming.store_batch(target)
+    for i, part in enumerate((f"arrival_ms >= {cut}", f"arrival_ms < {cut}", f"arrival_ms < {cut}")):
+        store(streaming.checked_stream(raw.where(part)), i)
+    assert kept(spark, target.readings) == kept_of(ingest(raw).kept)
+    last = spark.read.parquet(target.counts).where("batch_id = 2").first()
+    assert last.kept == 0 and last.redelivered + last.quarantined == last.records > 0
+
+
+def kept_of(frame):
+    return sorted(frame.select(*COLUMNS).collect())
+
+
+def test_counts_add_up_over_batches(spark, folder):
+    from amperline.streaming import metrics
+
+    rows = samples.readings(spark, FOLDER).select(F.col("event_ts").alias("arrival_ts"), "readingType")
+    for i in (1, 0, 2):  # minutes come back in later batches
+        jobs.write_batch(metrics.events_per_minute(rows.where(F.crc32(F.col("arrival_ts").cast("string").cast("binary")) % 3 == i)), f"{folder}/counts", i)
+    want = sorted(metrics.events_per_minute(rows).collect())
+    assert sorted(metrics.current_counts(spark, folder).select("minute_ms", "readingType", "events").collect()) == want
+
+
+class Handle:
+    """Stands for the state of one case."""
+
+    def __init__(self):
+        self.timers = set()
+
+    class State:
+        def __init__(self):
+            self.rows = []
+
+        def exists(self):
+            return bool(self.rows)
+
+        def get(self):
+            return self.rows[0] if self.one else iter(self.rows)
+
+        def update(self, row):
+            self.rows = [row]
+
+        def put(self, rows):
+            self.rows = list(rows)
+
+        def appendValue(self, row):
+            self.rows.append(row)
+
+        def clear(self):
+            self.rows = []
+
+    def getValueState(self, name, schema):
+        state = self.State()
+        state.one = True
+        return state
+
+    def getListState(self, name, schema):
+        state = self.State()
+        state.one = False
+        return state
+
+    def registerTimer(self, at):
+        self.timers.add(at)
+
+
+def wait_for(batches, until=10**12):
+    """Outcomes of one case whose marks come in the given batches; timers fire at the end."""
+    import pandas as pd
+
+    timer, handle, out = acks.AckTimer(), Handle(), []
+    timer.init(handle)
+    for batch in batches:
+        out += timer.handleInputRows(("c",), iter([pd.DataFrame(batch, columns=["kind", "at_ms"])]), None)
+    while handle.timers and min(handle.timers) <= until:
+        at = min(handle.timers)
+        handle.timers.remove(at)
+        out += timer.handleExpiredTimer(("c",), None, type("T", (), {"getExpiryTimeInMs": lambda self, at=at: at})())
+    clear = not any(s.exists() for s in (timer.alert, timer.acks, timer.closed))
+    return [(int(o.notified_ms[0]), None if o.escalated[0] else int(o.ack_ms[0])) for o in out], clear, timer, handle
+
+
+def test_timer_does_not_depend_on_batches():
+    alert, early, good, late = ("alert", 100), ("ack", 90), ("ack", 110), ("ack", 100 + acks.WAIT_MS + 1)
+    for batches in ([[early, good, alert]], [[early], [good], [alert]], [[alert], [early, good]], [[good], [alert, early]]):
+        assert wait_for(batches)[:2] == ([(100, 110)], True)
+    assert wait_for([[early], [alert], [late]])[:2] == ([(100, None)], True)
+    assert wait_for([[good]])[:2] == ([], True)
+    # A redelivered alert after its wait does not wait again.
+    found, _, timer, handle = wait_for([[alert]], until=100 + acks.WAIT_MS)
+    import pandas as pd
+
+    assert found == [(100, None)] and list(timer.handleInputRows(("c",), iter([pd.DataFrame([alert], columns=["kind", "at_ms"])]), None)) == []
+    assert not timer.alert.exists()
