@@ -146,6 +146,15 @@ def test_approximate_percentiles_are_values_of_the_log(spark):
     assert (row["p50"], row["p95"], row["p99"]) == (50.0, 95.0, 99.0)
 
 
+def test_payload_stays_out_of_the_shuffles(spark):
+    from amperline.plans.ingest import ingest
+    from amperline.sources import samples
+
+    plan = ingest(samples.raw_telemetry(spark, "/root/testdata/sf0.001")).kept._jdf.queryExecution().sparkPlan().toString()
+    aggregates = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert aggregates and not any("payload#" in line for line in aggregates)
+
+
 def test_ordered_export_splits_a_hot_sensor(spark):
     rows = [(s, ms, f"{i:05d}") for i, s, ms, _ in skewed(2000, 9)]
     frame = spark.createDataFrame(rows, "sensorId string, arrival_ms long, sequence_number string")
