@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from amperline.operators.payloads import SUBJECT_LENGTH
 
+# The member names and types of a dead-letter envelope.
 ENVELOPE = (
     "requestContext struct<requestId: string, functionArn: string, condition: string,"
     " approximateInvokeCount: bigint>,"

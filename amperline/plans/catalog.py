@@ -32,7 +32,7 @@ from amperline.operators import (
 from amperline.plans.alerting import audit_enrichment, classified_breaches, enrich_breaches
 from amperline.plans.ingest import ingest
 from amperline.session import shared_folder, stored, tune
-from amperline.sources import samples, stores, telemetry
+from amperline.sources import registry, samples, stores, telemetry
 from amperline.streaming import acks as stream_acks
 from amperline.streaming import ingest as stream_ingest_jobs
 from amperline.streaming import jobs
@@ -604,6 +604,7 @@ def enriched_payloads(spark, folder):
     told = enrich_breaches(found, WIDE)
     summary = dispatch.dispatch_summary(_outcomes(spark, folder, found)).where("attempt_no = 1")
     full = payloads.enriched_payload(told.join(summary, "case_pk", "left"))
+    # The members of the payload.
     members = F.from_json(
         "payload",
         "severity string, severityConfidence double, severityReasoning string, escalated boolean,"
@@ -794,12 +795,31 @@ def dlq_still_queued(spark, folder):
 # --- location --------------------------------------------------------------
 
 
+def _written(rows: DataFrame, name: str) -> str:
+    """Registry rows as files, one object a line, so that queries read them as a user's registry is read."""
+    path = shared_folder(rows.sparkSession, name)
+    rows.write.json(path)
+    return path
+
+
+def _mappings(spark, folder):
+    return registry.load_mappings(spark, _written(samples.sensor_mappings(spark, folder), "mappings"), lines=True)
+
+
+def _assets(spark, folder):
+    return registry.load_assets(spark, _written(samples.assets(spark, folder), "assets"), lines=True)
+
+
+def _floors(spark, folder):
+    return registry.load_floor_maps(spark, _written(samples.floor_maps(spark, folder), "floors"), lines=True)
+
+
 @query
 def enrich_location(spark, folder):
     enriched = location.enrich(
         samples.breaches(spark, folder),
-        samples.sensor_mappings(spark, folder),
-        samples.assets(spark, folder),
+        _mappings(spark, folder),
+        _assets(spark, folder),
     )
     return enriched.select(
         "e", "sensorId", "assetId", "assetName", "enrichmentStatus",
@@ -811,47 +831,47 @@ def enrich_location(spark, folder):
 
 @query
 def asset_zone(spark, folder):
-    found = location.asset_zones(samples.assets(spark, folder), samples.floor_maps(spark, folder))
+    found = location.asset_zones(_assets(spark, folder), _floors(spark, folder))
     return found.select("assetId", "zoneId", "zone_name", "zone_type")
 
 
 @query
 def registry_orphans(spark, folder):
     return location.orphan_sensors(
-        samples.assets(spark, folder), samples.sensor_mappings(spark, folder)
+        _assets(spark, folder), _mappings(spark, folder)
     )
 
 
 @query
 def registry_missing_assets(spark, folder):
     return location.missing_assets(
-        samples.sensor_mappings(spark, folder), samples.assets(spark, folder)
+        _mappings(spark, folder), _assets(spark, folder)
     )
 
 
 @query
 def registry_missing_zones(spark, folder):
-    return location.missing_zones(samples.assets(spark, folder), samples.floor_maps(spark, folder))
+    return location.missing_zones(_assets(spark, folder), _floors(spark, folder))
 
 
 @query
 def registry_unit_mismatch(spark, folder):
     return location.unit_mismatches(
-        samples.assets(spark, folder), samples.floor_maps(spark, folder)
+        _assets(spark, folder), _floors(spark, folder)
     )
 
 
 @query
 def point_in_zone(spark, folder):
     return location.zone_by_position(
-        samples.assets(spark, folder), samples.floor_maps(spark, folder)
+        _assets(spark, folder), _floors(spark, folder)
     )
 
 
 @query
 def sensor_specific_breaches(spark, folder):
     judged = thresholds.evaluate_per_sensor(
-        samples.readings(spark, folder), samples.sensor_mappings(spark, folder)
+        samples.readings(spark, folder), _mappings(spark, folder)
     )
     return judged.where("exceeded").select("e", "sensorId", "value", "details")
 
@@ -928,7 +948,8 @@ def registry_duplicates(spark, folder):
     """Sensors that a second, conflicting registry file maps again."""
     mappings = samples.sensor_mappings(spark, folder)
     second = mappings.where("sensorId LIKE '%7'").withColumn("assetId", F.lit("asset-other"))
-    return location.duplicate_keys(mappings.unionByName(second), "sensorId")
+    loaded = registry.load_mappings(spark, _written(mappings.unionByName(second), "mappings"), lines=True, unique=False)
+    return location.duplicate_keys(loaded, "sensorId")
 
 
 @query

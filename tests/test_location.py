@@ -9,10 +9,10 @@ from amperline.operators import location, thresholds
 from amperline.sources import registry
 
 ASSET = {
-    "assetId": "conveyor-02", "displayName": "Conveyor 02", "assetType": "conveyor", "plantId": "p", "buildingId": "b",
+    "assetId": "press-09", "displayName": "Press 09", "assetType": "press", "plantId": "p", "buildingId": "b",
     "floorId": "f", "lineId": "line-1", "cellId": "cell-a", "zoneId": "zone-line-1-cell-a",
-    "sensorIds": ["temp-044", "temp-045"], "safetyClassification": "s", "maintenanceOwner": "m",
-    "location": {"x": 42.5, "y": 18.2, "rotation": 0, "units": "meters"},
+    "sensorIds": ["temp-117", "temp-118"], "safetyClassification": "s", "maintenanceOwner": "m",
+    "location": {"x": 44.25, "y": 13.75, "rotation": 0, "units": "meters"},
 }
 FLOOR = {
     "plantId": "p", "buildingId": "b", "floorId": "f", "name": "n", "units": "meters", "width": 100, "height": 50,
@@ -36,7 +36,7 @@ def loaded(spark, folder):
         "assets": [ASSET, {**ASSET, "assetId": "no-place", "zoneId": "nowhere", "sensorIds": [], "location": None},
                    {**ASSET, "assetId": "other-unit", "sensorIds": [], "location": {"x": 2, "y": 3, "rotation": 0, "units": "cm"}}],
         "floors": [FLOOR],
-        "mappings": [mapping("temp-044", "conveyor-02"), mapping("temp-001", "gone"), mapping("temp-002", "no-place")],
+        "mappings": [mapping("temp-117", "press-09"), mapping("temp-001", "gone"), mapping("temp-002", "no-place")],
     }
     for name, rows in files.items():
         with open(f"{folder}/{name}.json", "w") as out:
@@ -47,13 +47,13 @@ def loaded(spark, folder):
 
 def test_enrichment(spark, loaded):
     assets, _, mappings = loaded
-    events = spark.createDataFrame([(s,) for s in ("temp-044", "temp-001", "temp-002", "temp-999")], "sensorId string")
+    events = spark.createDataFrame([(s,) for s in ("temp-117", "temp-001", "temp-002", "temp-999")], "sensorId string")
     rows = {r["sensorId"]: r for r in location.enrich(events, mappings, assets).collect()}
     assert {s: r["enrichmentStatus"] for s, r in rows.items()} == {
-        "temp-044": "enriched", "temp-001": "asset_missing", "temp-002": "location_missing", "temp-999": "sensor_unmapped"}
-    place = rows["temp-044"]["locationContext"]
-    assert (place["zoneId"], place["x"], place["y"], place["floorId"]) == ("zone-line-1-cell-a", 42.5, 18.2, "f")
-    assert (rows["temp-044"]["assetId"], rows["temp-044"]["assetName"]) == ("conveyor-02", "Conveyor 02")
+        "temp-117": "enriched", "temp-001": "asset_missing", "temp-002": "location_missing", "temp-999": "sensor_unmapped"}
+    place = rows["temp-117"]["locationContext"]
+    assert (place["zoneId"], place["x"], place["y"], place["floorId"]) == ("zone-line-1-cell-a", 44.25, 13.75, "f")
+    assert (rows["temp-117"]["assetId"], rows["temp-117"]["assetName"]) == ("press-09", "Press 09")
     lost = rows["temp-999"]
     assert (lost["assetId"], lost["assetName"], lost["locationContext"]) == ("", "", None)
 
@@ -61,22 +61,22 @@ def test_enrichment(spark, loaded):
 def test_zone_by_name_and_position(loaded):
     assets, floors, _ = loaded
     named = {r["assetId"]: r["zone_name"] for r in location.asset_zones(assets, floors).collect()}
-    assert named == {"conveyor-02": "A", "no-place": None, "other-unit": "A"}
+    assert named == {"press-09": "A", "no-place": None, "other-unit": "A"}
     placed = {r["assetId"]: r["found_zone"] for r in location.zone_by_position(assets, floors).collect()}
-    assert placed == {"conveyor-02": "zone-line-1-cell-a", "no-place": None, "other-unit": "zone-triangle"}
+    assert placed == {"press-09": "zone-line-1-cell-a", "no-place": None, "other-unit": "zone-triangle"}
 
 
 def test_integrity(loaded):
     assets, floors, mappings = loaded
-    assert [r["sensorId"] for r in location.orphan_sensors(assets, mappings).collect()] == ["temp-045"]
+    assert [r["sensorId"] for r in location.orphan_sensors(assets, mappings).collect()] == ["temp-118"]
     assert [r["sensorId"] for r in location.missing_assets(mappings, assets).collect()] == ["temp-001"]
     assert [r["assetId"] for r in location.missing_zones(assets, floors).collect()] == ["no-place"]
     assert [r["assetId"] for r in location.unit_mismatches(assets, floors).collect()] == ["other-unit"]
 
 
 def test_bounds_of_the_sensor_itself(spark, loaded):
-    rows = [("temp-044", "temperature", 131.0, "degC"), ("temp-044", "temperature", 130.0, "degC"),
-            ("temp-044", "voltage", 900.0, "V"), ("temp-999", "temperature", 900.0, "degC")]
+    rows = [("temp-117", "temperature", 131.0, "degC"), ("temp-117", "temperature", 130.0, "degC"),
+            ("temp-117", "voltage", 900.0, "V"), ("temp-999", "temperature", 900.0, "degC")]
     events = spark.createDataFrame(rows, "sensorId string, readingType string, value double, unit string")
     judged = {(r["sensorId"], r["readingType"], r["value"]): r["exceeded"]
               for r in thresholds.evaluate_per_sensor(events, loaded[2]).collect()}
@@ -85,11 +85,26 @@ def test_bounds_of_the_sensor_itself(spark, loaded):
 
 def test_malformed_registry_fails_loudly(spark, folder):
     with open(f"{folder}/bad.json", "w") as out:
-        out.write('[{"assetId": "a", "location": {"x": "not a number"}}]')
+        json.dump([{**ASSET, "location": {"x": "not a number"}}], out)
     with pytest.raises(Exception, match="MALFORMED|FAILFAST|Malformed"):
         registry.load_assets(spark, f"{folder}/bad.json").collect()
 
 
+def test_missing_fields_and_duplicate_keys_fail_at_load(spark, folder):
+    for name, rows in {"missing": [{**ASSET, "zoneId": None}], "twice": [ASSET, {**ASSET, "displayName": "Other"}]}.items():
+        with open(f"{folder}/{name}.json", "w") as out:
+            json.dump(rows, out)
+    with pytest.raises(ValueError, match="zoneId"):
+        registry.load_assets(spark, f"{folder}/missing.json")
+    with pytest.raises(ValueError, match="more than once"):
+        registry.load_assets(spark, f"{folder}/twice.json")
+    both = registry.load_assets(spark, f"{folder}/twice.json", unique=False)
+    mappings = spark.createDataFrame([("temp-117", "press-09"), ("temp-117", "gone")], "sensorId string, assetId string")
+    events = spark.createDataFrame([("temp-117", 1), ("temp-117", 2)], "sensorId string, e int")
+    assert location.enrich(events, mappings, both).count() == 2
+    assert [tuple(r) for r in location.duplicate_keys(both, "assetId").collect()] == [("press-09", 2)]
+
+
 def test_concave_polygon(spark):
     shape = [(0, 0), (10, 0), (10, 10), (5, 2), (0, 10)]
     frame = spark.createDataFrame([([{"x": float(x), "y": float(y)} for x, y in shape],)], "p array<struct<x:double,y:double>>")
