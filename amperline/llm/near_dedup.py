@@ -7,9 +7,9 @@ the square root of the plain number.  For a similarity of 0.75 a pair meets in s
 ``(1 - (1 - 0.75 ** ROWS) ** HALVES) ** 2``, which is above 0.9999 here and nearer to 1 for more similar texts.
 
 Copies collapse first: documents with equal sets are one node.  A half-key that only one node has can't meet anything, so
-most nodes of a clean corpus never get a table key.  In each table bucket all nodes are compared with two of them, the
-smallest and the largest node, and not with one another; buckets that still hold several components then compare
-their nodes with members of the components at both ends.  Every candidate pair is confirmed on the full sets, and
+most nodes of a clean corpus never get a table key.  In each bucket of ``HALVES`` of the
+tables all nodes are compared with its smallest node and not with one another.  Buckets of any table that still hold several
+components then compare those nodes with the smallest one of another component, and with the components at both ends.  Every candidate pair is confirmed on the full sets, and
 components come from confirmed links only.
 
 Null and empty texts have no shingles and are linked with nothing.  Rows that repeat a doc_id with the same text share
@@ -77,7 +77,10 @@ def signatures(docs: DataFrame) -> DataFrame:
 
 
 def table_keys(nodes: DataFrame) -> DataFrame:
-    """(key, node): the table keys of each node whose two half-keys both occur elsewhere."""
+    """(key, node, diagonal): the table keys of each node whose two half-keys both occur elsewhere.
+
+    The ``HALVES`` diagonal tables are those of the i-th half-keys of both collections.
+    """
     halves = nodes.select("node", F.posexplode("halves").alias("slot", "half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("n")).where("n > 1").select("half")
     found = halves.join(shared, "half").groupBy("node").agg(F.collect_list(F.struct("slot", "half")).alias("h"))
@@ -86,7 +89,7 @@ def table_keys(nodes: DataFrame) -> DataFrame:
     return (
         found.select("node", F.explode(first).alias("one"), second.alias("h"))
         .select("node", "one", F.explode("h").alias("two"))
-        .select(F.xxhash64("one.half", "two.half").alias("key"), "node")
+        .select(F.xxhash64("one.half", "two.half").alias("key"), "node", (F.col("two.slot") - F.col("one.slot") == HALVES).alias("diagonal"))
     )
 
 
@@ -146,23 +149,24 @@ def grouped(docs: DataFrame) -> DataFrame:
         "near-nodes",
     )
     keys = table_keys(nodes)
-    ends = keys.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
+    ends = keys.groupBy("key").agg(F.min("node").alias("low"), F.count("*").alias("n")).where("n > 1").drop("n")
     met = written(keys.join(ends, "key"), "near-buckets")
-    pair = lambda end: F.struct(F.least("node", end).alias("a"), F.greatest("node", end).alias("b"))
-    stars = met.select(F.explode(F.array(pair("low"), pair("high"))).alias("p")).select("p.*").where("a < b").distinct()
+    stars = met.where("diagonal").select(F.col("low").alias("a"), F.col("node").alias("b")).where("a < b").distinct()
     stars = written(_similar_sizes(stars, nodes), "near-pairs")
     busy = met.select("node").distinct().join(nodes, "node").select("at.doc", "at.text_hash")
     sets = written(full_sets(docs, busy), "near-sets")
     release(spark)
     links = written(confirmed(stars, sets), "near-links")
+    release(spark)
     labels = components(links)
 
-    # Buckets that still hold several components: compare across them once more, with members of the outermost ones.
-    labelled = met.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-    across = labelled.join(mixed, "key").where("label <> low OR label <> high")
-    more = across.select(F.explode(F.array(*(F.when(F.col("label") != F.col(e), F.struct(F.least("node", e).alias("a"), F.greatest("node", e).alias("b"))) for e in ("low", "high")))).alias("p"))
-    more = more.where("p IS NOT NULL").select("p.*").distinct().join(stars, ["a", "b"], "left_anti")
+    # Buckets that still hold several components: compare their smallest node, and the components at both ends, with the rest.
+    labelled = met.select("key", "node", "low").join(labels, "node", "left").select("key", "node", "low", F.coalesce("label", "node").alias("label"))
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.max(F.when(F.col("node") == F.col("low"), F.col("label"))).alias("its"))
+    across = labelled.join(mixed.where("first < last"), "key")
+    pair = lambda other, label: F.when(F.col("label") != F.col(label), F.struct(F.least("node", other).alias("a"), F.greatest("node", other).alias("b")))
+    more = across.select(F.explode(F.array(pair("low", "its"), pair("first", "first"), pair("last", "last"))).alias("p")).where("p IS NOT NULL")
+    more = more.select("p.*").distinct().join(stars, ["a", "b"], "left_anti")
     found = written(confirmed(_similar_sizes(more, nodes), sets), "near-links")
     if not found.isEmpty():
         labels = components(links.union(found))
