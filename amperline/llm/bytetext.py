@@ -24,7 +24,7 @@ _CODES = np.random.Generator(np.random.PCG64(20240607)).integers(1, 1 << 63, 256
 _CODES_LOWER = _CODES[LOWER]
 _powers = {"up": np.ones(1, np.uint64), "down": np.ones(1, np.uint64)}
 
-CHUNK_BYTES = 1 << 22
+CHUNK_BYTES = 1 << 21
 
 
 def chunks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,6 +18,11 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's context cleaner drop the shuffle files of jobs whose results are stored by now."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark's context cleaner drop the shuffle files of jobs whose results are stored by now.
+
+    The first round frees the driver's handles of their plans, the second one the plans.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)

@@ -21,6 +21,7 @@ told apart by a hash.  Columns other than ``doc_id`` and ``text`` are ignored.
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -29,13 +30,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amperline.llm.bytetext import CHUNK_BYTES, chunks, flat, mix, powers, prefix, range_hashes, spans
+from amperline.llm.bytetext import CHUNK_BYTES, chunks, flat, mix, powers, prefix, range_hashes, ranges, spans
 from amperline.llm.store import release, written
 from amperline.llm.suffix_order import suffix_order
 
 LENGTH = 100
 ANCHOR = 32
-BLOCK = 16
+BLOCK = 128
+REACH = (LENGTH - ANCHOR + 1) // 2
 
 # A place is packed as start (31 bits), a hash of the text (16), number of strings (7).  With the doc_id before it, it
 # is a decimal whose minimum is the earliest place.
@@ -43,6 +45,11 @@ PLACE = 1 << 54
 _LAST_ID = (1 << 63) - 1
 
 
+def _anchor_hashes(sums: np.ndarray) -> np.ndarray:
+    """Hashes of all ``ANCHOR``-byte strings, from running hashes."""
+    return mix((sums[ANCHOR:] - sums[:-ANCHOR]) * powers(len(sums), "down")[: max(len(sums) - ANCHOR, 0)])
+
+
 def _runs_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Starts, numbers of strings, anchor hashes and text hashes of all runs."""
     low = np.uint64((1 << 28) - 1)
@@ -51,8 +58,7 @@ def _runs_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
         part = data[first : first + CHUNK_BYTES + LENGTH - 1]
         count = len(part) - LENGTH + 1
         sums = prefix(part)
-        hashes = (sums[ANCHOR:] - sums[:-ANCHOR]) * powers(len(part), "down")[: len(part) - ANCHOR + 1]
-        hashes = mix(hashes)
+        hashes = _anchor_hashes(sums)
         # The position in the low bits makes the leftmost of equal hashes the smallest.
         keyed = (hashes & ~low) | np.arange(len(hashes), dtype=np.uint64)
         padded = np.concatenate([keyed, np.full(-len(keyed) % width, ~np.uint64(0))]).reshape(-1, width)
@@ -99,7 +105,7 @@ def _cut_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for batch in chunks(batches):
         data, offsets = flat(batch.column(1))
         asked = batch.column(2)
-        inner = asked.offsets.to_numpy() - asked.offsets[0].as_py()
+        inner = asked.offsets.to_numpy()
         flat_asked = asked.flatten()
         row = np.repeat(np.arange(batch.num_rows), np.diff(inner))
         place = flat_asked.field("place").to_numpy()
@@ -107,13 +113,40 @@ def _cut_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         ends = starts + (place & 127) + LENGTH - 1
         raw = data.tobytes()
         texts = pa.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())
+        # Where the anchor stands in each context.
+        sizes = ends - starts - ANCHOR + 1
+        every = ranges(starts, sizes)
+        of = np.repeat(np.arange(len(starts)), sizes)
+        hashes = _anchor_hashes(prefix(data))
+        hits = np.flatnonzero(hashes[every] == flat_asked.field("anchor").to_numpy().view(np.uint64)[of])
+        which, first = np.unique(of[hits], return_index=True)
+        anchor_at = np.zeros(len(starts), np.int64)
+        anchor_at[which] = every[hits[first]] - starts[which]
         ids = batch.column(0).take(pa.array(row))
         yield pa.RecordBatch.from_arrays(
-            [flat_asked.field("anchor"), flat_asked.field("salt"), flat_asked.field("split"), ids, flat_asked.field("place"), texts],
-            ["anchor", "salt", "split", "id", "place", "bytes"],
+            [flat_asked.field("anchor"), flat_asked.field("salt"), flat_asked.field("split"), ids, flat_asked.field("place"), pa.array(anchor_at), texts],
+            ["anchor", "salt", "split", "id", "place", "anchor_at", "bytes"],
         )
 
 
+def _can_repeat(contexts: dict[tuple[int, int], tuple[int, bytes]]) -> list[tuple[int, int, bytes]]:
+    """Contexts of one anchor that may share a string.
+
+    A string holds its anchor and, on one side of it at least, ``REACH`` more bytes; so contexts that share a string
+    agree in ``REACH`` bytes before or after the anchor.
+    """
+    sides = [
+        (raw[at - REACH : at + ANCHOR] if at >= REACH else None, raw[at : at + ANCHOR + REACH] if len(raw) >= at + ANCHOR + REACH else None)
+        for at, raw in contexts.values()
+    ]
+    left, right = (Counter(s[k] for s in sides) for k in (0, 1))
+    return [
+        (*place, raw)
+        for (place, (_, raw)), (a, b) in zip(contexts.items(), sides, strict=True)
+        if (a is not None and left[a] > 1) or (b is not None and right[b] > 1)
+    ]
+
+
 def _block(contexts: list[tuple[int, int, bytes]], split: bool) -> Iterator[tuple[int, int, int, int | None, int | None]]:
     """Strings of the contexts' earliest places that start earlier in the block: (id, place, strings, null, null).
 
@@ -176,19 +209,23 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def pack(rows: list) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], names)
 
+    def solved() -> Iterator[tuple]:
+        whole = [(*place, raw) for place, (_, raw) in contexts.items()] if split else _can_repeat(contexts)
+        return _block(whole, split) if len(whole) > 1 or split else iter(())
+
     rows: list = []
     for batch in batches:
-        for anchor, salt, is_split, doc, place, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for anchor, salt, is_split, doc, place, at, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (anchor, salt) != key:
                 if contexts:
-                    rows += _block([(*at, text) for at, text in contexts.items()], split)
+                    rows += solved()
                 key, split, contexts = (anchor, salt), is_split, {}
-            contexts[doc, place] = raw  # repeated rows give a place twice
+            contexts[doc, place] = at, raw  # repeated rows give a place twice
         if len(rows) > 50_000:
             yield pack(rows)
             rows = []
     if contexts:
-        rows += _block([(*at, text) for at, text in contexts.items()], split)
+        rows += solved()
     if rows:
         yield pack(rows)
 
@@ -198,11 +235,13 @@ def repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     keyed = _keyed(docs)
     shared = keyed.mapInArrow(partial(_runs, whole=False), "anchor long").groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    # Stored, so that both sides of the join come from plain shuffles and Spark can split hot anchors.
+    shared = written(shared, "repeat-anchors")
     runs = keyed.mapInArrow(partial(_runs, whole=True), "anchor long, context long, id long, place long")
     found = written(runs.join(shared, "anchor"), "repeat-runs")
     release(spark)
     firsts = written(_places(found.groupBy("anchor", "context").agg(F.min(F.expr(ORDER)).alias("at")), "anchor", "context"), "repeat-firsts")
-    several = firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
+    several = written(firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "repeat-anchors")
     asked = firsts.join(several, "anchor").select(
         "id",
         F.expr("CAST(shiftright(place, 7) & 65535 AS INT)").alias("mark"),
@@ -210,12 +249,13 @@ def repeats(docs: DataFrame) -> DataFrame:
     )
     asked = asked.groupBy("id", "mark").agg(F.collect_list("a").alias("asked"))
     once = keyed.join(asked, ["id", "mark"]).select("id", "text", "asked")
-    contexts = once.mapInArrow(_cut_contexts, "anchor long, salt int, split boolean, id long, place long, bytes binary")
+    contexts = once.mapInArrow(_cut_contexts, "anchor long, salt int, split boolean, id long, place long, anchor_at long, bytes binary")
     blocks = contexts.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
     judged = written(blocks.mapInArrow(_blocks, "id long, place long, strings long, one long, two long"), "repeat-blocks")
     release(spark)
     strings = judged.where("one IS NOT NULL").select("one", "two", "id", "place")
-    earliest = strings.groupBy("one", "two").agg(F.min(F.expr(ORDER)).alias("at"))
+    earliest = written(strings.groupBy("one", "two").agg(F.min(F.expr(ORDER)).alias("at")), "repeat-strings")
+    release(spark)
     across = strings.join(earliest, ["one", "two"]).where(f"{ORDER} > at").select("id", "place")
     kinds = [found.select("id", "place"), firsts.select("id", "place"), judged.where("one IS NULL").select("id", "place").union(across)]
     every = [k.select("id", F.expr("CAST(shiftright(place, 7) & 65535 AS INT)").alias("mark"), F.expr(f"shiftleft(shiftright(place, 23), 9) | shiftleft(place & 127, 2) | {i}").alias("part")) for i, k in enumerate(kinds)]
@@ -248,20 +288,18 @@ def _removed(batches: Iterable[pa.RecordBatch], texts: bool) -> Iterator[pa.Reco
         counts = [pa.array([o[i] for o in out], pa.int64()) for i in range(3)]
         if texts:
             # Cuts may fall inside a character: what is left of it can't be decoded and goes too.
-            kept = pa.array([o[3].decode("utf-8", "ignore") if o[1] else None for o in out], pa.string())
+            texts_before = batch.column(batch.schema.get_field_index("text"))
+            kept = pa.array([o[3].decode("utf-8", "ignore") if o[1] else texts_before[i].as_py() for i, o in enumerate(out)], pa.string())
         else:
             kept = pa.array([hashlib.sha256(o[3]).hexdigest() for o in out], pa.string())
-        rest = [c for c, n in zip(batch.columns, batch.schema.names, strict=True) if n != "parts"]
-        names = [n for n in batch.schema.names if n != "parts"]
-        if not texts:
-            rest, names = [batch.column(batch.schema.get_field_index("doc_id"))], ["doc_id"]
-        yield pa.RecordBatch.from_arrays([*rest, *counts, kept], [*names, "n_bytes", "n_removed", "n_spans", "kept"])
+        first = "rest" if texts else "doc_id"
+        yield pa.RecordBatch.from_arrays([batch.column(batch.schema.get_field_index(first)), *counts, kept], [first, "n_bytes", "n_removed", "n_spans", "kept"])
 
 
 def _with_parts(docs: DataFrame) -> DataFrame:
     parts = repeats(docs).groupBy("id", "mark").agg(F.collect_list("part").alias("parts"))
-    on = F.expr("coalesce(doc_id, 9223372036854775807) = id AND CAST(xxhash64(text) & 65535 AS INT) = mark")
-    return docs.join(parts, on, "left").drop("id", "mark")
+    on = F.expr(f"coalesce(d.doc_id, {_LAST_ID}) = p.id AND CAST(xxhash64(d.text) & 65535 AS INT) = p.mark")
+    return docs.alias("d").join(parts.alias("p"), on, "left").select("d.*", "p.parts")
 
 
 def removal(docs: DataFrame) -> DataFrame:
@@ -272,8 +310,10 @@ def removal(docs: DataFrame) -> DataFrame:
 
 def cut_repeats(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated passages cut out of the texts; documents of which only white space is left go."""
-    plain = docs.select("doc_id", "text", *(F.col(c) for c in docs.columns if c not in ("doc_id", "text")))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema)
-    cut = _with_parts(plain).mapInArrow(partial(_removed, texts=True), f"{schema}, n_bytes long, n_removed long, n_spans long, kept string")
+    # The other columns travel as one struct, so that their names can't clash.
+    rest = F.struct(*(F.col(c) for c in docs.columns if c != "text")).alias("rest")
+    plain = docs.select("doc_id", "text", rest)
+    kind = plain.schema["rest"].dataType.simpleString()
+    cut = _with_parts(plain).mapInArrow(partial(_removed, texts=True), f"rest {kind}, n_bytes long, n_removed long, n_spans long, kept string")
     left = cut.where(r"n_removed = 0 OR kept RLIKE '[^\\x20\\x09-\\x0D]'")
-    return left.withColumn("text", F.coalesce("kept", "text")).select(*docs.columns)
+    return left.select(*(F.col("kept").alias("text") if c == "text" else F.col(f"rest.`{c}`").alias(c) for c in docs.columns))
