@@ -182,7 +182,8 @@ def scored(docs: DataFrame, labels: DataFrame, held_out: F.Column, column: str =
     known = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & ~held_out)
     known = known.groupBy("doc_id").agg(F.max(F.col(column)).cast("int").alias("label"))
     rows = docs.select("doc_id", "text")
-    table = rows.sparkSession.sparkContext.broadcast(weights(rows.join(known, "doc_id").select("text", "label")))
+    # The labels grow with the corpus: the same join at every size.
+    table = rows.sparkSession.sparkContext.broadcast(weights(rows.join(known.hint("merge"), "doc_id").select("text", "label")))
     schema = "doc_id long, n_bytes long, best double, segments array<struct<first: long, last: long, score: double>>"
     found = written(rows.mapInArrow(partial(_scan, table=table), schema), "toxic-segments")
     train = found.select("doc_id", "n_bytes", "best").join(known, "doc_id")
