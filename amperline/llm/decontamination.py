@@ -1,14 +1,13 @@
 """Find training documents that hold benchmark items, also edited or paraphrased ones.
 
-Items are cut into blocks of at most ``BLOCK`` words.  Seeds are runs of ``SEED`` words; of each ``STRETCH`` words of a block
-the seed that is rarest in the corpus is used, so every part of an item has one and frequent phrases bring
-no candidates unless the item has nothing else.  Rarity is relative: an item that leaked into very many documents
-keeps its seeds.  Passages of documents around seeds are joined with the items that have these seeds, and each
-passage is aligned with the block by Smith-Waterman over words (``MATCH``, ``MISMATCH``, ``GAP``).  A block leaked if
-the alignment reaches ``SHARE`` of the score of a full copy.
+Items are cut into blocks of at most ``BLOCK`` words.  Seeds are runs of ``SEED`` words, and every one of a block is used, frequent
+or not: which of them an edited copy keeps can't be told from the corpus.  Passages of documents around seeds are joined
+with the blocks that have these seeds.  A passage must have so many of the block's words that the score can be reached at
+all; if it has, it is aligned with the block by Smith-Waterman over words (``MATCH``, ``MISMATCH``, ``GAP``).  A block leaked
+if the alignment reaches ``SHARE`` of the score of a full copy.  So every such alignment that holds a common seed is found.
 
-The corpus is read twice, once to count seeds and once to cut passages.  Tasks know the benchmark's seeds by a bitmap of
-fixed size: it only keeps most other seeds out of the joins, and a benchmark that fills it costs time, not results.
+Tasks know the benchmark's seeds by a bitmap of fixed size: it only keeps most other seeds out of the joins, and a benchmark
+that fills it costs time, not results.
 
 Words are runs of ASCII letters, digits and non-ASCII bytes, lower-cased A-Z.  Null texts have none; an item of fewer than
 ``SEED`` words can't be told from chance and matches nothing.  Repeated rows and items give one result row for each
@@ -32,11 +31,11 @@ from amperline.llm.store import written
 SEED = 3
 BLOCK = 64
 STEP = 48
-STRETCH = 4
-AROUND = BLOCK + 16
 PASSAGE = 256
 MATCH, MISMATCH, GAP = 2, -1, -2
 SHARE = 0.45
+# An alignment that reaches the share has at most 35 passage words in gaps, so it lies within so many words of any of its seeds.
+AROUND = BLOCK + 36
 BITMAP_BITS = 23
 
 WORD_BYTES = np.zeros(256, bool)
@@ -95,14 +94,6 @@ def _bitmap(seeds: DataFrame) -> np.ndarray:
     return np.unpackbits(filled.view(np.uint8), bitorder="little").astype(bool)
 
 
-def _count(batches: Iterable[pa.RecordBatch], bitmap) -> Iterator[pa.RecordBatch]:  # noqa: ANN001 - a broadcast value
-    known = bitmap.value
-    for batch in chunks(batches):
-        seeds, inside = _seeds(*_words(batch.column(0)))
-        found, times = np.unique(seeds[inside & known[_cell(seeds)]], return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(found.view(np.int64)), pa.array(times)], ["seed", "n"])
-
-
 def _passages(batches: Iterable[pa.RecordBatch], bitmap) -> Iterator[pa.RecordBatch]:  # noqa: ANN001
     """Stretches of text around seeds: seeds less than AROUND apart share one, up to PASSAGE words from first to last."""
     known = bitmap.value
@@ -156,8 +147,14 @@ def _score(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for first in range(0, whole.num_rows, 256):
             batch = whole.slice(first, 256)
-            words, _ = _padded(batch.column(3))
             items, sizes = _padded(batch.column(4))
+            # Only words that the passage has can match, so fewer than the share of the block's words can't reach it.
+            present = [int(np.isin(i[:n], w.values.to_numpy()).sum()) for i, n, w in zip(items, sizes, batch.column(3), strict=True)]
+            able = np.array(present) / sizes >= SHARE
+            if not able.any():
+                continue
+            batch, items, sizes = batch.filter(pa.array(able)), items[able], sizes[able]
+            words, _ = _padded(batch.column(3))
             share = align(words, items) / (MATCH * sizes)
             part = pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(share)], ["text_hash", "item_id", "passage", "similarity"])
             yield part.filter(pa.array(share >= SHARE))
@@ -174,18 +171,10 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     )
     seeds = blocks.select("item_id", "block", F.posexplode("seeds").alias("at", "seed"))
     known = spark.sparkContext.broadcast(_bitmap(seeds))
-    counted = docs.select("text").mapInArrow(partial(_count, bitmap=known), "seed long, n long").groupBy("seed").agg(F.sum("n").alias("n"))
-    ranked = (
-        seeds.join(counted, "seed", "left")
-        .groupBy("item_id", "block", F.expr(f"at DIV {STRETCH}").alias("stretch"))
-        .agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "at", "seed")).alias("s"))
-    )
-    # Seeds that the corpus doesn't have can't join: their stretch uses none.
-    chosen = written(ranked.select("item_id", "block", "s.seed").distinct(), "benchmark-seeds")
-    rare = spark.sparkContext.broadcast(_bitmap(chosen))
+    chosen = written(seeds.select("item_id", "block", "seed").distinct(), "benchmark-seeds")
     hashed = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     passages = written(
-        hashed.mapInArrow(partial(_passages, bitmap=rare), "doc_id long, text_hash long, passage long, words array<long>, seeds array<long>"), "seed-passages"
+        hashed.mapInArrow(partial(_passages, bitmap=known), "doc_id long, text_hash long, passage long, words array<long>, seeds array<long>"), "seed-passages"
     )
     # Copies of a text are aligned once.
     key = ["text_hash", "passage"]

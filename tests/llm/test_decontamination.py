@@ -66,3 +66,33 @@ def test_empty_tables(spark):
     assert d.leaks(docs.limit(0), items).count() == 0
     assert d.leaks(docs, items.limit(0)).count() == 0
     assert d.drop_leaked(docs, items.limit(0)).count() == 1
+
+
+def plain_similarity(document, item):
+    """The best share of a block's score among blocks that have a seed in common with the document."""
+    seeds = lambda words: {tuple(words[i : i + d.SEED]) for i in range(len(words) - d.SEED + 1)}
+    firsts = {max(0, min(f, len(item) - d.BLOCK)) for f in range(0, max(1, len(item) - d.BLOCK + d.STEP), d.STEP)}
+    blocks = [item[f : f + d.BLOCK] for f in firsts]
+    return max((plain_score(document, b) / (d.MATCH * len(b)) for b in blocks if seeds(b) & seeds(document)), default=0)
+
+
+def test_heavily_edited_copies_against_all_alignments(spark):
+    """Replaced and inserted words, spaced evenly or at random, with and without an exact copy in the corpus."""
+    rnd = random.Random(3)
+    words = ["".join(rnd.choice("abcdefghij") for _ in range(rnd.randint(3, 8))) for _ in range(3000)]
+    text = lambda n: [rnd.choice(words) for _ in range(n)]
+    items = {i: text(rnd.choice([20, 40, 64, 110])) for i in range(24)}
+    docs = []
+    for i, item in items.items():
+        spaced = [w if k % 4 != i % 4 else rnd.choice(words) for k, w in enumerate(item)]
+        copies = [spaced, [w if rnd.random() < 0.7 else rnd.choice(words) for w in item], [w if rnd.random() < 0.85 else rnd.choice(words) for w in item]]
+        copies.append([x for k, w in enumerate(item) for x in ([rnd.choice(words), w] if k > 3 and k % 2 == 0 else [w])])
+        if i % 2:
+            copies.append(item)
+        docs += [(100 * i + k, text(30) + copy + text(30)) for k, copy in enumerate(copies)]
+    want = {(n, i): plain_similarity(t, item) for n, t in docs for i, item in items.items() if len(set(t) & set(item)) > 5}
+    want = {k: v for k, v in want.items() if v >= d.SHARE}
+    assert len(want) > 80
+    benchmark = spark.createDataFrame([(i, " ".join(t)) for i, t in items.items()], "item_id long, text string")
+    rows = d.leaks(frame(spark, [(n, " ".join(t)) for n, t in docs]), benchmark).collect()
+    assert {(r.doc_id, r.item_id): r.similarity for r in rows} == want
