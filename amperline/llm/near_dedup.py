@@ -9,8 +9,11 @@ the square root of the plain number.  For a similarity of 0.75 a pair meets in s
 Copies collapse first: documents with equal sets are one node.  A half-key that only one node has can't meet anything, so
 most nodes of a clean corpus never get a table key.  In each bucket of ``HALVES`` of the
 tables all nodes are compared with its smallest node and not with one another.  Buckets of any table that still hold several
-components then compare those nodes with the smallest one of another component, and with the components at both ends.  Every candidate pair is confirmed on the full sets, and
-components come from confirmed links only.
+components then compare those nodes with the smallest one of another component, and with the components at both ends.  In what is
+still mixed after that, all pairs of nodes of different components are tried, large buckets in squares of ``SQUARE`` by
+``SQUARE`` nodes.  There a bitmap of each set bounds how many shingles two sets can share, so that pairs which can't be
+similar go without their sets.  Every other candidate pair is confirmed on the full sets, and components come from
+confirmed links only.  So two similar nodes that meet in any table are in one component.
 
 Null and empty texts have no shingles and are linked with nothing.  Rows that repeat a doc_id with the same text share
 its fate; different texts under one doc_id are told apart by their sets.  A null doc_id never names a component
@@ -34,6 +37,8 @@ from amperline.llm.store import release, written
 HALVES = 12
 ROWS = 2
 PERCENT = 75
+SQUARE = 4096
+SKETCH_BITS = 1024
 
 _SEEDS = np.random.Generator(np.random.PCG64(8)).integers(1, 1 << 63, 2 * HALVES * ROWS, dtype=np.uint64) | np.uint64(1)
 _SHIFTS = np.random.Generator(np.random.PCG64(9)).integers(1, 1 << 63, 2 * HALVES * ROWS, dtype=np.uint64)
@@ -138,6 +143,68 @@ def _similar_sizes(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     return pairs.join(size("a", "x"), "a").join(size("b", "y"), "b").where(f"100 * least(x, y) >= {PERCENT} * greatest(x, y)").select("a", "b")
 
 
+def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A bitmap of each set."""
+    for batch in batches:
+        lists = batch.column(1)
+        ends = lists.offsets.to_numpy()
+        cells = (mix(lists.values.to_numpy().view(np.uint64)[ends[0] : ends[-1]]) % np.uint64(SKETCH_BITS)).astype(np.int64)
+        for first in range(0, batch.num_rows, SQUARE):
+            part = batch.slice(first, SQUARE)
+            sizes = np.diff(ends[first : first + part.num_rows + 1])
+            bits = np.zeros((part.num_rows, SKETCH_BITS), bool)
+            bits[np.repeat(np.arange(part.num_rows), sizes), cells[ends[first] - ends[0] : ends[first + part.num_rows] - ends[0]]] = True
+            packed = np.packbits(bits, axis=1)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes.astype(np.int64)), pa.array([p.tobytes() for p in packed], pa.binary())], ["node", "size", "sketch"])
+
+
+def _able(nodes: np.ndarray, labels: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, others: Iterable[int]) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of each first node, one for each of ``others``, and one from there on of another component, if sizes and bitmaps allow a link."""
+    one, two = [], []
+    for i, first in enumerate(others):
+        j = first + np.flatnonzero(labels[first:] != labels[i])
+        j = j[100 * np.minimum(sizes[j], sizes[i]) >= PERCENT * np.maximum(sizes[j], sizes[i])]
+        if not len(j):
+            continue
+        # A cell that only one set has holds a shingle that the other lacks.
+        common = np.minimum(
+            sizes[i] - np.bitwise_count(sketches[i] & ~sketches[j]).sum(axis=1, dtype=np.int64), sizes[j] - np.bitwise_count(sketches[j] & ~sketches[i]).sum(axis=1, dtype=np.int64)
+        )
+        j = j[100 * common >= PERCENT * (sizes[i] + sizes[j] - common)]
+        one.append(np.full(len(j), nodes[i]))
+        two.append(nodes[j])
+    return np.concatenate([*one, np.zeros(0, np.int64)]), np.concatenate([*two, np.zeros(0, np.int64)])
+
+
+def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs to confirm of each square; rows come sorted by (key, low, high), those of one side before those of the other."""
+
+    def pairs(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts).combine_chunks()
+        low, high, side, nodes, labels, sizes = (rows.column(k).to_numpy() for k in range(1, 7))
+        sketches = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint64).reshape(len(nodes), -1)
+        count = int((side == low).sum())
+        others = range(1, count + 1) if low[0] == high[0] else [count] * count
+        one, two = _able(nodes, labels, sizes, sketches, others)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
+
+    waiting: list[pa.RecordBatch] = []
+    name: tuple | None = None
+    for batch in batches:
+        keys = np.stack([batch.column(k).to_numpy() for k in range(3)], axis=1)
+        cuts = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(keys)], strict=True):
+            if a == b:
+                continue
+            if tuple(keys[a]) != name:
+                if waiting:
+                    yield pairs(waiting)
+                waiting, name = [], tuple(keys[a])
+            waiting.append(batch.slice(a, b - a))
+    if waiting:
+        yield pairs(waiting)
+
+
 def grouped(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash, n_shingles, component_id, kept."""
     spark = docs.sparkSession
@@ -167,7 +234,25 @@ def grouped(docs: DataFrame) -> DataFrame:
     pair = lambda other, label: F.when(F.col("label") != F.col(label), F.struct(F.least("node", other).alias("a"), F.greatest("node", other).alias("b")))
     more = across.select(F.explode(F.array(pair("low", "its"), pair("first", "first"), pair("last", "last"))).alias("p")).where("p IS NOT NULL")
     more = more.select("p.*").distinct().join(stars, ["a", "b"], "left_anti")
-    found = written(confirmed(_similar_sizes(more, nodes), sets), "near-links")
+    more = written(_similar_sizes(more, nodes), "near-pairs")
+    found = written(confirmed(more, sets), "near-links")
+    if not found.isEmpty():
+        links = links.union(found)
+        labels = components(links)
+
+    # What is still mixed: all pairs of nodes of different components.
+    labelled = met.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    mixed = labelled.groupBy("key").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("n")).where("first < last AND n > 2")
+    squares = F.expr(f"(n + {SQUARE - 1}) DIV {SQUARE}")
+    sided = labelled.join(mixed.select("key", squares.alias("n")), "key").withColumn("side", F.pmod(F.xxhash64("node"), "n"))
+    spread = sided.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    sketches = written(sets.mapInArrow(_sketches, "node long, size long, sketch binary"), "near-sketches")
+    spread = spread.select("key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "node", "label").join(sketches, "node")
+    spread = spread.select("key", "low", "high", "side", "node", "label", "size", "sketch").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "side")
+    rest = spread.mapInArrow(_across, "a long, b long").distinct()
+    rest = written(rest.join(stars.union(more), ["a", "b"], "left_anti"), "near-pairs")
+    release(spark)
+    found = written(confirmed(rest, sets), "near-links")
     if not found.isEmpty():
         labels = components(links.union(found))
 

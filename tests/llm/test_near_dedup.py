@@ -1,3 +1,8 @@
+import random
+
+import numpy as np
+import pyarrow as pa
+
 from amperline.llm import near_dedup
 from amperline.llm.components import components
 from tests.llm import small
@@ -32,3 +37,41 @@ def test_chain_and_star(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 30)] + [(500, 500)]
     found = {r.node: r.label for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert found == {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)}
+
+
+def test_crowded_buckets_against_all_pairs(spark, monkeypatch):
+    """Hundreds of members around one template, nearly all at 0.65 to 0.80 to one another, in squares of a few nodes, too."""
+    rnd = random.Random(4)
+    template = [f"w{i}" for i in range(240)]
+
+    def member(i):
+        own = list(template)
+        for k in rnd.sample(range(0, 240, 5), 5):
+            own[k] = f"x{i}y{k}"
+        return " ".join(own)
+
+    docs = [(i, member(i)) for i in range(360)]
+    want = small.components(docs)
+    assert len(set(want.values())) > 20
+    for square in (near_dedup.SQUARE, 50):
+        monkeypatch.setattr(near_dedup, "SQUARE", square)
+        rows = near_dedup.grouped(small.frame(spark, docs)).collect()
+        assert {r.doc_id: r.component_id for r in rows} == {i: c for (i, _), c in want.items()}
+
+
+def test_bitmaps_keep_every_similar_pair():
+    rnd = np.random.default_rng(5)
+    sets = [np.unique(rnd.integers(0, 1 << 63, rnd.integers(1, 2500), dtype=np.uint64)) for _ in range(60)]
+    sets += [np.unique(np.concatenate([s[: len(s) - len(s) // k], rnd.integers(0, 1 << 63, len(s) // 12, dtype=np.uint64)])) for s in sets for k in (6, 9)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(sets))), pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], ["node", "shingles"])
+    (found,) = near_dedup._sketches([batch])
+    nodes = found.column(0).to_numpy()
+    bits = np.frombuffer(b"".join(found.column(2).to_pylist()), np.uint64).reshape(len(nodes), -1)
+    kept = set(zip(*(x.tolist() for x in near_dedup._able(nodes, nodes, found.column(1).to_numpy(), bits, range(1, len(nodes) + 1))), strict=True))
+    similar = set()
+    for i in range(len(sets)):
+        for j in range(i + 1, len(sets)):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
+                similar.add((i, j))
+    assert len(similar) > 50 and similar <= kept and len(kept) < len(sets) ** 2 // 4
