@@ -34,6 +34,8 @@ SHORT = 25
 CONTAINERS = frozenset("html body main article section div td table center details fieldset".split())
 BLOCKS = CONTAINERS | frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd tr th tbody thead tfoot caption blockquote pre figure figcaption hr address summary header footer nav aside form".split())
 DROPPED = frozenset("head nav footer aside form button select textarea noscript template iframe svg canvas object dialog menu label option audio video map".split())
+# Elements without content; nothing closes them.
+VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 # Words of class names, ids and roles that mark what is no article text.
 MARKS = frozenset(
     "ad ads adbox advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus"
@@ -46,7 +48,8 @@ _TOKEN = re.compile(
     r"""<!--.*?(?:-->|$) | <(script|style|title|xmp)\b.*?(?:</\1\s*>|$) | <[!?][^>]*> | <(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>""",
     re.DOTALL | re.VERBOSE | re.IGNORECASE,
 )
-_ATTRIBUTE = re.compile(r"""\b(class|id|role|style|aria-hidden)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|(\bhidden\b)""", re.IGNORECASE)
+# Every attribute with its value, so that no value is taken for a name.
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _WORD = re.compile(r"[A-Za-z]+")
 _DIGITS = re.compile(r"\d+")
 
@@ -63,15 +66,15 @@ class _Node:
 def _read_attributes(source: str) -> tuple[str, bool]:
     """The generalised classes, and whether the element is no article text."""
     classes, dropped = "", False
-    for name, a, b, c, hidden in _ATTRIBUTE.findall(source):
+    for name, a, b, c in _ATTRIBUTE.findall(source):
         value, name = a or b or c, name.lower()
-        if hidden:
+        if name == "hidden":
             dropped = True
         elif name == "style":
             dropped = dropped or "display:none" in value.replace(" ", "").lower()
         elif name == "aria-hidden":
             dropped = dropped or value.lower() == "true"
-        else:
+        elif name in ("class", "id", "role"):
             dropped = dropped or not MARKS.isdisjoint(w.lower() for w in _WORD.findall(value))
             if name == "class":
                 classes = "".join("." + _DIGITS.sub("#", x) for x in sorted(value.split()))
@@ -137,7 +140,7 @@ def parse(source: str) -> tuple[list[tuple[_Node, str]], list[_Node]]:
                 n.titled = True
         if not marked and (tag == "header" or (classes and not PAGE_HEADER.isdisjoint(w.lower() for w in _WORD.findall(classes)))):
             marked = not any(n.tag in ("article", "main") for n in stack)
-        if token[4].endswith("/") or not (tag in CONTAINERS or dropped or marked):
+        if tag in VOID or token[4].endswith("/") or not (tag in CONTAINERS or dropped or marked):
             continue
         if not block:
             close_block()

@@ -41,3 +41,18 @@ def test_consensus_beats_a_page_with_little_text(spark):
     assert texts[0] == WANT and texts[7] == "Tiny article." and texts[8] == texts[9] == ""
     assert all(r.n_chars == len(r.text) for r in found)
     assert h.extracted(pages.limit(0)).count() == 0
+
+
+def test_void_elements_hold_nothing():
+    for tag in ("area", "base", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"):
+        for mark in ('class="banner"', "id=share-1", 'role="banner"', "hidden", 'aria-hidden="true"', 'style="display: none"'):
+            got = h.main_text(f"<article><p>The first text, long enough to count here</p><{tag} {mark} src=x><p>The rest, which is long enough as well</p></article>", [])
+            assert got == "The first text, long enough to count here\nThe rest, which is long enough as well", (tag, mark)
+    assert h.main_text('<article><p>One text <img class="social" src=x> in one block, and long enough</p></article>', []) == "One text in one block, and long enough"
+
+
+def test_hidden_is_an_attribute_name():
+    for own in ('href="/hidden-falls"', "href=/hidden", 'title="the hidden lake"', "title='hidden'", 'data-hidden="1"', 'alt = "a hidden=b class=banner"', 'data-class="banner"', 'href="/x?class=ad"'):
+        assert h.main_text(f"<article><p>Text with <a {own}>a link</a> in it, long enough to count</p></article>", []) == "Text with a link in it, long enough to count", own
+    for own in ("hidden", 'hidden=""', "class=x hidden", "HIDDEN id=y", "hidden='until-found'", 'title="a" hidden data-x'):
+        assert h.main_text(f"<article><p>Text which is long enough to count</p><div {own}><p>Not text, but long enough to count</p></div></article>", []) == "Text which is long enough to count", own
