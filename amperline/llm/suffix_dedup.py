@@ -15,7 +15,7 @@ what can repeat, and brought together so that equal strings meet.
 
 Texts are UTF-8 bytes; null texts are empty.  Rows are in order of doc_id, null after all others, and places in a text; rows
 with the same doc_id and text are one place and keep the same bytes, and different texts under one doc_id are
-told apart by a hash.  Columns other than ``doc_id`` and ``text`` are ignored.
+told apart by their 64-bit hash (``mark``), in the order after the place.  Columns other than ``doc_id`` and ``text`` are ignored.
 """
 
 from __future__ import annotations
@@ -39,9 +39,7 @@ ANCHOR = 32
 BLOCK = 128
 REACH = (LENGTH - ANCHOR + 1) // 2
 
-# A place is packed as start (31 bits), a hash of the text (16), number of strings (7).  With the doc_id before it, it
-# is a decimal whose minimum is the earliest place.
-PLACE = 1 << 54
+# A place is packed as start and number of strings (7 bits).  Places are in order of doc_id, place and mark.
 _LAST_ID = (1 << 63) - 1
 
 
@@ -76,40 +74,34 @@ def _runs(batches: Iterable[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordB
     for batch in chunks(batches):
         data, offsets = flat(batch.column(2))
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        marks = batch.column(1).to_numpy(zero_copy_only=False).astype(np.int64)
+        marks = batch.column(1).to_numpy(zero_copy_only=False)
         for starts, sizes, anchors, texts in _runs_of(data, offsets):
             key = pa.array(anchors.view(np.int64))
             if not whole:
                 yield pa.RecordBatch.from_arrays([key], ["anchor"])
                 continue
             row = np.searchsorted(offsets, starts, "right") - 1
-            place = (starts - offsets[row]) << 23 | marks[row] << 7 | sizes
-            yield pa.RecordBatch.from_arrays([key, pa.array(texts.view(np.int64)), pa.array(ids[row]), pa.array(place)], ["anchor", "context", "id", "place"])
+            place = (starts - offsets[row]) << 7 | sizes
+            yield pa.RecordBatch.from_arrays([key, pa.array(texts.view(np.int64)), *(pa.array(x) for x in (ids[row], place, marks[row]))], ["anchor", "context", "id", "place", "mark"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("id"), F.expr("CAST(xxhash64(text) & 65535 AS INT)").alias("mark"), "text")
+    return docs.select(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("id"), F.xxhash64("text").alias("mark"), "text")
 
 
-ORDER = f"CAST(id AS DECIMAL(20, 0)) * CAST({PLACE} AS DECIMAL(17, 0)) + CAST(place AS DECIMAL(17, 0))"
-
-
-def _places(order: DataFrame, *also: str) -> DataFrame:
-    """``order`` taken apart again: id and place."""
-    place = f"pmod(at, CAST({PLACE} AS DECIMAL(17, 0)))"
-    return order.select(*also, F.expr(f"CAST((at - {place}) / CAST({PLACE} AS DECIMAL(17, 0)) AS BIGINT)").alias("id"), F.expr(f"CAST({place} AS BIGINT)").alias("place"))
+ORDER = "struct(id, place, mark)"
 
 
 def _cut_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text of each asked context."""
     for batch in chunks(batches):
-        data, offsets = flat(batch.column(1))
-        asked = batch.column(2)
+        data, offsets = flat(batch.column(2))
+        asked = batch.column(3)
         inner = asked.offsets.to_numpy()
         flat_asked = asked.flatten()
         row = np.repeat(np.arange(batch.num_rows), np.diff(inner))
         place = flat_asked.field("place").to_numpy()
-        starts = offsets[row] + (place >> 23)
+        starts = offsets[row] + (place >> 7)
         ends = starts + (place & 127) + LENGTH - 1
         raw = data.tobytes()
         texts = pa.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())
@@ -122,14 +114,14 @@ def _cut_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         which, first = np.unique(of[hits], return_index=True)
         anchor_at = np.zeros(len(starts), np.int64)
         anchor_at[which] = every[hits[first]] - starts[which]
-        ids = batch.column(0).take(pa.array(row))
+        ids, marks = (batch.column(k).take(pa.array(row)) for k in (0, 1))
         yield pa.RecordBatch.from_arrays(
-            [flat_asked.field("anchor"), flat_asked.field("salt"), flat_asked.field("split"), ids, flat_asked.field("place"), pa.array(anchor_at), texts],
-            ["anchor", "salt", "split", "id", "place", "anchor_at", "bytes"],
+            [flat_asked.field("anchor"), flat_asked.field("salt"), flat_asked.field("split"), ids, flat_asked.field("place"), marks, pa.array(anchor_at), texts],
+            ["anchor", "salt", "split", "id", "place", "mark", "anchor_at", "bytes"],
         )
 
 
-def _can_repeat(contexts: dict[tuple[int, int], tuple[int, bytes]]) -> list[tuple[int, int, bytes]]:
+def _can_repeat(contexts: dict[tuple[int, int, int], tuple[int, bytes]]) -> list[tuple[int, int, int, bytes]]:
     """Contexts of one anchor that may share a string.
 
     A string holds its anchor and, on one side of it at least, ``REACH`` more bytes; so contexts that share a string
@@ -147,15 +139,15 @@ def _can_repeat(contexts: dict[tuple[int, int], tuple[int, bytes]]) -> list[tupl
     ]
 
 
-def _block(contexts: list[tuple[int, int, bytes]], split: bool) -> Iterator[tuple[int, int, int, int | None, int | None]]:
-    """Strings of the contexts' earliest places that start earlier in the block: (id, place, strings, null, null).
+def _block(contexts: list[tuple[int, int, int, bytes]], split: bool) -> Iterator[tuple[int, int, int, int | None, int | None]]:
+    """Strings of the contexts' earliest places that start earlier in the block: (id, place, mark, null, null).
 
     For an anchor that has several blocks also the earliest place of each string, with its digest.
     """
     text: list[int] = []
     owner: list[int] = []
     bounds = []
-    for at, (_, place, raw) in enumerate(contexts):
+    for at, (_, place, _, raw) in enumerate(contexts):
         bounds.append(len(text))
         text += [b + 2 for b in raw]
         text.append(1)
@@ -163,47 +155,46 @@ def _block(contexts: list[tuple[int, int, bytes]], split: bool) -> Iterator[tupl
     text.append(0)
     owner.append(-1)
     later: dict[int, list[int]] = {}
-    alike: list[tuple[int, int, int, int]] = []
+    alike: list[tuple[int, int, int, int, int]] = []
     before = b""
 
     def closed() -> Iterator[tuple[int, int, int, int | None, int | None]]:
         first = min(alike)
-        for _, _, at, offset in alike:
-            if (at, offset) != first[2:]:
+        for *_, at, offset in alike:
+            if (at, offset) != first[3:]:
                 later.setdefault(at, []).append(offset)
         if split:
             digest = hashlib.blake2b(before, digest_size=16).digest()
             one, two = (int.from_bytes(digest[k : k + 8], "little", signed=True) for k in (0, 8))
-            doc, place, _ = contexts[first[2]]
-            yield doc, (place & ~127) + (first[3] << 23) + 1, 1, one, two
+            yield first[0], first[1] << 7 | 1, first[2], one, two
 
     for start in suffix_order(text):
         at = owner[start]
         if at < 0:
             continue
-        doc, place, raw = contexts[at]
+        doc, place, mark, raw = contexts[at]
         offset = start - bounds[at]
         string = raw[offset : offset + LENGTH]
         if string != before:
             if alike:
                 yield from closed()
             before, alike = string, []
-        alike.append((doc, (place >> 7) + (offset << 16), at, offset))
+        alike.append((doc, (place >> 7) + offset, mark, at, offset))
     if alike:
         yield from closed()
     for at, offsets in later.items():
         offsets.sort()
-        doc, place, _ = contexts[at]
+        doc, place, mark, _ = contexts[at]
         run = offsets[0]
         for here, following in zip(offsets, [*offsets[1:], None], strict=True):
             if following != here + 1:
-                yield doc, (place & ~127) + (run << 23) + here - run + 1, here - run + 1, None, None
+                yield doc, (place & ~127) + (run << 7) + here - run + 1, mark, None, None
                 run = following
 
 
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks come sorted by (anchor, salt)."""
-    names = ["id", "place", "strings", "one", "two"]
+    names = ["id", "place", "mark", "one", "two"]
     key, split, contexts = None, False, {}
 
     def pack(rows: list) -> pa.RecordBatch:
@@ -215,12 +206,12 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     rows: list = []
     for batch in batches:
-        for anchor, salt, is_split, doc, place, at, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+        for anchor, salt, is_split, doc, place, mark, at, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if (anchor, salt) != key:
                 if contexts:
                     rows += solved()
                 key, split, contexts = (anchor, salt), is_split, {}
-            contexts[doc, place] = at, raw  # repeated rows give a place twice
+            contexts[doc, place, mark] = at, raw  # repeated rows give a place twice
         if len(rows) > 50_000:
             yield pack(rows)
             rows = []
@@ -231,34 +222,35 @@ def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(id, mark, kind, place): kind 0 for runs that occur elsewhere, 1 for those that are the first of their text, 2 for repeats."""
+    """(id, mark, part): a place and its kind, kind 0 for runs that occur elsewhere, 1 for those that are the first of their text, 2 for repeats."""
     spark = docs.sparkSession
     keyed = _keyed(docs)
     shared = keyed.mapInArrow(partial(_runs, whole=False), "anchor long").groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
     # Stored, so that both sides of the join come from plain shuffles and Spark can split hot anchors.
     shared = written(shared, "repeat-anchors")
-    runs = keyed.mapInArrow(partial(_runs, whole=True), "anchor long, context long, id long, place long")
+    runs = keyed.mapInArrow(partial(_runs, whole=True), "anchor long, context long, id long, place long, mark long")
     found = written(runs.join(shared, "anchor"), "repeat-runs")
     release(spark)
-    firsts = written(_places(found.groupBy("anchor", "context").agg(F.min(F.expr(ORDER)).alias("at")), "anchor", "context"), "repeat-firsts")
+    firsts = written(found.groupBy("anchor", "context").agg(F.min(F.expr(ORDER)).alias("at")).select("anchor", "context", "at.*"), "repeat-firsts")
     several = written(firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "repeat-anchors")
     asked = firsts.join(several, "anchor").select(
         "id",
-        F.expr("CAST(shiftright(place, 7) & 65535 AS INT)").alias("mark"),
+        "mark",
         F.struct("anchor", F.expr(f"CAST(pmod(context, (n + {BLOCK - 1}) DIV {BLOCK}) AS INT)").alias("salt"), F.expr(f"n > {BLOCK}").alias("split"), "place").alias("a"),
     )
     asked = asked.groupBy("id", "mark").agg(F.collect_list("a").alias("asked"))
-    once = keyed.join(asked, ["id", "mark"]).select("id", "text", "asked")
-    contexts = once.mapInArrow(_cut_contexts, "anchor long, salt int, split boolean, id long, place long, anchor_at long, bytes binary")
+    once = keyed.join(asked, ["id", "mark"]).select("id", "mark", "text", "asked")
+    contexts = once.mapInArrow(_cut_contexts, "anchor long, salt int, split boolean, id long, place long, mark long, anchor_at long, bytes binary")
     blocks = contexts.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
-    judged = written(blocks.mapInArrow(_blocks, "id long, place long, strings long, one long, two long"), "repeat-blocks")
+    judged = written(blocks.mapInArrow(_blocks, "id long, place long, mark long, one long, two long"), "repeat-blocks")
     release(spark)
-    strings = judged.where("one IS NOT NULL").select("one", "two", "id", "place")
+    strings = judged.where("one IS NOT NULL").select("one", "two", "id", "place", "mark")
     earliest = written(strings.groupBy("one", "two").agg(F.min(F.expr(ORDER)).alias("at")), "repeat-strings")
     release(spark)
-    across = strings.join(earliest, ["one", "two"]).where(f"{ORDER} > at").select("id", "place")
-    kinds = [found.select("id", "place"), firsts.select("id", "place"), judged.where("one IS NULL").select("id", "place").union(across)]
-    every = [k.select("id", F.expr("CAST(shiftright(place, 7) & 65535 AS INT)").alias("mark"), F.expr(f"shiftleft(shiftright(place, 23), 9) | shiftleft(place & 127, 2) | {i}").alias("part")) for i, k in enumerate(kinds)]
+    across = strings.join(earliest, ["one", "two"]).where(f"{ORDER} > at").select("id", "place", "mark")
+    place = ["id", "place", "mark"]
+    kinds = [found.select(place), firsts.select(place), judged.where("one IS NULL").select(place).union(across)]
+    every = [k.select("id", "mark", F.expr(f"shiftleft(place, 2) | {i}").alias("part")) for i, k in enumerate(kinds)]
     return every[0].union(every[1]).union(every[2])
 
 
@@ -298,7 +290,7 @@ def _removed(batches: Iterable[pa.RecordBatch], texts: bool) -> Iterator[pa.Reco
 
 def _with_parts(docs: DataFrame) -> DataFrame:
     parts = repeats(docs).groupBy("id", "mark").agg(F.collect_list("part").alias("parts"))
-    on = F.expr(f"coalesce(d.doc_id, {_LAST_ID}) = p.id AND CAST(xxhash64(d.text) & 65535 AS INT) = p.mark")
+    on = F.expr(f"coalesce(d.doc_id, {_LAST_ID}) = p.id AND xxhash64(d.text) = p.mark")
     return docs.alias("d").join(parts.alias("p"), on, "left").select("d.*", "p.parts")
 
 

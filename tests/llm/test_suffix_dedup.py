@@ -1,3 +1,6 @@
+import random
+from collections import Counter
+
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -46,3 +49,23 @@ def test_empty_table(spark):
     df = small.frame(spark, [(1, "a")]).limit(0)
     assert suffix_dedup.removal(df).count() == 0
     assert suffix_dedup.cut_repeats(df).count() == 0
+
+
+def test_thousands_of_texts_under_null_and_one_id(spark):
+    """A text loses the passage it shares with an earlier doc_id, a few chance letters beside it at most, and else nothing."""
+    rnd = random.Random(3)
+    text = lambda n: " ".join("".join(rnd.choice("abcdefghij") for _ in range(7)) for _ in range(n))
+    passages = [text(20) for _ in range(8)]
+    docs = [(i, p) for i, p in enumerate(passages)]
+    for i in range(3000):
+        for own in (None, 50):
+            docs.append((own, f"{text(2 + i % 7)} {passages[i % 8]} {text(20)}" if i % 2 else text(25)))
+    rows = suffix_dedup.cut_repeats(small.frame(spark, docs)).select("doc_id", "text").collect()
+    assert len(rows) == len(docs)
+    whole, cut = Counter(t for i, t in docs if i in (None, 50) and not any(p in t for p in passages)), Counter(r.text for r in rows)
+    assert all(cut[t] == n for t, n in whole.items())
+    for _, t in docs[8:]:
+        for p in passages:
+            if p in t:
+                before, after = t.split(p)
+                assert any(cut[before[: len(before) - a] + after[b:]] for a in range(8) for b in range(8))
