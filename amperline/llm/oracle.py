@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from amperline.llm.manifest import FAN
+from amperline.llm.mixing import CYCLE, MAX_EPOCHS, SEED
 from amperline.llm.quality_rules import MEASURES, MIN_DOCS, MIN_WORDS, REPEAT_PERCENT, WINDOW
 
 WORD = r"[^\x20\x09-\x0D]"
@@ -108,4 +110,108 @@ SELECT record_id, canonical_url, response_id, outcome,
             'date: ', sec, chr(10), 'etag: ', its_etag, chr(10), 'last-modified: ', its_modified) END AS headers
 FROM judged"""
 
-ORACLE = {"op1_quality_rules": quality_rules(), "op6_revisits": REVISITS}
+
+
+def mixing_to_targets() -> str:
+    """Water-filling in closed form: in the order of limit by weight, the clamped sources come first."""
+    return rf"""
+    WITH sized AS (
+      SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}+')) AS BIGINT) AS size,
+             md5(concat('{SEED}', ':', coalesce(CAST(doc_id AS VARCHAR), '-'), ':', coalesce(text, ''))) AS draw
+      FROM documents),
+    sources AS (
+      SELECT source, CAST(sum(size) AS HUGEINT) AS words,
+             CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(CYCLE)} AS HUGEINT) AS weight
+      FROM sized GROUP BY source),
+    pools AS (
+      SELECT *, sum(words) OVER () - {MAX_EPOCHS} * coalesce(sum(words) OVER before, 0) AS free_words,
+             sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS free_weight
+      FROM sources WINDOW before AS (ORDER BY words / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    level AS (
+      SELECT free_words, free_weight FROM pools WHERE {MAX_EPOCHS} * words * free_weight >= weight * free_words
+      ORDER BY words / weight, source NULLS LAST LIMIT 1),
+    targets AS (
+      SELECT source, CAST(words AS BIGINT) AS source_size,
+             CASE WHEN {MAX_EPOCHS} * words * free_weight < weight * free_words THEN CAST({MAX_EPOCHS} * words AS DOUBLE)
+                  ELSE CAST(weight * free_words AS DOUBLE) / CAST(free_weight AS DOUBLE) END AS target
+      FROM sources, (SELECT max(free_words) AS free_words, max(free_weight) AS free_weight FROM level)),
+    plan AS (
+      SELECT *, CASE WHEN source_size > 0 THEN CAST(floor(target) AS BIGINT) // source_size ELSE 0 END AS whole FROM targets),
+    ordered AS (
+      SELECT d.*, p.source_size, p.target, p.whole, CAST(floor(p.target) AS BIGINT) - p.whole * p.source_size AS rest,
+             sum(size) OVER (PARTITION BY d.source ORDER BY draw ROWS UNBOUNDED PRECEDING) - size AS before
+      FROM sized d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
+    SELECT doc_id, size, source_size, target, CAST(whole * size + greatest(0, least(size, rest - before)) AS BIGINT) AS taken FROM ordered"""
+
+
+CRC_TABLE = """
+crc_steps AS (
+  SELECT list(c ORDER BY b) AS steps FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) t(b)))"""
+
+
+def _crc32(text: str) -> str:
+    """SQL of the unsigned crc32 of a text's UTF-8 bytes; needs ``CRC_TABLE``'s ``steps`` in scope."""
+    octets = f"list_transform(range(octet_length(encode({text}))), lambda k: CAST('0x' || substr(hex(encode({text})), 2 * k + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def merkle_manifest(levels: int = 12) -> str:
+    """Each level of the languages' trees and of the tree above them, written out; a tree that is done stays as it is."""
+
+    def climb(name: str, start: str, tree: str) -> str:
+        """CTEs name0 .. name<levels>: node digests by tree and place, and the paths of the lowest nodes."""
+        out = [f"{name}0 AS ({start})"]
+        for k in range(levels):
+            out.append(
+                f"{name}{k + 1} AS (SELECT {tree}, n // {FAN} AS n, CASE WHEN max(size) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY n)) END AS digest, "
+                f"CAST(ceil(max(size) / {FAN}) AS BIGINT) AS size FROM {name}{k} GROUP BY {tree}, n // {FAN})"
+            )
+            out.append(
+                f"{name}_others{k} AS (SELECT {tree}, n, CASE WHEN size = 1 THEN '' ELSE coalesce(string_agg(digest, '') OVER (r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') END AS l, "
+                f"CASE WHEN size = 1 THEN '' ELSE coalesce(string_agg(digest, '') OVER (r ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') END AS r, size "
+                f"FROM {name}{k} WINDOW r AS (PARTITION BY {tree}, n // {FAN} ORDER BY n))"
+            )
+        return ",\n".join(out)
+
+    def fold(source: str, name: str, tree: str, place: str) -> str:
+        steps, now = [], source
+        for k in range(levels):
+            step = f"{source}_{k}"
+            steps.append(
+                f"{step} AS (SELECT t.* REPLACE (t.proof || o.l || o.r AS proof, CASE WHEN o.size = 1 THEN t.fold ELSE sha256(o.l || t.fold || o.r) END AS fold) "
+                f"FROM {now} t JOIN {name}_others{k} o ON t.{tree} = o.{tree} AND t.{place} // {FAN**k} = o.n)"
+            )
+            now = step
+        return ",\n".join(steps)
+
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE CAST(octet_length(encode(CAST({c} AS VARCHAR))) AS VARCHAR) || ':' || CAST({c} AS VARCHAR) END"
+
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    lowered = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    last = levels - 1
+    return f"""
+    WITH {CRC_TABLE},
+    leaves AS (
+      SELECT doc_id, lang, leaf, CASE WHEN hit THEN changed ELSE leaf END AS fold, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+             row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS n, count(*) OVER (PARTITION BY lang) AS size
+      FROM (SELECT doc_id, lang, sha256({head} || {field('text')}) AS leaf, sha256({head} || {field(lowered)}) AS changed,
+                   coalesce({_crc32("CAST(doc_id AS VARCHAR)")} % 3 = 0, false) AS hit FROM documents, crc_steps)),
+    {climb("t", "SELECT tree, n, leaf AS digest, size FROM leaves", "tree")},
+    {climb("top", f"SELECT 0 AS one, tree AS n, digest, count(*) OVER () AS size FROM t{levels}", "one")},
+    low AS (SELECT doc_id, tree, n, leaf, fold, '' AS proof, 0 AS one FROM leaves),
+    {fold("low", "t", "tree", "n")},
+    high AS (SELECT * FROM low_{last}),
+    {fold("high", "top", "one", "tree")}
+    SELECT h.doc_id, h.leaf, s.digest AS subroot, r.digest AS root, sha256(h.proof) AS proof_sha256, h.fold AS folded_root, h.fold = r.digest AS verified
+    FROM high_{last} h JOIN t{levels} s USING (tree) CROSS JOIN top{levels} r"""
+
+
+ORACLE = {
+    "op1_quality_rules": quality_rules(),
+    "op6_revisits": REVISITS,
+    "op12_mixing": mixing_to_targets(),
+    "op13_manifest": merkle_manifest(),
+}
