@@ -5,6 +5,7 @@ from __future__ import annotations
 from amperline.llm.manifest import FAN
 from amperline.llm.mixing import CYCLE, MAX_EPOCHS, SEED
 from amperline.llm.quality_rules import MEASURES, MIN_DOCS, MIN_WORDS, REPEAT_PERCENT, WINDOW
+from amperline.llm.spelling import DAMAGE_MOD, FORM_FACTOR, MIN_COUNT, MIN_LENGTH
 
 WORD = r"[^\x20\x09-\x0D]"
 
@@ -209,9 +210,45 @@ def merkle_manifest(levels: int = 12) -> str:
     FROM high_{last} h JOIN t{levels} s USING (tree) CROSS JOIN top{levels} r"""
 
 
+def spelling_variants() -> str:
+    """Near words by their code points: words that agree but for one place, and words that lack one place of another."""
+    lowered = "translate(w, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"""
+    WITH RECURSIVE {CRC_TABLE},
+    found AS (
+      SELECT name, w, count(*) AS n
+      FROM (SELECT name, {lowered} AS w
+            FROM (SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS name, unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS w FROM documents))
+      GROUP BY ALL),
+    drawn AS (SELECT w, n, {_crc32("name || ':' || w")} AS h FROM found, crc_steps),
+    words AS (
+      SELECT word, CAST(sum(n) AS BIGINT) AS n
+      FROM (SELECT n, CASE WHEN h % {DAMAGE_MOD} = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word FROM drawn)
+      WHERE length(word) >= {MIN_LENGTH} GROUP BY word HAVING sum(n) >= {MIN_COUNT}),
+    gaps AS (
+      SELECT word, k, substr(word, 1, k) AS l, substr(word, k + 2) AS r FROM (SELECT word, unnest(range(length(word))) AS k FROM words)),
+    near AS (
+      SELECT a.word, b.word AS other FROM gaps a JOIN gaps b USING (k, l, r) WHERE a.word <> b.word
+      UNION SELECT g.word, w.word FROM gaps g JOIN words w ON w.word = g.l || g.r
+      UNION SELECT w.word, g.word FROM gaps g JOIN words w ON w.word = g.l || g.r),
+    best AS (
+      SELECT near.word, count(*) AS n_near, arg_min(other, (-w.n, other)) AS other, max(w.n) AS other_n
+      FROM near JOIN words w ON w.word = near.other GROUP BY near.word),
+    forms AS (
+      SELECT w.word, CASE WHEN other_n >= {FORM_FACTOR} * n THEN other END AS form, n, coalesce(n_near, 0) AS n_near,
+             CASE WHEN other_n >= {FORM_FACTOR} * n THEN other_n END AS form_n
+      FROM words w LEFT JOIN best b USING (word)),
+    steps AS (
+      SELECT word, word AS at FROM forms
+      UNION ALL SELECT s.word, f.form FROM steps s JOIN forms f ON f.word = s.at WHERE f.form IS NOT NULL)
+    SELECT f.word, f.form, s.at AS root, f.n, f.n_near, f.form_n
+    FROM forms f JOIN steps s ON s.word = f.word JOIN forms e ON e.word = s.at AND e.form IS NULL"""
+
+
 ORACLE = {
     "op1_quality_rules": quality_rules(),
     "op6_revisits": REVISITS,
+    "op11_spelling_variants": spelling_variants(),
     "op12_mixing": mixing_to_targets(),
     "op13_manifest": merkle_manifest(),
 }

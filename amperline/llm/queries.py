@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amperline.llm import decontamination, html_consensus, manifest, mixing, near_dedup, packing, quality_classifier, quality_rules, revisits, suffix_dedup, token_counts, toxicity
+from amperline.llm import decontamination, html_consensus, manifest, mixing, near_dedup, packing, quality_classifier, quality_rules, revisits, spelling, suffix_dedup, token_counts, toxicity
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -63,6 +63,10 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     return quality_classifier.scored(_table(spark, folder, "documents"), _table(spark, folder, "labels"), _fold(3, 1))
 
 
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(_table(spark, folder, "documents"))
+
+
 def op12_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mixed(_table(spark, folder, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -82,6 +86,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_near_dedup": op8_near_dedup,
     "op9_token_counts": op9_token_counts,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_mixing": op12_mixing,
     "op13_manifest": op13_manifest,
 }
