@@ -7,6 +7,7 @@ milliseconds or ISO text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -888,7 +889,7 @@ def _raw_stream(spark, folder):
 def stream_ingest(spark, folder):
     target = stream_ingest_jobs.IngestTarget(shared_folder(spark, "ingest"))
     stream_ingest_jobs.run_ingest(_raw_stream(spark, folder), target)
-    return spark.read.parquet(target.readings).select(
+    return target.readings_table.rows(spark).select(
         "sensorId", "timestamp", "readingType", "value", "unit", "gridZone"
     )
 
@@ -943,6 +944,25 @@ def expired_partitions(spark, folder):
     return left.groupBy(F.col("event_date").cast("string").alias("day")).agg(F.count("*").alias("n_rows"))
 
 
+@query
+def expired_days_removed(spark, folder):
+    """What is left in the files of a job's readings after one day was compacted and expired days were removed."""
+    target = stream_ingest_jobs.IngestTarget(shared_folder(spark, "removal"))
+    absent = F.lit(None)
+    rows = stores.with_event_date(samples.readings(spark, folder)).withColumns(
+        {"shard_id": absent.cast("string"), "sequence_number": absent.cast("string"), "arrival_ms": absent.cast("bigint")}
+    )
+    for batch, part in enumerate(("value < 100", "NOT coalesce(value < 100, false)")):
+        target.readings_table.put(rows.where(part), batch)
+    target.readings_table.compact(spark, date(2024, 1, 20), 1)
+    target.readings_table.sweep(spark)
+    stream_ingest_jobs.remove_expired(spark, target, date(2024, 2, 14))
+    left = spark.read.parquet(target.readings)
+    return left.groupBy(F.col("event_date").cast("string").alias("day")).agg(
+        F.count("*").alias("n_rows"), F.count_distinct("batch_id").alias("parts")
+    )
+
+
 @query
 def registry_duplicates(spark, folder):
     """Sensors that a second, conflicting registry file maps again."""

@@ -792,6 +792,11 @@ WHERE CASE read WHEN 'range' THEN pk = 'sensor-001' ELSE ttl > 1706572800 + 15 *
 oracle("expired_partitions", "readings", """
 SELECT CAST(CAST(event_ts AS DATE) AS VARCHAR) AS day, count(*) AS n_rows FROM readings
 WHERE CAST(event_ts AS DATE) + 31 > DATE '2024-02-14' GROUP BY 1""")
+oracle("expired_days_removed", "readings", """
+SELECT CAST(CAST(event_ts AS DATE) AS VARCHAR) AS day, count(*) AS n_rows,
+  CASE WHEN CAST(event_ts AS DATE) = DATE '2024-01-20' THEN 1 ELSE count(DISTINCT value < 100) END AS parts
+FROM readings GROUP BY CAST(event_ts AS DATE)
+HAVING CAST(event_ts AS DATE) + 30 >= DATE '2024-02-14' OR max(ttl) > epoch(TIMESTAMP '2024-02-14 00:00:00')""")
 oracle("registry_duplicates", "mappings", """
 SELECT sensorId, CAST(2 AS BIGINT) AS n_rows FROM mappings WHERE sensorId LIKE '%7'""")
 oracle("stream_dedup", "raw", "SELECT DISTINCT shard_id, sequence_number, event_id FROM raw")

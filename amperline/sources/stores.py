@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,23 +107,18 @@ def archive_daily_counts(raw: DataFrame) -> DataFrame:
     )
 
 
-def rewrite_day(spark: SparkSession, source: str, target: str, day: str) -> None:
-    """Compact one closed day of readings into a new folder.
-
-    The source is left alone: readers switch over once the copy is complete.
-    """
-    rows = spark.read.parquet(source).where(F.col("event_date") == F.lit(day).cast("date"))
-    _write_days(rows.drop("batch_id"), target, "append")
+def first_live_day(today: date) -> date:
+    """The earliest day that can still hold unexpired rows: a day has expired when the retention after its end has passed."""
+    return today - timedelta(days=RETENTION_SECONDS // 86_400)
 
 
 def expire_days(spark: SparkSession, path: str, today: str) -> DataFrame:
     """Readings of the days that still hold unexpired rows as of ``today``; the partition filter skips the others' files.
 
-    A day has expired as a whole when the retention after its end has passed.  The folders themselves are removed by
-    whoever owns the storage.
+    For a folder of readings; the table of an ingest job has its expired days removed (``streaming.ingest.remove_expired``).
     """
-    first = F.date_sub(F.lit(today).cast("date"), RETENTION_SECONDS // 86_400)
-    return spark.read.parquet(path).where(F.col("event_date") >= first)
+    first = first_live_day(date.fromisoformat(today))
+    return spark.read.parquet(path).where(F.col("event_date") >= F.lit(first))
 
 
 def write_outbox(messages: DataFrame, path: str) -> None:

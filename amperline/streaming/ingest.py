@@ -2,28 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amperline.operators.dedup import LEDGER_HOURS, NATURAL_KEY, drop_redelivered, first_writes, is_exhausted
-from amperline.operators.dedup import MAX_ATTEMPTS, SEQUENCE_KEY
+from amperline.operators.dedup import LEDGER_HOURS, MAX_ATTEMPTS, NATURAL_KEY, SEQUENCE_KEY, drop_redelivered, first_writes, is_exhausted
 from amperline.operators.validation import validate
-from amperline.sources.stores import ARCHIVE_ROWS_PER_FILE, archive_parts, with_event_date, with_keys
+from amperline.sources.stores import ARCHIVE_ROWS_PER_FILE, archive_parts, first_live_day, with_event_date, with_keys
+from amperline.sources.tables import DayTable
 from amperline.sources.telemetry import route
 from amperline.streaming.jobs import read_or_empty, run_to_end, write_batch
 
-STORED_KEYS = (
-    "sensorId string, timestamp string, readingType string,"
-    " event_ts timestamp, event_date date, batch_id bigint"
-)
-LEDGER = "shard_id string, sequence_number string, arrival_ms bigint, arrival_day date, batch_id bigint"
-READING_COLUMNS = (
-    "pk", "sk", "ttl", "sensorId", "timestamp", "event_ts", "readingType", "value", "unit", "gridZone",
-    "shard_id", "sequence_number", "arrival_ms",
+# Columns of the stored tables, without the day and the batch.
+READINGS = (
+    "pk string, sk string, ttl bigint, sensorId string, timestamp string, event_ts timestamp, readingType string,"
+    " value double, unit string, gridZone string, shard_id string, sequence_number string, arrival_ms bigint"
 )
+KEYS = "sensorId string, timestamp string, readingType string, event_ts timestamp"
+LEDGER = "shard_id string, sequence_number string, arrival_ms bigint"
+COUNTS = "records bigint, quarantined bigint, redelivered bigint, duplicates bigint, kept bigint"
 HOUR_MS = 3_600_000
+# A day of more partitions than this is put together, and so often the job looks for such days.
+LOOSE_BATCHES = 32
+FOLD_EVERY = 32
+
+Clock = int | Callable[[], int] | None
 
 
 def checked_stream(raw: DataFrame) -> DataFrame:
@@ -35,10 +41,11 @@ def _arrival_day(ms: str) -> Column:
     return F.to_date(F.timestamp_millis(ms))
 
 
-def new_sequences(spark: SparkSession, rows: DataFrame, ledger: str, batch_id: int) -> DataFrame:
+def new_sequences(rows: DataFrame, ledger: DayTable, batch_id: int) -> DataFrame:
     """The first copy of each sequence number that no earlier batch has processed.
 
-    A copy arrives at most the ledger's hours after its first one, so stored days of that range prune the ledger.
+    A copy arrives at most the ledger's hours after its first one, so the catalogue names the ledger's partitions of that
+    range and no others.  Its buckets are those of the join, so only the batch is shuffled.
     """
     low, high = rows.agg(F.min("arrival_ms"), F.max("arrival_ms")).first()
     first = drop_redelivered(rows)
@@ -46,38 +53,53 @@ def new_sequences(spark: SparkSession, rows: DataFrame, ledger: str, batch_id: i
         return first
     span = LEDGER_HOURS * HOUR_MS
     days = [F.to_date(F.timestamp_millis(F.lit(ms))) for ms in (low - span, high + span)]
-    known = read_or_empty(spark, ledger, LEDGER).where(F.col("arrival_day").between(*days) & (F.col("batch_id") != batch_id))
+    known = ledger.all_rows(rows.sparkSession).where(F.col("arrival_day").between(*days) & (F.col("batch_id") != batch_id))
     known = known.where(F.col("arrival_ms").between(low - span, high + span))
     return first.join(known.select(*SEQUENCE_KEY), [*SEQUENCE_KEY], "left_anti")
 
 
-def write_ledger(rows: DataFrame, path: str, batch_id: int) -> None:
-    write_batch(rows.select(*SEQUENCE_KEY, "arrival_ms", _arrival_day("arrival_ms").alias("arrival_day")), path, batch_id, "arrival_day")
+def write_ledger(rows: DataFrame, ledger: DayTable, batch_id: int) -> None:
+    ledger.put(rows.withColumn("arrival_day", _arrival_day("arrival_ms")), batch_id)
 
 
-def _stored_keys(spark: SparkSession, path: str, rows: DataFrame, batch_id: int) -> DataFrame:
-    """Natural keys already stored that a batch can collide with.
+def unstored(valid: DataFrame, keys: DayTable, batch_id: int) -> DataFrame:
+    """First writes of natural keys that no earlier batch has stored.
 
-    The natural key holds the event time, so only stored rows within the batch's range of event times can be
-    duplicates.  Their days prune partitions and the range prunes files, as a file holds the rows of one batch.
+    The key holds the event time, so only stored keys within the batch's range of event times count; the catalogue
+    names their days' partitions.
     """
-    low, high = rows.agg(F.min("event_ts"), F.max("event_ts")).first()
+    low, high = valid.agg(F.min("event_ts"), F.max("event_ts")).first()
+    first = first_writes(valid)
     if low is None:
-        return spark.createDataFrame([], STORED_KEYS)
-    stored = read_or_empty(spark, path, STORED_KEYS).where(F.col("event_date").between(F.to_date(F.lit(low)), F.to_date(F.lit(high))))
-    return stored.where(F.col("event_ts").between(F.lit(low), F.lit(high)) & (F.col("batch_id") != batch_id))
+        return first
+    known = keys.all_rows(valid.sparkSession).where(F.col("event_date").between(F.to_date(F.lit(low)), F.to_date(F.lit(high))))
+    known = known.where(F.col("event_ts").between(F.lit(low), F.lit(high)) & (F.col("batch_id") != batch_id))
+    return first.join(known.select(*NATURAL_KEY), [*NATURAL_KEY], "left_anti")
 
 
 @dataclass(frozen=True)
 class IngestTarget:
-    """Folders of one ingest job."""
+    """Folders and tables of one ingest job; ``buckets`` is the number the key tables start with, by default the shuffle's."""
 
     root: str
+    buckets: int | None = None
 
     @property
     def readings(self) -> str:
         return f"{self.root}/readings"
 
+    @property
+    def readings_table(self) -> DayTable:
+        return DayTable(self.readings, READINGS, "event_date")
+
+    @property
+    def keys_table(self) -> DayTable:
+        return DayTable(f"{self.root}/keys", KEYS, "event_date", NATURAL_KEY, self.buckets)
+
+    @property
+    def ledger_table(self) -> DayTable:
+        return DayTable(self.ledger, LEDGER, "arrival_day", SEQUENCE_KEY, self.buckets)
+
     @property
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
@@ -103,65 +125,110 @@ class IngestTarget:
         return f"{self.root}/checkpoint"
 
 
-def store_batch(target: IngestTarget, as_of_ms: int | None = None):
+def _batch_time(spark: SparkSession, target: IngestTarget, batch_id: int, clock: Clock) -> int | None:
+    """The time a batch's ages count from: asked for once, kept for a replay."""
+    if not callable(clock):
+        return clock
+    place, schema = f"{target.root}/clock/batch_id={batch_id}", "as_of_ms bigint"
+    if read_or_empty(spark, place, schema).isEmpty():
+        spark.createDataFrame([(clock(),)], schema).write.mode("overwrite").parquet(place)
+    return spark.read.schema(schema).parquet(place).first().as_of_ms
+
+
+def store_batch(target: IngestTarget, as_of_ms: Clock = None):
     """The function each micro-batch of ``checked_stream`` is handed to.
 
     Every record ends in one place: readings, quarantine (rejected, or given up by age or tries), or it is counted as
-    redelivered or duplicate.  ``as_of_ms`` is the time of processing that ages count from; a replay of old records has
-    none, and then only tries count.
+    redelivered or duplicate.  ``as_of_ms`` is the time of processing that ages count from: a fixed one, or a function that
+    is asked for each batch of a job that runs on.  A replay of old records has none, and then only tries count.
     """
+    ledger, keys, readings = target.ledger_table, target.keys_table, target.readings_table
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        now = _batch_time(spark, target, batch_id, as_of_ms)
         # Several writes use the batch: it is parsed once into a shared folder, which the next batch overwrites.
         batch.write.mode("overwrite").parquet(target.staging)
         rows = spark.read.schema(batch.schema).parquet(target.staging)
         attempts = F.col("attempts") if "attempts" in rows.columns else F.lit(1)
-        aged = is_exhausted(F.lit(1), F.col("arrival_ms"), as_of_ms) if as_of_ms is not None else F.lit(False)
+        aged = is_exhausted(F.lit(1), F.col("arrival_ms"), now) if now is not None else F.lit(False)
         tired = attempts > MAX_ATTEMPTS
         reasons = F.when(aged, F.array(F.lit("aged"))).when(tired, F.array(F.lit("exhausted"))).otherwise(F.col("errors"))
         rows = rows.withColumn("errors", reasons)
         ok = F.size("errors") == 0
         quarantined = rows.where(~ok).select("shard_id", "sequence_number", "topic", "payload", "errors", "arrival_ms")
         write_batch(quarantined, target.quarantine, batch_id)
-        fresh = new_sequences(spark, rows.where(ok), target.ledger, batch_id)
-        write_ledger(fresh, target.ledger, batch_id)
-        # Later steps see what the ledger has of this batch; a replay gives the same.
-        valid = with_event_date(fresh)
-        stored = _stored_keys(spark, target.readings, valid, batch_id)
-        new = first_writes(valid).join(stored.select(*NATURAL_KEY), [*NATURAL_KEY], "left_anti")
-        write_batch(with_keys(new).select(*READING_COLUMNS, "event_date"), target.readings, batch_id, "event_date")
-        # Counted from what was stored, so that the numbers are right after a lost executor or a replay too.
+        fresh = new_sequences(rows.where(ok), ledger, batch_id)
+        write_ledger(fresh, ledger, batch_id)
+        new = with_keys(unstored(with_event_date(fresh), keys, batch_id))
+        readings.put(new, batch_id)
+        # From the stored rows: keys never name a reading that is not there.
         mine = F.col("batch_id") == batch_id
-        parts = [
-            (rows.select(F.lit(1)), "records"),
-            (quarantined.select(F.lit(1)), "quarantined"),
-            (read_or_empty(spark, target.ledger, LEDGER).where(mine).select(F.lit(1)), "processed"),
-            (read_or_empty(spark, target.readings, STORED_KEYS).where(mine).select(F.lit(1)), "kept"),
-        ]
-        counts = None
-        for frame, name in parts:
-            one = frame.agg(F.count("*").alias(name))
-            counts = one if counts is None else counts.join(one)
-        counts = counts.selectExpr("records", "quarantined", "records - quarantined - processed AS redelivered", "processed - kept AS duplicates", "kept")
-        write_batch(counts.where("records > 0"), target.counts, batch_id)
+        keys.put(readings.all_rows(spark).where(mine), batch_id)
+        # Counted from what was stored, so that the numbers are right after a lost executor or a replay too.
+        tally = rows.agg(F.count("*").alias("records"), F.count_if(~ok).alias("quarantined"))
+        for table, name in ((ledger, "processed"), (readings, "kept")):
+            tally = tally.join(table.all_rows(spark).where(mine).agg(F.count("*").alias(name)))
+        tally = tally.selectExpr("records", "quarantined", "records - quarantined - processed AS redelivered", "processed - kept AS duplicates", "kept")
+        write_batch(tally.where("records > 0"), target.counts, batch_id)
+        if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
+            # The batches before this one are finished.
+            for table in (ledger, keys):
+                table.fold(spark, batch_id - 1, LOOSE_BATCHES)
 
     return run
 
 
+def last_finished(spark: SparkSession, target: IngestTarget) -> int:
+    """The last batch that is never replayed: one after it has been counted.  -1 where there is none."""
+    seen = read_or_empty(spark, target.counts, f"{COUNTS}, batch_id bigint").agg(F.max("batch_id")).first()[0]
+    return -1 if seen is None else seen - 1
+
+
+def compact_days(spark: SparkSession, target: IngestTarget, before: date) -> list[date]:
+    """Put each closed day (earlier than ``before``) of readings and keys into one partition, between or while batches run."""
+    up_to, done = last_finished(spark, target), set()
+    for table, order in ((target.readings_table, ("sensorId", "event_ts")), (target.keys_table, ()), (target.ledger_table, ())):
+        for day in sorted(d for d in table.partitions(spark) if d < before):
+            if table.compact(spark, day, up_to, order):
+                done.add(day)
+    return sorted(done)
+
+
+def remove_expired(spark: SparkSession, target: IngestTarget, today: date) -> list[date]:
+    """Remove the days of readings that hold no live row as of the start of ``today``, with their keys; returns the days.
+
+    Only days as old as the retention are looked at.  A reading that came late keeps its day until its own time has passed.
+    The ledger loses the arrival days that no copy can reach any more.
+    """
+    first, midnight = first_live_day(today), F.unix_seconds(F.lit(today).cast("timestamp"))
+    old = target.readings_table.rows(spark).where(F.col("event_date") < F.lit(first))
+    gone = [r.event_date for r in old.groupBy("event_date").agg(F.max("ttl").alias("last")).where(F.col("last") <= midnight).collect()]
+    for table in (target.readings_table, target.keys_table):
+        table.remove_days(spark, gone)
+    ledger = target.ledger_table
+    ledger.remove_days(spark, [d for d in ledger.partitions(spark) if d < first])
+    return sorted(gone)
+
+
 def run_dedup(raw: DataFrame, root: str) -> None:
     """One row per sequence number of a shard, over the whole stream: ``root``/rows."""
+    ledger = DayTable(f"{root}/ledger", LEDGER, "arrival_day", SEQUENCE_KEY)
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        write_batch(new_sequences(spark, batch, f"{root}/ledger", batch_id), f"{root}/rows", batch_id)
-        write_ledger(spark.read.parquet(f"{root}/rows").where(F.col("batch_id") == batch_id), f"{root}/ledger", batch_id)
+        write_batch(new_sequences(batch, ledger, batch_id), f"{root}/rows", batch_id)
+        # Only this batch's folder is listed; without it the batch had nothing new.
+        own = read_or_empty(batch.sparkSession, f"{root}/rows/batch_id={batch_id}", LEDGER)
+        write_ledger(own, ledger, batch_id)
 
     run_to_end(raw.writeStream.foreachBatch(run).outputMode("append"), f"{root}/checkpoint")
 
 
-def run_ingest(raw: DataFrame, target: IngestTarget, as_of_ms: int | None = None, every: str | None = None) -> None:
-    """Ingest everything the stream has, or go on with a batch ``every`` so often; safe to stop and start again."""
+def run_ingest(raw: DataFrame, target: IngestTarget, as_of_ms: Clock = None, every: str | None = None) -> None:
+    """Ingest everything the stream has, or go on with a batch ``every`` so often; safe to stop and start again.
+
+    A job that runs on takes a function for ``as_of_ms``, such as ``lambda: time.time_ns() // 1_000_000``.
+    """
     writer = checked_stream(raw).writeStream.foreachBatch(store_batch(target, as_of_ms)).outputMode("append")
     run_to_end(writer, f"{target.checkpoint}/ingest", every)
 
