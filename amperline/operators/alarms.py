@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+from pyspark.sql.window import Window, WindowSpec
 
 COMPARATORS = {
     ">": lambda value, limit: value > limit,
@@ -79,67 +79,103 @@ def state_changes(series: DataFrame, rule: Rule) -> DataFrame:
     )
 
 
-def dlq_depth(messages: DataFrame, until_ms: Column | None = None) -> DataFrame:
-    """Largest number of waiting dead letters in each minute.
+def _depth_days(per_second: DataFrame) -> DataFrame:
+    """Each day with changes: the depth at its start and its end, and the next such day.
 
-    A message waits from ``received_ms`` until ``handled_ms``; if that is null or
-    its inspection failed it stays.  Changes are summed per second first.  The
-    running sum then runs within days on top of the sum of the earlier days, so
-    no task sees more than one day of seconds.
+    Sums in two levels: months on top of each other, then the days within their month.  Only days and months with changes are
+    rows, so a message from long ago adds one of each.  ``era`` is one key for 10,000 years of months.
     """
-    gone = F.when(F.col("inspection") == "ok", F.col("handled_ms"))
-    changes = messages.select(
-        F.inline(
-            F.array(
-                F.struct(
-                    F.floor(F.col("received_ms") / 1000).alias("second"),
-                    F.lit(1).alias("came"), F.lit(0).alias("went"),
-                ),
-                F.struct(
-                    F.floor(gone / 1000).alias("second"), F.lit(0).alias("came"), F.lit(1).alias("went"),
-                ),
-            )
-        )
-    ).where("second IS NOT NULL")
-    per_second = changes.groupBy("second").agg(
-        F.sum("came").alias("came"), F.sum("went").alias("went")
-    ).withColumn("day", F.floor(F.col("second") / DAY_SECONDS))
-
-    # One row per day: its net change, and the depth it starts with.
-    days = per_second.groupBy("day").agg(F.sum(F.col("came") - F.col("went")).alias("net"))
-    span = days.agg(F.min("day").alias("low"), F.max("day").alias("high"))
-    dense = span.select(F.explode(F.sequence("low", "high")).alias("day")).join(days, "day", "left")
-    earlier = Window.orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
-    starts = dense.select(
-        "day", F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("at_start")
+    days = per_second.groupBy("month", "day").agg(F.sum(F.col("came") - F.col("went")).alias("net"))
+    months = days.groupBy("month").agg(F.sum("net").alias("net"), F.min("day").alias("first_day"))
+
+    def earlier(window: WindowSpec) -> Column:
+        return F.coalesce(F.sum("net").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+
+    along = Window.partitionBy(F.expr("month DIV 120000").alias("era")).orderBy("month")
+    months = months.select("month", earlier(along).alias("before"), F.lead("first_day").over(along).alias("next_first"))
+    within = Window.partitionBy("month").orderBy("day")
+    days = days.select("month", "day", "net", earlier(within).alias("added"), F.lead("day").over(within).alias("next"))
+    start = F.col("before") + F.col("added")
+    return days.join(months, "month").select(
+        "day", start.alias("at_start"), (start + F.col("net")).alias("at_end"), F.coalesce("next", "next_first").alias("next_day")
     )
 
-    # Within a day the running depth; arrivals of a second count before departures.
-    running = Window.partitionBy("day").orderBy("second")
-    net = F.col("came") - F.col("went")
-    seconds = per_second.withColumn("after", F.sum(net).over(running)).withColumn(
-        "peak", F.col("after") + F.col("went")
-    )
-    per_minute = seconds.groupBy("day", F.floor(F.col("second") / 60).alias("minute")).agg(
-        F.max("peak").alias("peak"), F.max_by("after", "second").alias("after")
+
+def _depth(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(days, minutes)``; minutes with changes: depth before, largest depth, depth after.
+
+    A message waits from ``received_ms`` until ``handled_ms``; if that is null or its inspection failed it stays.  Changes are
+    summed per second first; the running sum within a day stands on the day's start, so no task sees more than one day of
+    seconds.  Arrivals of a second count before departures.
+    """
+    gone = F.when(F.col("inspection") == "ok", F.col("handled_ms"))
+    marks = F.array(
+        F.struct(F.floor(F.col("received_ms") / 1000).alias("second"), F.lit(1).alias("came"), F.lit(0).alias("went")),
+        F.struct(F.floor(gone / 1000).alias("second"), F.lit(0).alias("came"), F.lit(1).alias("went")),
     )
-    grid = starts.withColumn(
-        "minute",
-        F.explode(F.sequence(F.col("day") * 1440, F.col("day") * 1440 + 1439)),
+    changes = messages.select(F.inline(marks)).where("second IS NOT NULL")
+    per_second = changes.groupBy("second").agg(F.sum("came").alias("came"), F.sum("went").alias("went"))
+    per_second = per_second.withColumn("day", F.floor(F.col("second") / DAY_SECONDS)).withColumn(
+        "month", F.expr("12L * year(date_from_unix_date(int(day))) + month(date_from_unix_date(int(day)))")
     )
-    filled = grid.join(per_minute, ["day", "minute"], "left")
-    before = (
-        Window.partitionBy("day").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    days = _depth_days(per_second)
+    running = F.sum(F.col("came") - F.col("went")).over(Window.partitionBy("day").orderBy("second"))
+    seconds = per_second.withColumn("after", running)
+    minutes = seconds.groupBy("day", F.floor(F.col("second") / 60).alias("minute")).agg(
+        F.min_by(F.expr("after - came + went"), "second").alias("before"),
+        F.max(F.expr("after + went")).alias("peak"),
+        F.max_by("after", "second").alias("after"),
     )
-    carried = F.coalesce(F.last("after", ignorenulls=True).over(before), F.lit(0))
-    return filled.select(
-        (F.col("minute") * 60_000).alias("period_ms"),
-        (F.col("at_start") + F.greatest(carried, F.coalesce("peak", carried)))
-        .cast("double")
-        .alias("value"),
+    based = minutes.join(days.select("day", "at_start"), "day")
+    levels = {c: F.col(c) + F.col("at_start") for c in ("before", "peak", "after")}
+    return days, based.withColumns(levels).withColumn("peak", F.greatest("before", "peak")).drop("at_start")
+
+
+def dlq_depth_changes(messages: DataFrame, rule: Rule = DLQ_DEPTH) -> DataFrame:
+    """State changes of an alarm on the number of waiting dead letters, from the minutes with changes alone.
+
+    Between two of them the depth stays, so a minute is compared with the one before it, and the minute after it with itself.
+    The series ends with the last day of a change.
+    """
+    if rule.periods != 1 or rule.period_ms != 60_000:
+        raise ValueError("the depth alarm looks at single minutes")
+    days, minutes = _depth(messages)
+
+    def on(column: str) -> Column:
+        return COMPARATORS[rule.comparator](F.col(column), F.lit(rule.threshold))
+
+    def mark(at: Column, now: Column, before: Column, now_rank: int, before_rank: int) -> Column:
+        ranks = (F.lit(now_rank).alias("now_rank"), F.lit(before_rank).alias("before_rank"))
+        return F.struct(at.cast("bigint").alias("at_ms"), now.alias("now"), before.alias("before"), *ranks)
+
+    start = F.col("minute") * 60_000
+    own = mark(start, on("peak"), on("before"), 2, 2)
+    after = mark(start + 60_000, on("after"), on("peak"), 1, 3)
+    end = mark((F.col("day") + 1) * (DAY_SECONDS * 1000), F.lit(False), on("at_end"), 3, 1)
+    marks = minutes.select(F.inline(F.array(own, after)))
+    marks = marks.unionByName(days.where("next_day IS NULL").select(F.inline(F.array(end))))
+    merged = marks.groupBy("at_ms").agg(F.max_by("now", "now_rank").alias("now"), F.max_by("before", "before_rank").alias("before"))
+    return merged.where("now <> before").select(
+        F.lit(rule.name).alias("alarm"), "at_ms", F.when(F.col("now"), "ALARM").otherwise("OK").alias("state")
     )
 
 
+def dlq_depth(messages: DataFrame) -> DataFrame:
+    """Largest number of waiting dead letters in each minute of each day from the first to the last one with a change.
+
+    The dense form, for charts; alarms use ``dlq_depth_changes``.
+    """
+    days, minutes = _depth(messages)
+    minute = F.explode(F.sequence(F.col("day") * 1440, F.col("day") * 1440 + 1439)).alias("minute")
+    busy = days.select("day", "at_start", minute).join(minutes.drop("before"), ["day", "minute"], "left")
+    before = Window.partitionBy("day").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    carried = F.coalesce(F.last("after", ignorenulls=True).over(before), F.col("at_start"))
+    filled = busy.select("minute", F.coalesce("peak", carried).alias("value"))
+    idle = days.where("next_day > day + 1").select("at_end", F.explode(F.sequence(F.col("day") + 1, F.col("next_day") - 1)).alias("day"))
+    filled = filled.unionByName(idle.select(minute, F.col("at_end").alias("value")))
+    return filled.select((F.col("minute") * 60_000).alias("period_ms"), F.col("value").cast("double").alias("value"))
+
+
 def p99_series(percentiles: DataFrame, reading_type: str = "voltage") -> DataFrame:
     """The p99 stream one reading type stands for."""
     return percentiles.where(F.col("readingType") == reading_type).select(

@@ -466,8 +466,7 @@ def override_audit(spark, folder):
 
 @query
 def alarm_dlq_depth(spark, folder):
-    depth = alarms.dlq_depth(samples.dlq_messages(spark, folder))
-    return alarms.state_changes(depth, alarms.DLQ_DEPTH)
+    return alarms.dlq_depth_changes(samples.dlq_messages(spark, folder))
 
 
 @query

@@ -113,6 +113,34 @@ def test_depth_over_several_days(spark):
     assert found == want
 
 
+def test_depth_alarm_needs_no_grid(spark):
+    """From changes alone as from the dense series, idle days, midnight and a last minute with changes included."""
+    day = 86_400_000
+    for seed in range(3):
+        rng, base = random.Random(seed), 1_704_067_200_000
+        rows = []
+        for _ in range(60):
+            start = base + rng.choice([0, 1, 2, 9, 33]) * day + rng.choice([0, 59_000, day - 60_000, day - 1000, rng.randrange(day)])
+            rows.append((start, start + rng.choice([0, 1000, 60_000, 120_000, 2 * day]), "failed" if seed == 2 and rng.random() < 0.05 else "ok"))
+        frame = spark.createDataFrame(rows, "received_ms long, handled_ms long, inspection string")
+        for limit in (1, 3):
+            rule = alarms.Rule("depth", ">=", limit)
+            want = sorted(alarms.state_changes(alarms.dlq_depth(frame), rule).collect())
+            assert sorted(alarms.dlq_depth_changes(frame, rule).collect()) == want and want
+
+
+def test_old_message_adds_two_changes(spark):
+    rows = [(1_704_067_200_000 + i * 3_600_000, 1_704_067_200_000 + i * 3_600_000 + 60_000, "ok") for i in range(100)]
+    schema = "received_ms long, handled_ms long, inspection string"
+    plain = spark.createDataFrame(rows, schema)
+    old = spark.createDataFrame([*rows, (5_000, 65_000, "ok")], schema)
+    days, minutes = alarms._depth(old)
+    assert minutes.count() == alarms._depth(plain)[1].count() + 2 and days.count() == alarms._depth(plain)[0].count() + 1
+    assert alarms.dlq_depth_changes(old).count() == alarms.dlq_depth_changes(plain).count() + 2
+    plan = alarms.dlq_depth_changes(old)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "sequence" not in plan
+
+
 def test_first_write_wins_on_a_hot_key(spark):
     rows = [("sensor-1", "t", "voltage", 1000 - i, "s", str(i), float(i)) for i in range(500)]
     rows += [("sensor-2", "t", "voltage", 5, "s", "x", 1.0)]
