@@ -8,6 +8,7 @@ from pyspark.sql.window import Window
 
 from amperline.functions import codes, datetime_ok, name_ok, parse_time
 from amperline.operators.thresholds import DEFAULT_BOUNDS, Bounds, evaluate
+from amperline.session import stored
 from amperline.sources.stores import in_time_range
 
 # Limits of the read requests.
@@ -15,6 +16,10 @@ MAX_LIMIT = 1000
 DEFAULT_LOOKBACK_MINUTES, MAX_LOOKBACK_MINUTES = 60, 10_080
 DEFAULT_HISTORY, MAX_HISTORY = 20, 100
 STATUSES = ("RUNNING", "SUCCEEDED", "FAILED", "TIMED_OUT", "ABORTED")
+# Blocks are counted within spans of this length.
+SPAN_SECONDS = 30 * 86_400
+# Later than any block.
+LAST_BLOCK = 1 << 40
 # Fixed value: appended to an upper text bound so that keys starting with it count.
 UPPER_SENTINEL = "￿"
 
@@ -82,48 +87,74 @@ def check_requests(requests: DataFrame) -> DataFrame:
     )
 
 
+def _running_counts(readings: DataFrame, block_seconds: int) -> DataFrame:
+    """Rows per time block of each sensor, running within a span of blocks, and the rows of the spans before; stored.
+
+    Spans have a fixed length, so a window sees the blocks of one span or the spans of one sensor, whatever their rows.
+    """
+    block = F.floor(F.unix_seconds("event_ts") / block_seconds)
+    per_block = readings.groupBy("sensorId", block.alias("block")).agg(F.count("*").alias("n"))
+    per_block = per_block.withColumn("span", _span("block", block_seconds))
+    within = Window.partitionBy("sensorId", "span").orderBy("block")
+    running = per_block.withColumn("upto", F.sum("n").over(within))
+    spans = running.groupBy("sensorId", "span").agg(F.max("upto").alias("n"))
+    along = Window.partitionBy("sensorId").orderBy("span")
+    spans = spans.select("sensorId", "span", (F.sum("n").over(along) - F.col("n")).alias("before"), F.sum("n").over(along).alias("after"))
+    return stored(running.join(spans, ["sensorId", "span"]).drop("n"), "blocks")
+
+
+def _span(block: str, block_seconds: int) -> Column:
+    return F.floor(F.col(block) / max(1, SPAN_SECONDS // block_seconds))
+
+
+def _rows_up_to(edges: DataFrame, counts: DataFrame) -> DataFrame:
+    """As-of step: for each ``sensorId, span, edge`` the sensor's rows in blocks up to ``edge`` as ``seen``.
+
+    Edges and counts meet by a union in the order of blocks within a span; an edge with no block before it in its span
+    takes the end of the last span before, found in the same way among the spans of its sensor.
+    """
+    no = F.lit(None).cast("bigint")
+    blocks = counts.select("sensorId", "span", F.col("block").alias("at"), (F.col("before") + F.col("upto")).alias("rows"), no.alias("edge"))
+    asked = edges.select("sensorId", "span", F.col("edge").alias("at"), no.alias("rows"), "edge")
+    in_span = Window.partitionBy("sensorId", "span").orderBy("at", F.col("edge").isNotNull())
+    met = blocks.unionByName(asked).withColumn("seen", F.last("rows", ignorenulls=True).over(in_span))
+    met = met.where("edge IS NOT NULL").drop("rows", "at")
+    ends = counts.groupBy("sensorId", "span").agg(F.max("after").alias("rows")).withColumn("asked", F.lit(0))
+    spans = ends.unionByName(edges.select("sensorId", "span").distinct().select("*", no.alias("rows"), F.lit(1).alias("asked")))
+    earlier = Window.partitionBy("sensorId").orderBy("span").rangeBetween(Window.unboundedPreceding, -1)
+    spans = spans.withColumn("base", F.last("rows", ignorenulls=True).over(earlier)).where("asked = 1")
+    seen = F.coalesce("seen", "base", F.lit(0))
+    return met.join(spans.select("sensorId", "span", "base"), ["sensorId", "span"]).select("sensorId", "edge", seen.alias("seen"))
+
+
 def _needed_blocks(requests: DataFrame, readings: DataFrame, block_seconds: int) -> DataFrame:
     """For each request the time blocks that can hold one of its rows.
 
-    Blocks are counted once per sensor and kept as one array with the number of
-    newer rows, so its length is bounded by the stored time and not by the rows.
-    Going back from the newest block, a request needs blocks until those that
-    lie wholly inside its range hold ``limit`` rows; edge blocks count as
-    nothing, so no needed block is missed.  Only needed blocks become rows.
+    Going back from the newest block, a request needs blocks until those that lie wholly inside its range hold ``limit``
+    rows; its upper edge block counts as nothing, so no needed block is missed.  With running counts that is a bound:
+    a block is needed if more than ``rows before the edge - limit`` rows lie up to its end.  Spans are chosen by the same
+    bound first, then the blocks of the chosen spans; each request carries numbers and no list of blocks.
     """
-    per_block = readings.groupBy(
-        "sensorId", F.floor(F.unix_seconds("event_ts") / block_seconds).alias("block")
-    ).agg(F.count("*").alias("n"))
-    newer = (
-        Window.partitionBy("sensorId")
-        .orderBy(F.col("block").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    profile = (
-        per_block.withColumn("newer", F.coalesce(F.sum("n").over(newer), F.lit(0)))
-        .groupBy("sensorId")
-        .agg(F.collect_list(F.struct("block", "n", "newer")).alias("blocks"))
-    )
+    counts = _running_counts(readings, block_seconds)
     bounded = requests.select(
         "*",
         F.floor(F.unix_seconds("from_ts") / block_seconds).alias("low"),
         F.floor(F.unix_seconds("to_ts") / block_seconds).alias("high"),
-    ).join(profile, "sensorId")
-    # Rows from the upper edge block on: they do not count towards the limit.
-    beyond = F.expr(
-        "coalesce(array_max(transform(filter(blocks, b -> b.block >= high),"
-        " b -> b.newer + b.n)), 0)"
-    )
-    needed = F.expr(
-        "transform(filter(blocks, b -> (low IS NULL OR b.block >= low)"
-        " AND (high IS NULL OR b.block <= high)"
-        " AND (limit IS NULL OR b.newer - beyond < limit)), b -> b.block)"
+    ).withColumn("edge", F.coalesce(F.col("high") - 1, F.lit(LAST_BLOCK)))
+    edges = bounded.where("limit IS NOT NULL").select("sensorId", "edge").distinct().withColumn("span", _span("edge", block_seconds))
+    reached = bounded.join(_rows_up_to(edges, counts), ["sensorId", "edge"], "left").withColumn("bound", F.col("seen") - F.col("limit"))
+    spans = counts.groupBy("sensorId", "span").agg(F.max("after").alias("span_end"))
+    chosen = reached.join(spans, "sensorId").where(
+        (F.col("low").isNull() | (F.col("span") >= _span("low", block_seconds)))
+        & (F.col("high").isNull() | (F.col("span") <= _span("high", block_seconds)))
+        & (F.col("limit").isNull() | (F.col("span_end") > F.col("bound")))
     )
-    return (
-        bounded.withColumn("beyond", beyond)
-        .withColumn("block", F.explode(needed))
-        .drop("blocks", "beyond", "low", "high")
+    found = chosen.join(counts, ["sensorId", "span"]).where(
+        (F.col("low").isNull() | (F.col("block") >= F.col("low")))
+        & (F.col("high").isNull() | (F.col("block") <= F.col("high")))
+        & (F.col("limit").isNull() | (F.col("before") + F.col("upto") > F.col("bound")))
     )
+    return found.select(*requests.columns, "block")
 
 
 def request_items(

@@ -289,9 +289,10 @@ def validate_query_requests(spark, folder):
 
 
 def _served(spark, folder):
-    checked = reads.check_requests(samples.query_requests(spark, folder))
+    # The request table is derived from the sample once; plans use it several times.
+    checked = stored(reads.check_requests(samples.query_requests(spark, folder)), "requests")
     valid = checked.where(F.size("errors") == 0)
-    items = reads.request_items(valid, samples.readings(spark, folder))
+    items = reads.request_items(valid, samples.readings(spark, folder).select("sensorId", "event_ts", "sk", "value"))
     return checked, valid, items
 
 
