@@ -14,7 +14,7 @@ from amperline.operators.dedup import NATURAL_KEY
 PERCENTILES = (0.5, 0.95, 0.99)
 
 
-def _name(p: float) -> str:
+def percentile_name(p: float) -> str:
     return f"p{round(p * 100)}"
 
 
@@ -62,14 +62,14 @@ def latency_percentiles(
     return grouped.select(
         "minute_ms",
         "readingType",
-        *[F.col("found")[i].cast("double").alias(_name(p)) for i, p in enumerate(percentiles)],
+        *[F.col("found")[i].cast("double").alias(percentile_name(p)) for i, p in enumerate(percentiles)],
     )
 
 
 def worst_latency(per_type: DataFrame, percentiles: Sequence[float] = PERCENTILES) -> DataFrame:
     """Per minute the worst of the per-type percentiles, which is not a pooled percentile."""
     return per_type.groupBy("minute_ms").agg(
-        *[F.max(_name(p)).alias(_name(p)) for p in percentiles]
+        *[F.max(percentile_name(p)).alias(percentile_name(p)) for p in percentiles]
     )
 
 

@@ -26,6 +26,7 @@ from amperline.operators import (
     reads,
     routing,
     severity,
+    sketches,
     thresholds,
     validation,
     workflow,
@@ -383,6 +384,22 @@ def latency_percentiles(spark, folder):
     return rounded(metrics.latency_percentiles(_log(spark, folder)), "p50", "p95", "p99")
 
 
+@query
+def latency_sketch_daily(spark, folder):
+    """Daily percentiles from stored minute sketches, against the exact ranks in the log."""
+    log = _log(spark, folder)
+    minutes = stored(sketches.latency_sketches(log), "latency-sketches")
+    daily = stored(sketches.sketch_percentiles(sketches.merged(minutes, sketches.DAY_MS)), "latency-days")
+    judged = sketches.rank_errors(daily, log, sketches.DAY_MS)
+    return judged.select("minute_ms", "readingType", "events", (F.col("rank_error") <= sketches.RANK_ERROR).alias("within"))
+
+
+@query
+def distinct_sensors_range(spark, folder):
+    days = stored(sketches.sensor_sketches(samples.readings(spark, folder)), "sensor-sketches")
+    return sketches.distinct_sensors(days).withColumn("day", F.col("day").cast("string"))
+
+
 @query
 def latency_worst_case(spark, folder):
     worst = metrics.worst_latency(metrics.latency_percentiles(_log(spark, folder)))

@@ -492,6 +492,16 @@ SELECT minute_ms, readingType, round(quantile_cont(latency_ms, 0.5), 6) AS p50,
   round(quantile_cont(latency_ms, 0.95), 6) AS p95, round(quantile_cont(latency_ms, 0.99), 6) AS p99
 FROM log GROUP BY 1, 2""")
 oracle("latency_percentiles", "quantiles", "SELECT * FROM quantiles")
+oracle("latency_sketch_daily", "log", """
+SELECT processed_ms - processed_ms % 86400000 AS minute_ms, readingType, count(*) AS events, true AS within FROM log GROUP BY 1, 2""")
+oracle("distinct_sensors_range", "readings", """
+SELECT * FROM (WITH d AS (SELECT DISTINCT CAST(event_ts AS DATE) AS day, readingType, sensorId FROM readings),
+k AS (SELECT DISTINCT day, readingType FROM d)
+SELECT CAST(k.day AS VARCHAR) AS day, k.readingType, count(DISTINCT d.sensorId) FILTER (WHERE d.day = k.day) AS sensors,
+  count(DISTINCT d.sensorId) AS sensors_in_range,
+  count(DISTINCT d.sensorId) FILTER (WHERE d.day = k.day - 1
+    AND NOT EXISTS (SELECT 1 FROM d t WHERE t.day = k.day AND t.readingType = k.readingType AND t.sensorId = d.sensorId)) AS silent_since_yesterday
+FROM k JOIN d ON d.readingType = k.readingType AND d.day BETWEEN k.day - 6 AND k.day GROUP BY k.day, k.readingType)""")
 oracle("latency_worst_case", "quantiles", """
 SELECT minute_ms, max(p50) AS p50, max(p95) AS p95, max(p99) AS p99 FROM quantiles GROUP BY 1""")
 oracle("failure_counters", "checked writes kept", """
