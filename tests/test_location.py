@@ -1,6 +1,7 @@
 """The registry and the enrichment with location."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -111,3 +112,49 @@ def test_concave_polygon(spark):
     def hit(x, y):
         return frame.select(location.inside(F.col("p"), F.lit(x), F.lit(y))).first()[0]
     assert hit(1.0, 5.0) and hit(9.0, 5.0) and not hit(5.0, 5.0) and not hit(11.0, 5.0)
+
+
+def _floor(zones):
+    schema = "plantId string, buildingId string, floorId string, units string, zones array<struct<zoneId: string, name: string, zoneType: string, polygon: array<struct<x: double, y: double>>>>"
+    return schema, [("p", "b", f, "m", z) for f, z in zones]
+
+
+def test_grid_cells_against_all_polygons(spark):
+    """Polygons of very different sizes, concave and crossing ones, points on corners and edges; floors that come twice."""
+    rnd = random.Random(12)
+    zones = []
+    for i in range(150):
+        cx, cy, r = rnd.uniform(-50, 50), rnd.uniform(-50, 50), 10 ** rnd.uniform(-2, 1.7)
+        points = [(round(cx + rnd.uniform(-r, r), 1), round(cy + rnd.uniform(-r, r), 1)) for _ in range(rnd.randint(3, 7))]
+        zones.append((f"z{i:03d}", "n", "t", points))
+    schema, rows = _floor([("1", zones), ("2", zones[:3]), ("2", zones[:3]), ("3", [("flat", "n", "t", [(1.0, 1.0), (2.0, 1.0), (3.0, 1.0)]), ("none", "n", "t", [])])])
+    floors = spark.createDataFrame(rows, schema)
+    corners = [p for z in zones[:40] for p in z[3]]
+    spots = [(rnd.uniform(-60, 60), rnd.uniform(-60, 60)) for _ in range(400)] + corners + [(None, 1.0), (2.0, 1.0)]
+    assets = [(f"a{k % 400}", "p", "b", rnd.choice("1123"), "z", (x, y)) for k, (x, y) in enumerate(spots)]
+    frame = spark.createDataFrame(assets, "assetId string, plantId string, buildingId string, floorId string, zoneId string, location struct<x: double, y: double>")
+
+    def holds(points, x, y):
+        odd = False
+        for (ax, ay), (bx, by) in zip(points, points[1:] + points[:1], strict=True):
+            if (ay > y) != (by > y) and x < ax + (y - ay) * (bx - ax) / (by - ay):
+                odd = not odd
+        return odd
+
+    own = {"1": zones, "2": zones[:3], "3": []}
+    want = []
+    for name, _, _, floor, _, (x, y) in assets:
+        hits = [z[0] for z in own[floor] if x is not None and holds(z[3], x, y)]
+        want.append((name, x, y, min(hits, default=None)))
+    got = [(r.assetId, r.x, r.y, r.found_zone) for r in location.zone_by_position(frame, floors).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+
+
+def test_many_zones_on_one_floor(spark):
+    """100,000 zones of one floor: a point meets the few polygons of its cells."""
+    zones = spark.range(100_000).selectExpr(
+        "'p' AS plantId", "'b' AS buildingId", "'1' AS floorId", "concat('z', id) AS zoneId", "double(id % 400) AS x", "double(id DIV 400) AS y"
+    ).selectExpr("plantId", "buildingId", "floorId", "zoneId", "array(struct(x, y), struct(x + 1 AS x, y), struct(x + 1 AS x, y + 1 AS y), struct(x, y + 1 AS y)) AS polygon")
+    assets = spark.range(2000).selectExpr("string(id) AS assetId", "'p' AS plantId", "'b' AS buildingId", "'1' AS floorId", "'' AS zoneId", "struct(id % 400 + 0.25 AS x, id % 250 + 0.75 AS y) AS location")
+    found = location.zone_by_cell(assets, location.zone_cells(zones))
+    assert found.where("found_zone = concat('z', int(floor(x) + 400 * floor(y)))").count() == 2000
