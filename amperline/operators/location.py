@@ -74,6 +74,22 @@ def enrich(events: DataFrame, mappings: DataFrame, assets: DataFrame) -> DataFra
     )
 
 
+def enriched_events(breaches: DataFrame, mappings: DataFrame, assets: DataFrame) -> DataFrame:
+    """Classified breaches in the form of enriched events: one row each, named by their case key.
+
+    ``threshold`` is the bound that was broken; ``locationContext`` is null unless the place is known.
+    """
+    placed = enrich(breaches, mappings, assets)
+    return placed.select(
+        F.col("case_pk").alias("eventId"),
+        "sensorId", "assetId", "assetName", "severity",
+        F.col("readingType").alias("metricName"),
+        F.col("value").alias("metricValue"),
+        F.coalesce("broken_min", "broken_max").alias("threshold"),
+        "timestamp", "locationContext", "enrichmentStatus",
+    )
+
+
 def orphan_sensors(assets: DataFrame, mappings: DataFrame) -> DataFrame:
     """Sensors an asset claims that have no mapping."""
     claimed = assets.select(F.explode("sensorIds").alias("sensorId"), "assetId")

@@ -847,6 +847,12 @@ def enrich_location(spark, folder):
     )
 
 
+@query
+def enriched_events(spark, folder):
+    found = location.enriched_events(samples.breaches(spark, folder), _mappings(spark, folder), _assets(spark, folder))
+    return found.withColumn("zoneId", F.col("locationContext.zoneId")).drop("locationContext")
+
+
 @query
 def asset_zone(spark, folder):
     found = location.asset_zones(_assets(spark, folder), _floors(spark, folder))

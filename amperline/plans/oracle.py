@@ -762,6 +762,13 @@ SELECT b.e, b.sensorId, coalesce(m.assetId, '') AS assetId, coalesce(a.displayNa
     WHEN a.x IS NULL THEN 'location_missing' ELSE 'enriched' END AS enrichmentStatus,
   CASE WHEN a.x IS NOT NULL THEN a.zoneId END AS zoneId, a.x, a.y
 FROM breaches b LEFT JOIN mappings m ON m.sensorId = b.sensorId LEFT JOIN assets a ON a.assetId = m.assetId""")
+oracle("enriched_events", "breaches mappings assets", """
+SELECT b.case_pk AS eventId, b.sensorId, coalesce(m.assetId, '') AS assetId, coalesce(a.displayName, '') AS assetName,
+  b.severity, b.readingType AS metricName, b.value AS metricValue, coalesce(b.broken_min, b.broken_max) AS threshold, b.timestamp,
+  CASE WHEN m.assetId IS NULL THEN 'sensor_unmapped' WHEN a.assetId IS NULL THEN 'asset_missing'
+    WHEN a.x IS NULL THEN 'location_missing' ELSE 'enriched' END AS enrichmentStatus,
+  CASE WHEN a.x IS NOT NULL THEN a.zoneId END AS zoneId
+FROM breaches b LEFT JOIN mappings m ON m.sensorId = b.sensorId LEFT JOIN assets a ON a.assetId = m.assetId""")
 oracle("asset_zone", "assets zones", """
 SELECT assetId, a.zoneId, CASE WHEN z IS NOT NULL THEN 'Line ' || z END AS zone_name,
   CASE WHEN z IS NOT NULL THEN 'production' END AS zone_type
