@@ -9,11 +9,11 @@ the square root of the plain number.  For a similarity of 0.75 a pair meets in s
 Copies collapse first: documents with equal sets are one node.  A half-key that only one node has can't meet anything, so
 most nodes of a clean corpus never get a table key.  In each bucket of ``HALVES`` of the
 tables all nodes are compared with its smallest node and not with one another.  Buckets of any table that still hold several
-components then compare those nodes with the smallest one of another component, and with the components at both ends.  In what is
-still mixed after that, all pairs of nodes of different components are tried, large buckets in squares of ``SQUARE`` by
-``SQUARE`` nodes.  There a bitmap of each set bounds how many shingles two sets can share, so that pairs which can't be
-similar go without their sets.  Every other candidate pair is confirmed on the full sets, and components come from
-confirmed links only.  So two similar nodes that meet in any table are in one component.
+components then compare those nodes with the smallest one of another component, and with the components at both ends.  What is
+still mixed after that is searched in squares of at most about ``SQUARE`` by ``SQUARE`` nodes and ``CELLS`` shingles a side.  There
+bitmaps name the nodes that can have a similar one in another component, an exact prefix filter on their sets finds the
+pairs to compare, and a square gives out the links that join two components: fewer rows than it reads.  All links
+are confirmed on the full sets.  So two similar nodes that meet in any table are in one component.
 
 Null and empty texts have no shingles and are linked with nothing.  Rows that repeat a doc_id with the same text share
 its fate; different texts under one doc_id are told apart by their sets.  A null doc_id never names a component
@@ -29,15 +29,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amperline.llm.bytetext import mix
+from amperline.llm.bytetext import mix, ranges
 from amperline.llm.components import components
 from amperline.llm.shingles import set_names, sets_of
-from amperline.llm.store import release, written
+from amperline.llm.store import written
 
 HALVES = 12
 ROWS = 2
 PERCENT = 75
 SQUARE = 4096
+CELLS = 4_000_000
 SKETCH_BITS = 1024
 
 _SEEDS = np.random.Generator(np.random.PCG64(8)).integers(1, 1 << 63, 2 * HALVES * ROWS, dtype=np.uint64) | np.uint64(1)
@@ -158,36 +159,8 @@ def _sketches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes.astype(np.int64)), pa.array([p.tobytes() for p in packed], pa.binary())], ["node", "size", "sketch"])
 
 
-def _able(nodes: np.ndarray, labels: np.ndarray, sizes: np.ndarray, sketches: np.ndarray, others: Iterable[int]) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of each first node, one for each of ``others``, and one from there on of another component, if sizes and bitmaps allow a link."""
-    one, two = [], []
-    for i, first in enumerate(others):
-        j = first + np.flatnonzero(labels[first:] != labels[i])
-        j = j[100 * np.minimum(sizes[j], sizes[i]) >= PERCENT * np.maximum(sizes[j], sizes[i])]
-        if not len(j):
-            continue
-        # A cell that only one set has holds a shingle that the other lacks.
-        common = np.minimum(
-            sizes[i] - np.bitwise_count(sketches[i] & ~sketches[j]).sum(axis=1, dtype=np.int64), sizes[j] - np.bitwise_count(sketches[j] & ~sketches[i]).sum(axis=1, dtype=np.int64)
-        )
-        j = j[100 * common >= PERCENT * (sizes[i] + sizes[j] - common)]
-        one.append(np.full(len(j), nodes[i]))
-        two.append(nodes[j])
-    return np.concatenate([*one, np.zeros(0, np.int64)]), np.concatenate([*two, np.zeros(0, np.int64)])
-
-
-def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The pairs to confirm of each square; rows come sorted by (key, low, high), those of one side before those of the other."""
-
-    def pairs(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-        rows = pa.Table.from_batches(parts).combine_chunks()
-        low, high, side, nodes, labels, sizes = (rows.column(k).to_numpy() for k in range(1, 7))
-        sketches = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint64).reshape(len(nodes), -1)
-        count = int((side == low).sum())
-        others = range(1, count + 1) if low[0] == high[0] else [count] * count
-        one, two = _able(nodes, labels, sizes, sketches, others)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(one, two)), pa.array(np.maximum(one, two))], ["a", "b"])
-
+def _squares(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each square; they come sorted by (key, low, high), those of one side before those of the other."""
     waiting: list[pa.RecordBatch] = []
     name: tuple | None = None
     for batch in batches:
@@ -198,16 +171,130 @@ def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 continue
             if tuple(keys[a]) != name:
                 if waiting:
-                    yield pairs(waiting)
+                    yield pa.Table.from_batches(waiting).combine_chunks()
                 waiting, name = [], tuple(keys[a])
             waiting.append(batch.slice(a, b - a))
     if waiting:
-        yield pairs(waiting)
+        yield pa.Table.from_batches(waiting).combine_chunks()
+
+
+def _partners(rows: pa.Table) -> list[int]:
+    """For each node of the first side the place from which on its partners stand."""
+    low, high, side = (rows.column(k).to_numpy() for k in range(1, 4))
+    count = int((side == low).sum())
+    return list(range(1, count + 1)) if low[0] == high[0] else [count] * count
+
+
+def _able(i: int, first: int, labels: np.ndarray, sizes: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """The nodes from ``first`` on that are of another component than node ``i``, if sizes and bitmaps allow a link."""
+    j = first + np.flatnonzero(labels[first:] != labels[i])
+    j = j[100 * np.minimum(sizes[j], sizes[i]) >= PERCENT * np.maximum(sizes[j], sizes[i])]
+    # A cell that only one set has holds a shingle that the other lacks.
+    common = np.minimum(
+        sizes[i] - np.bitwise_count(sketches[i] & ~sketches[j]).sum(axis=1, dtype=np.int64), sizes[j] - np.bitwise_count(sketches[j] & ~sketches[i]).sum(axis=1, dtype=np.int64)
+    )
+    return j[100 * common >= PERCENT * (sizes[i] + sizes[j] - common)]
+
+
+def _hopeful(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The nodes of each square that have a partner with which sizes and bitmaps allow a link."""
+    for rows in _squares(batches):
+        labels, sizes = (rows.column(k).to_numpy() for k in (5, 6))
+        sketches = np.frombuffer(b"".join(rows.column(7).to_pylist()), np.uint64).reshape(len(labels), -1)
+        hopeful = np.zeros(len(labels), bool)
+        for i, first in enumerate(_partners(rows)):
+            j = _able(i, first, labels, sizes, sketches)
+            hopeful[j] = True
+            hopeful[i] |= len(j) > 0
+        yield from rows.filter(pa.array(hopeful)).select([0, 4, 5, 6]).to_batches()
+
+
+def _joining(rows: pa.Table) -> tuple[list[int], list[int]]:
+    """Confirmed links of a square that join two components, at most one less than its nodes.
+
+    In an order of shingles from rare to frequent, two similar sets share one of the first ``|s| - ceil(0.75 |s|) + 1`` of
+    each; only partners found in this way are compared, on their full sets.
+    """
+    nodes, comp = rows.column(4).to_numpy(), rows.column(5).to_numpy().copy()
+    lists = rows.column(7).combine_chunks()
+    ends = lists.offsets.to_numpy()
+    start, sizes = (ends[:-1] - ends[0]).astype(np.int64), np.diff(ends).astype(np.int64)
+    _, codes, counts = np.unique(lists.values.to_numpy()[ends[0] : ends[-1]], return_inverse=True, return_counts=True)
+    rank = np.empty(len(counts), np.int64)
+    rank[np.argsort(counts, kind="stable")] = np.arange(len(counts))
+    owner = np.repeat(np.arange(len(nodes)), sizes)
+    codes = rank[codes]
+    codes = codes[np.lexsort((codes, owner))]
+    counts = np.sort(counts)
+    head = sizes - -(-PERCENT * sizes // 100) + 1
+    rare = np.flatnonzero((np.arange(len(codes)) - start[owner] < head[owner]) & (counts[codes] > 1))
+    own = np.searchsorted(owner[rare], np.arange(len(nodes) + 1))
+    by_code = rare[np.argsort(codes[rare], kind="stable")]
+    holders, first = owner[by_code], np.searchsorted(codes[by_code], np.arange(len(counts) + 1))
+    mark = np.zeros(len(counts), bool)
+    one, two = [], []
+    for i, partner in enumerate(_partners(rows)):
+        mine = codes[rare[own[i] : own[i + 1]]]
+        found = np.unique(holders[ranges(first[mine], first[mine + 1] - first[mine])])
+        found = found[(found >= partner) & (comp[found] != comp[i])]
+        found = found[100 * np.minimum(sizes[found], sizes[i]) >= PERCENT * np.maximum(sizes[found], sizes[i])]
+        if not len(found):
+            continue
+        mark[codes[start[i] : start[i] + sizes[i]]] = True
+        # Partners in groups of bounded total size; those that a link has joined meanwhile go.
+        groups = np.cumsum(sizes[found]) // CELLS
+        for group in np.split(found, np.flatnonzero(np.diff(groups)) + 1):
+            j = group[comp[group] != comp[i]]
+            if not len(j):
+                continue
+            common = np.add.reduceat(mark[codes[ranges(start[j], sizes[j])]], np.cumsum(sizes[j]) - sizes[j], dtype=np.int64)
+            for k in j[100 * common >= PERCENT * (sizes[i] + sizes[j] - common)].tolist():
+                if comp[k] != comp[i]:
+                    comp[comp == comp[k]] = comp[i]
+                    one.append(nodes[i])
+                    two.append(nodes[k])
+        mark[codes[start[i] : start[i] + sizes[i]]] = False
+    return one, two
+
+
+def _across(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for rows in _squares(batches):
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in _joining(rows)], ["a", "b"])
+
+
+def _in_squares(members: DataFrame, sides: DataFrame) -> DataFrame:
+    """Each member of a bucket once for each side of it; ``sides`` names the number ``n`` of sides of each bucket."""
+    sided = members.join(sides, "key").withColumn("side", F.pmod(F.xxhash64("node"), "n"))
+    spread = sided.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    return spread.select("key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "node", "label")
+
+
+def _sorted_squares(rows: DataFrame) -> DataFrame:
+    return rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "side")
+
+
+def links_across(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components that share a bucket of ``members`` (key, node, label), enough of them to join what is similar.
+
+    Tables whose buckets hold the same nodes count once.  A first pass over bitmaps leaves the nodes that can have a partner,
+    so that only these bring their sets.
+    """
+    mixed = members.groupBy("key").agg(
+        F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("n"), F.sum(F.col("node").cast("decimal(20,0)")).alias("total"), F.bit_xor(F.xxhash64("node")).alias("name")
+    )
+    mixed = mixed.where("first < last AND n > 2").groupBy("n", "total", "name").agg(F.min("key").alias("key"))
+    sides = mixed.select("key", F.expr(f"(n + {SQUARE - 1}) DIV {SQUARE}").alias("n"))
+    sketches = written(sets.mapInArrow(_sketches, "node long, size long, sketch binary"), "near-sketches")
+    spread = _in_squares(members, sides).join(sketches, "node").select("key", "low", "high", "side", "node", "label", "size", "sketch")
+    hopeful = _sorted_squares(spread).mapInArrow(_hopeful, "key long, node long, label long, size long")
+    hopeful = written(hopeful.distinct(), "near-hopeful")
+    sides = hopeful.groupBy("key").agg(F.expr(f"greatest((count(*) + {SQUARE - 1}) DIV {SQUARE}, (sum(size) + {CELLS - 1}) DIV {CELLS})").alias("n"))
+    spread = _in_squares(hopeful, sides).join(sets, "node").select("key", "low", "high", "side", "node", "label", F.size("shingles").cast("long").alias("size"), "shingles")
+    return written(_sorted_squares(spread).mapInArrow(_across, "a long, b long").distinct(), "near-links")
 
 
 def grouped(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, text_hash, n_shingles, component_id, kept."""
-    spark = docs.sparkSession
     rows = written(signatures(docs), "near-signatures")
     nodes = written(
         rows.where("n_shingles > 0")
@@ -222,9 +309,7 @@ def grouped(docs: DataFrame) -> DataFrame:
     stars = written(_similar_sizes(stars, nodes), "near-pairs")
     busy = met.select("node").distinct().join(nodes, "node").select("at.doc", "at.text_hash")
     sets = written(full_sets(docs, busy), "near-sets")
-    release(spark)
     links = written(confirmed(stars, sets), "near-links")
-    release(spark)
     labels = components(links)
 
     # Buckets that still hold several components: compare their smallest node, and the components at both ends, with the rest.
@@ -240,19 +325,9 @@ def grouped(docs: DataFrame) -> DataFrame:
         links = links.union(found)
         labels = components(links)
 
-    # What is still mixed: all pairs of nodes of different components.
+    # What is still mixed: links between the components that are left.
     labelled = met.select("key", "node").join(labels, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
-    mixed = labelled.groupBy("key").agg(F.min("label").alias("first"), F.max("label").alias("last"), F.count("*").alias("n")).where("first < last AND n > 2")
-    squares = F.expr(f"(n + {SQUARE - 1}) DIV {SQUARE}")
-    sided = labelled.join(mixed.select("key", squares.alias("n")), "key").withColumn("side", F.pmod(F.xxhash64("node"), "n"))
-    spread = sided.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    sketches = written(sets.mapInArrow(_sketches, "node long, size long, sketch binary"), "near-sketches")
-    spread = spread.select("key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "node", "label").join(sketches, "node")
-    spread = spread.select("key", "low", "high", "side", "node", "label", "size", "sketch").repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "side")
-    rest = spread.mapInArrow(_across, "a long, b long").distinct()
-    rest = written(rest.join(stars.union(more), ["a", "b"], "left_anti"), "near-pairs")
-    release(spark)
-    found = written(confirmed(rest, sets), "near-links")
+    found = links_across(labelled, sets)
     if not found.isEmpty():
         labels = components(links.union(found))
 

@@ -67,7 +67,7 @@ def test_bitmaps_keep_every_similar_pair():
     (found,) = near_dedup._sketches([batch])
     nodes = found.column(0).to_numpy()
     bits = np.frombuffer(b"".join(found.column(2).to_pylist()), np.uint64).reshape(len(nodes), -1)
-    kept = set(zip(*(x.tolist() for x in near_dedup._able(nodes, nodes, found.column(1).to_numpy(), bits, range(1, len(nodes) + 1))), strict=True))
+    kept = {(i, j) for i in range(len(nodes)) for j in near_dedup._able(i, i + 1, nodes, found.column(1).to_numpy(), bits).tolist()}
     similar = set()
     for i in range(len(sets)):
         for j in range(i + 1, len(sets)):
@@ -75,3 +75,43 @@ def test_bitmaps_keep_every_similar_pair():
             if 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both):
                 similar.add((i, j))
     assert len(similar) > 50 and similar <= kept and len(kept) < len(sets) ** 2 // 4
+
+
+def test_joining_links_against_all_pairs(monkeypatch):
+    """One row of squares at a time: the links join what all pairs join, and are fewer than the nodes."""
+    rnd = np.random.default_rng(7)
+    base = [rnd.integers(0, 1 << 62, 120) for _ in range(12)]
+    sets = [np.unique(np.where(rnd.random(120) < rnd.choice([0.02, 0.1, 0.2]), rnd.integers(0, 1 << 62, 120), base[k % 12])) for k in range(200)]
+    sets += [np.unique(rnd.integers(0, 1 << 62, n)) for n in (1, 1, 2, 5000)] + [sets[3][:1], sets[3][:1]]
+    count = len(sets)
+
+    def joined(links):
+        comp = list(range(count))
+        for a, b in links:
+            comp = [comp[a] if c == comp[b] else c for c in comp]
+        return comp
+
+    def similar(i, j):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        return 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both)
+
+    def rows(low, high, sides, nodes):
+        lists = pa.array([sets[n] for n in nodes], pa.list_(pa.int64()))
+        column = lambda v: pa.array([v] * len(nodes), pa.int64())
+        names = ["key", "low", "high", "side", "node", "label", "size", "shingles"]
+        size = pa.array([len(sets[n]) for n in nodes], pa.int64())
+        return pa.RecordBatch.from_arrays([column(1), column(low), column(high), pa.array(sides), pa.array(nodes), pa.array(nodes), size, lists], names)
+
+    for cells in (near_dedup.CELLS, 300):
+        monkeypatch.setattr(near_dedup, "CELLS", cells)
+        for first in (range(count), range(count // 2)):
+            first = list(first)
+            second = [n for n in range(count) if n not in set(first)]
+            square = rows(0, int(bool(second)), [0] * len(first) + [1] * len(second), first + second)
+            (found,) = near_dedup._across([square.slice(0, 70), square.slice(70)])
+            links = list(zip(*(c.to_pylist() for c in found.columns), strict=True))
+            assert len(links) < count and all(similar(a, b) for a, b in links)
+            want = [(i, j) for i in first for j in second or first if i != j and similar(i, j)]
+            assert len(want) > 500
+            a, b = joined(links), joined(want)
+            assert len(set(a)) == len(set(b)) == len(set(zip(a, b, strict=True)))
