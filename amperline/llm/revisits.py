@@ -11,7 +11,12 @@ except those that describe the stored content or one connection (``KEPT``).
 
 Outcomes: ``resolved``, ``no_response`` (none before it), ``mismatch`` (validators disagree), ``no_validator`` (nothing to
 compare).  Records without url or time resolve to nothing.  Of responses at the same time the one with the larger
-record_id counts; a response at the revisit's own time is not earlier.  Repeated rows give repeated results.
+record_id counts, of those with one time and id the one with the larger etag, modified, digest and headers; a response at
+the revisit's own time is not earlier.  A response without record_id is no answer; a revisit without one resolves like any
+other.  Repeated rows give repeated results.
+
+Header names have no case: they are compared and given out in lower case.  Values of one name in several spellings are joined
+by ", " in the order of the spellings; a null value is empty.
 """
 
 from __future__ import annotations
@@ -44,12 +49,10 @@ def _weak(tag: str) -> str:
     return f"regexp_replace({tag}, '^W/', '')"
 
 
-def resolve(records: DataFrame) -> DataFrame:
-    """Outcome of every revisit of ``records``: record_id, url, at (seconds), kind ('response' or 'revisit'), etag, modified, digest, headers.
-
-    Returns record_id, canonical_url, response_id, outcome, headers (merged, null if not resolved).
-    """
-    rows = records.select("record_id", canonical_url("url").alias("canonical_url"), "at", "kind", "etag", "modified", "digest", F.expr(f"at DIV {BLOCK_SECONDS}").alias("block"))
+def _judged(records: DataFrame) -> DataFrame:
+    """Per revisit its outcome, with the headers and url of its own and the id and time of the response."""
+    own = F.when(F.col("kind") == "revisit", F.struct("url", "headers")).alias("own")
+    rows = records.select("record_id", canonical_url("url").alias("canonical_url"), "at", "kind", "etag", "modified", "digest", own, F.expr(f"at DIV {BLOCK_SECONDS}").alias("block"))
     rows = written(rows, "captures")
     response = F.when((F.col("kind") == "response") & F.col("at").isNotNull() & F.col("record_id").isNotNull(), F.struct("at", "record_id", "etag", "modified", "digest"))
     # All responses of the same time count for none of that time: the frame ends before it.
@@ -68,29 +71,43 @@ def resolve(records: DataFrame) -> DataFrame:
         WHEN etag IS NOT NULL AND r.etag IS NOT NULL THEN IF({same_tag}, 'resolved', 'mismatch')
         WHEN modified IS NOT NULL AND r.modified IS NOT NULL THEN IF(modified = r.modified, 'resolved', 'mismatch')
         WHEN digest = r.digest THEN 'resolved' ELSE 'no_validator' END""")
-    judged = found.select("record_id", "canonical_url", F.expr("r.record_id AS response_id"), outcome.alias("outcome"))
-    return with_headers(judged, records)
+    return found.select("record_id", "canonical_url", "at", "own", F.expr("r.record_id AS response_id"), F.expr("r.at AS response_at"), outcome.alias("outcome"))
+
+
+def _one_case(entries: str) -> str:
+    """A map with lower-case names from sorted header entries."""
+    names = f"array_distinct(transform({entries}, e -> lower(e.key)))"
+    return f"map_from_arrays({names}, transform({names}, n -> array_join(transform(filter({entries}, e -> lower(e.key) = n), e -> coalesce(e.value, '')), ', ')))"
 
 
-def with_headers(judged: DataFrame, records: DataFrame) -> DataFrame:
-    """Merged headers of the resolved revisits; a response with very many revisits is split by the join's skew handling."""
-    headers = records.select("record_id", "kind", "headers")
-    own = headers.where("kind = 'revisit'").select("record_id", F.col("headers").alias("own"))
-    stored = headers.where("kind = 'response'").select(F.col("record_id").alias("response_id"), F.col("headers").alias("stored"))
+def _with_answer(judged: DataFrame, records: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
+    """The resolved revisits with merged ``headers`` and the response's columns ``extra``; a response with very many revisits is
+    split by the join's skew handling."""
+    sorted_entries = "array_sort(map_entries(coalesce({}, map())))".format
+    key = [canonical_url("url").alias("canonical_url"), F.col("record_id").alias("response_id"), F.col("at").alias("response_at")]
+    answer = F.struct("etag", "modified", "digest", F.expr(sorted_entries("headers")).alias("stored"), *extra)
+    stored = records.where("kind = 'response'").select(*key, answer.alias("answer")).groupBy("canonical_url", "response_id", "response_at").agg(F.max("answer").alias("answer"))
+    done = judged.where("outcome = 'resolved'").join(stored, ["canonical_url", "response_id", "response_at"])
+    done = done.withColumn("stored", F.expr(_one_case("answer.stored"))).withColumn("update", F.expr(_one_case(sorted_entries("own.headers"))))
     names = ", ".join(f"'{n}'" for n in KEPT)
-    update = f"map_filter(coalesce(own, map()), (k, v) -> NOT array_contains(array({names}), k))"
-    merged = F.expr(f"map_concat(map_filter(coalesce(stored, map()), (k, v) -> NOT map_contains_key({update}, k)), {update})")
-    done = judged.where("outcome = 'resolved'").join(own.dropDuplicates(["record_id"]), "record_id").join(stored.dropDuplicates(["response_id"]), "response_id")
+    done = done.withColumn("update", F.expr(f"map_filter(update, (k, v) -> NOT array_contains(array({names}), k))"))
+    return done.withColumn("headers", F.expr("map_concat(map_filter(stored, (k, v) -> NOT map_contains_key(update, k)), update)"))
+
+
+def resolve(records: DataFrame) -> DataFrame:
+    """Outcome of every revisit of ``records``: record_id, url, at (seconds), kind ('response' or 'revisit'), etag, modified, digest, headers.
+
+    Returns record_id, canonical_url, response_id, outcome, headers (merged, null if not resolved).
+    """
+    judged = _judged(records)
+    columns = ["record_id", "canonical_url", "response_id", "outcome", "headers"]
     rest = judged.where("outcome <> 'resolved'").withColumn("headers", F.lit(None).cast("map<string,string>"))
-    return done.select("record_id", "canonical_url", "response_id", "outcome", merged.alias("headers")).unionByName(rest)
+    return _with_answer(judged, records).select(columns).unionByName(rest.select(columns))
 
 
 def resolved_records(records: DataFrame) -> DataFrame:
     """The revisits that resolve as full records: own id, url and time, merged headers, and the response's ``payload``."""
-    found = resolve(records.drop("payload")).where("outcome = 'resolved'").select("record_id", "response_id", F.col("headers").alias("merged"))
-    payload = records.where("kind = 'response'").select(F.col("record_id").alias("response_id"), "payload")
-    revisit = records.where("kind = 'revisit'").select("record_id", "url", "at")
-    return revisit.join(found, "record_id").join(payload, "response_id").select("record_id", "response_id", "url", "at", F.col("merged").alias("headers"), "payload")
+    return _with_answer(_judged(records), records, ("payload",)).select("record_id", "response_id", "own.url", "at", "headers", "answer.payload")
 
 
 def captures(pages: DataFrame) -> DataFrame:
@@ -101,7 +118,7 @@ def captures(pages: DataFrame) -> DataFrame:
     tag = "concat('\"', md5(coalesce(html, '')), '\"')"
     headers = """map('content-type', 'text/html', 'content-length', CAST(octet_length(coalesce(html, '')) AS STRING), 'cache-control', 'max-age=60',
         'etag', {tag}, 'last-modified', CAST({at} - 86400 AS STRING), 'date', CAST({at} AS STRING))""".format(tag=tag, at=at)
-    again = "map('content-length', '0', 'connection', 'close', 'cache-control', 'max-age=120', 'date', CAST({when} AS STRING))".format
+    again = "map('Content-Length', '0', 'Connection', 'close', 'Cache-Control', 'max-age=120', 'date', CAST({when} AS STRING))".format
     kinds = [
         ("0", "TRUE", at, "url", "response", tag, f"CAST({at} - 86400 AS STRING)", "md5(coalesce(html, ''))", headers),
         ("1", "page_id % 2 = 0", f"{at} + 60", "concat(url, '#again')", "revisit", f"concat('W/', {tag})", "NULL", "NULL", again(when=f"{at} + 60")),

@@ -45,3 +45,31 @@ def test_full_records(spark):
 
 def test_empty_table(spark):
     assert revisits.resolve(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_header_names_have_no_case(spark):
+    stored = {"Content-Length": "9", "Cache-Control": "a", "ETag": "1", "Vary": "x", "vary": "y"}
+    update = {"content-length": "0", "CONNECTION": "close", "cache-control": "b", "etag": None}
+    records = [row(1, "u", 5, "response", '"1"', headers=stored), row(2, "u", 6, "revisit", '"1"', headers=update)]
+    (found,) = revisits.resolve(spark.createDataFrame(records, SCHEMA)).collect()
+    assert found.headers == {"content-length": "9", "cache-control": "b", "etag": "", "vary": "x, y"}
+
+
+def test_null_ids_and_repeated_responses(spark):
+    records = [
+        row(1, "u", 5, "response", '"1"', headers={"a": "1"}, payload="p"),
+        row(1, "u", 5, "response", '"1"', headers={"a": "2"}, payload="q"),  # the larger headers count
+        row(1, "v", 7, "response", '"1"', headers={"a": "3"}, payload="r"),  # another url under the same id
+        row(None, "u", 6, "response", '"1"', headers={"a": "4"}),  # no answer
+        row(None, "u", 8, "revisit", '"1"', headers={"b": "1"}),
+        row(None, "u", 9, "revisit", '"1"', headers={"b": "2"}),
+        row(None, "v", 9, "revisit", '"2"'),
+    ]
+    df = spark.createDataFrame(records, SCHEMA)
+    found = sorted((r.canonical_url, r.response_id, r.outcome, str(r.headers)) for r in revisits.resolve(df).collect())
+    assert found == [
+        ("u", 1, "resolved", "{'a': '2', 'b': '1'}"),
+        ("u", 1, "resolved", "{'a': '2', 'b': '2'}"),
+        ("v", 1, "mismatch", "None"),
+    ]
+    assert sorted((r.at, r.url, r.payload) for r in revisits.resolved_records(df).collect()) == [(8, "u", "q"), (9, "u", "q")]
