@@ -95,8 +95,9 @@ def segments(positions: list[int], scores: list[float], drift: float = DRIFT) ->
     """All maximal scoring segments (first, last + 1, score) of a sequence in which ``positions`` score
     ``scores - drift`` and all others ``-drift``; linear in the number of positions.
     """
-    # Each candidate: its ends and the running totals before and after it.
-    stack: list[tuple[int, int, float, float]] = []
+    # Each candidate: its ends, the running totals before and after it, and the nearest candidate that starts lower.
+    done: list[tuple[int, int, float]] = []
+    stack: list[tuple[int, int, float, float, int]] = []
     total, at = 0.0, 0
     for position, score in zip(positions, scores, strict=True):
         total -= drift * (position - at)
@@ -104,17 +105,21 @@ def segments(positions: list[int], scores: list[float], drift: float = DRIFT) ->
         total, at = right, position + 1
         if right <= left:
             continue
-        while stack:
-            # Nearest candidate that starts lower; those between can't be joined to the new one.
-            below = len(stack) - 1
+        below = len(stack) - 1
+        while True:
             while below >= 0 and stack[below][2] >= left:
-                below -= 1
+                below = stack[below][4]
             if below < 0 or stack[below][3] >= right:
                 break
-            first, left = stack[below][0], stack[below][2]
+            first, left, lower = stack[below][0], stack[below][2], stack[below][4]
             del stack[below:]
-        stack.append((first, position + 1, left, right))
-    return [(a, b, right - left) for a, b, left, right in stack]
+            below = lower
+        if below < 0:
+            # Nothing before can be joined to this candidate or to a later one.
+            done += [(a, b, high - low) for a, b, low, high, _ in stack]
+            stack.clear()
+        stack.append((first, position + 1, left, right, below))
+    return done + [(a, b, high - low) for a, b, low, high, _ in stack]
 
 
 def _scan(batches: Iterable[pa.RecordBatch], table) -> Iterator[pa.RecordBatch]:  # noqa: ANN001 - a broadcast value

@@ -65,3 +65,12 @@ def test_one_label_or_none(spark):
         rows = toxicity.scored(frame(spark, docs), spark.createDataFrame(labels, "doc_id long, toxic int"), held()).collect()
         assert len(rows) == 20 and all(r.score == 0 and r.predicted == 0 for r in rows)
     assert toxicity.scored(frame(spark, docs).limit(0), spark.createDataFrame([(1, 1)], "doc_id long, toxic int"), held()).count() == 0
+
+
+def test_segments_are_linear_in_isolated_hits():
+    """A text of tens of MB: single hits far apart, and hits that rise so slowly that none joins another."""
+    count = 300_000
+    far = toxicity.segments(list(range(0, 100 * count, 100)), [2.0] * count, 0.1)
+    assert len(far) == count and far[0] == (0, 1, 1.9) and far[-1][0] == 100 * (count - 1)
+    near = toxicity.segments(list(range(0, 20 * count, 20)), [2.1] * count, 0.1)
+    assert near[0][0] == 0 and near[-1][1] == 20 * (count - 1) + 1
