@@ -128,8 +128,10 @@ def scored(docs: DataFrame, labels: DataFrame, held_out: F.Column, column: str =
     spark = docs.sparkSession
     known = labels.where(F.col("doc_id").isNotNull() & F.col(column).isNotNull() & ~held_out)
     known = known.groupBy("doc_id").agg(F.max(F.col(column)).cast("int").alias("label"))
-    chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("text", "label", F.xxhash64("doc_id", "text").alias("at"))
+    # One of repeated rows, and only labels that have a document, so that the bound holds for rows and is used by documents.
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    chosen = known.join(texts.select("doc_id", "text_hash").distinct(), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id", "text_hash").limit(SAMPLE)
+    rows = texts.join(chosen, ["doc_id", "text_hash"]).dropDuplicates(["doc_id", "text_hash"]).select("text", "label", F.xxhash64("doc_id", "text").alias("at"))
     sample = rows.mapInArrow(_counted, "label int, at long, cells array<int>, counts array<int>").toArrow().combine_chunks()
     sample = sample.sort_by("at")
     lists = [[x.values.to_numpy() for x in sample.column(c)] for c in ("cells", "counts")]

@@ -51,3 +51,16 @@ def test_features_don_t_cross_texts():
         alone = list(classifier._features(*flat(pa.array([text], pa.string()))))
         for (cells, bounds), (own, _) in zip(together, alone, strict=True):
             assert np.array_equal(cells[bounds[row] : bounds[row + 1]], own)
+
+
+def test_sample_bounds_rows(spark, monkeypatch):
+    """Repeated rows and labels without a document neither fill the sample nor grow it."""
+    docs = [(i, f"text number {i}") for i in range(60)] + [(3, "text number 3")] * 2000 + [(3, "another text")]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(600)], "doc_id long, quality int")
+    sizes = []
+    plain = classifier.train
+    monkeypatch.setattr(classifier, "train", lambda cells, counts, marks: sizes.append(len(marks)) or plain(cells, counts, marks))
+    for bound, want in ((4000, 41), (25, 25)):
+        monkeypatch.setattr(classifier, "SAMPLE", bound)
+        assert classifier.scored(frame(spark, docs), labels, held()).count() == len(docs)
+        assert sizes.pop() == want
