@@ -37,6 +37,7 @@ from amperline.session import shared_folder, stored, tune
 from amperline.sources import registry, samples, stores, telemetry
 from amperline.streaming import acks as stream_acks
 from amperline.streaming import ingest as stream_ingest_jobs
+from amperline.streaming import cases as stream_cases_jobs
 from amperline.streaming import jobs
 from amperline.streaming import metrics as stream_metrics
 
@@ -756,6 +757,18 @@ def retry_audit(spark, folder):
     return cases.retry_audit(_outcomes(spark, folder))
 
 
+@query
+def stream_cases(spark, folder):
+    """Case rows folded from micro-batches of the log."""
+    found = _breaches(spark, folder)
+    root = shared_folder(spark, "cases")
+    log = stream_cases_jobs.case_log(_outcomes(spark, folder, found), samples.acks(found))
+    log.repartition(12, F.xxhash64("attempt_ms", "ack_ms")).write.parquet(f"{root}/log")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 4).parquet(f"{root}/log")
+    stream_cases_jobs.run_cases(stream, f"{root}/cases", buckets=16)
+    return stream_cases_jobs.current_cases(spark, f"{root}/cases")
+
+
 # --- workflow --------------------------------------------------------------
 
 

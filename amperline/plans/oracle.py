@@ -722,6 +722,10 @@ SELECT case_pk, channel, arg_max(kind, attempt_no) FILTER (WHERE kind <> 'skippe
   max(attempt_ms) FILTER (WHERE coalesce(skip_reason, '') <> 'narrative_missing') AS updated_ms
 FROM final GROUP BY 1, 2 HAVING count(*) FILTER (WHERE kind <> 'skipped') > 0""")
 oracle("case_channels", "channels", "SELECT * FROM channels")
+oracle("stream_cases", "metadata channels", """
+SELECT case_pk, '__metadata__' AS "row", severity AS state, NULL AS case_id, NULL AS external_url, NULL AS error,
+  created_ms, updated_ms, resolved_ms FROM metadata
+UNION ALL SELECT case_pk, channel, status, case_id, external_url, error, created_ms, updated_ms, NULL FROM channels""")
 oracle("case_lookup", "breaches metadata channels", """
 SELECT k.case_pk, k."row", coalesce(m.severity, c.status) AS state,
   coalesce(m.created_ms, c.created_ms) AS created_ms, coalesce(m.updated_ms, c.updated_ms) AS updated_ms
