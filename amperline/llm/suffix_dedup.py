@@ -4,14 +4,18 @@ Suffix arrays find the repeats, but one suffix array of a corpus can't be spread
 what can repeat, and brought together so that equal strings meet.
 
 1. Every ``LENGTH``-byte string has an anchor: of its ``ANCHOR``-byte substrings the one with the smallest hash.  Equal
-   strings have equal anchors at the same place.  Neighbouring strings share anchors; a *run* is a maximal series of
-   strings with one anchor, about 30 of them.  Runs whose anchor occurs once in the corpus can't repeat and go.
+   strings have equal anchors at the same distance from their start.  Strings of near distances also share the bytes
+   around the anchor that each of them must hold: with distances ``low`` to ``high``, the ``low`` bytes before the anchor and
+   as many after it as the string at distance ``high`` holds.  A *run* is a maximal series of neighbouring strings with one
+   anchor and distances in one half of all possible ones; those bytes are its *key*.  Strings that are equal lie in runs of
+   equal keys, so runs whose key occurs once in the corpus go.
 2. Runs with the same text become one *context* with its earliest place, by a minimum that is combined before the shuffle: a
    passage in a third of all documents is one row per task.  Later copies of a run are removed as a whole.
-3. Contexts that share an anchor with another context are put together in blocks of bounded size.  The suffix order of a
-   block (``suffix_order``, linear grouping construction) brings equal strings next to each other; all but the earliest
-   are removed there too.  An anchor with more contexts than a block holds is spread over blocks, and the strings
-   that its blocks found are matched by their digests.
+3. The contexts of a key form a block.  Its suffix order (``suffix_order``, linear grouping construction) brings equal
+   strings next to each other; all but the earliest are removed.
+4. Contexts of a key that has more than ``BLOCK`` of them are halved again, by distance, and steps 2 and 3 are done on the
+   halves with their longer keys.  A half gives one row for each of its contexts at most, what has become equal collapses, and
+   after six halvings a key is a whole string; no block is larger than ``BLOCK``, and no string is listed for itself before.
 
 Texts are UTF-8 bytes; null texts are empty.  Rows are in order of doc_id, null after all others, and places in a text; rows
 with the same doc_id and text are one place and keep the same bytes, and different texts under one doc_id are
@@ -23,7 +27,7 @@ from __future__ import annotations
 import hashlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -31,13 +35,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from amperline.llm.bytetext import CHUNK_BYTES, chunks, flat, mix, powers, prefix, range_hashes, ranges, spans
-from amperline.llm.store import release, written
+from amperline.llm.store import written
 from amperline.llm.suffix_order import suffix_order
 
 LENGTH = 100
 ANCHOR = 32
 BLOCK = 128
-REACH = (LENGTH - ANCHOR + 1) // 2
+FAR = LENGTH - ANCHOR
+HALF = (FAR + 1) // 2  # distances of the anchor are 0 .. HALF - 1 or HALF .. FAR
 
 # A place is packed as start and number of strings (7 bits).  Places are in order of doc_id, place and mark.
 _LAST_ID = (1 << 63) - 1
@@ -48,10 +53,10 @@ def _anchor_hashes(sums: np.ndarray) -> np.ndarray:
     return mix((sums[ANCHOR:] - sums[:-ANCHOR]) * powers(len(sums), "down")[: max(len(sums) - ANCHOR, 0)])
 
 
-def _runs_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Starts, numbers of strings, anchor hashes and text hashes of all runs."""
+def _runs_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    """Starts, numbers of strings, keys, text hashes and first distances to the anchor of all runs."""
     low = np.uint64((1 << 28) - 1)
-    width = LENGTH - ANCHOR + 1
+    width = FAR + 1
     for first in range(0, max(len(data) - LENGTH + 1, 0), CHUNK_BYTES):
         part = data[first : first + CHUNK_BYTES + LENGTH - 1]
         count = len(part) - LENGTH + 1
@@ -66,8 +71,11 @@ def _runs_of(data: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[np.ndarray
         inside = np.ones(count, bool)
         for edge in offsets[(offsets > first) & (offsets < first + len(part))] - first:
             inside[max(0, edge - LENGTH + 1) : edge] = False
-        starts, ends = spans(inside, np.flatnonzero(np.diff(anchors)) + 1)
-        yield starts + first, ends - starts, hashes[anchors[starts]], range_hashes(sums, starts, ends + LENGTH - 1)
+        far = anchors - np.arange(count) >= HALF
+        starts, ends = spans(inside, np.flatnonzero((np.diff(anchors) != 0) | (far[1:] != far[:-1])) + 1)
+        anchor, is_far = anchors[starts], far[starts]
+        keys = range_hashes(sums, np.where(is_far, anchor - HALF, anchor), np.where(is_far, anchor + ANCHOR, anchor + LENGTH - HALF + 1))
+        yield starts + first, ends - starts, keys, range_hashes(sums, starts, ends + LENGTH - 1), anchor - starts
 
 
 def _runs(batches: Iterable[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
@@ -75,189 +83,182 @@ def _runs(batches: Iterable[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordB
         data, offsets = flat(batch.column(2))
         ids = batch.column(0).to_numpy(zero_copy_only=False)
         marks = batch.column(1).to_numpy(zero_copy_only=False)
-        for starts, sizes, anchors, texts in _runs_of(data, offsets):
-            key = pa.array(anchors.view(np.int64))
+        for starts, sizes, keys, texts, at in _runs_of(data, offsets):
+            key = pa.array(keys.view(np.int64))
             if not whole:
-                yield pa.RecordBatch.from_arrays([key], ["anchor"])
+                yield pa.RecordBatch.from_arrays([key], ["key"])
                 continue
             row = np.searchsorted(offsets, starts, "right") - 1
             place = (starts - offsets[row]) << 7 | sizes
-            yield pa.RecordBatch.from_arrays([key, pa.array(texts.view(np.int64)), *(pa.array(x) for x in (ids[row], place, marks[row]))], ["anchor", "context", "id", "place", "mark"])
+            yield pa.RecordBatch.from_arrays([key, *(pa.array(x) for x in (texts.view(np.int64), ids[row], place, marks[row], at))], ["key", "context", "id", "place", "mark", "at"])
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.coalesce("doc_id", F.lit(_LAST_ID)).alias("id"), F.xxhash64("text").alias("mark"), "text")
 
 
-ORDER = "struct(id, place, mark)"
-
-
 def _cut_contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The text of each asked context."""
     for batch in chunks(batches):
         data, offsets = flat(batch.column(2))
         asked = batch.column(3)
-        inner = asked.offsets.to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), np.diff(asked.offsets.to_numpy()))
         flat_asked = asked.flatten()
-        row = np.repeat(np.arange(batch.num_rows), np.diff(inner))
         place = flat_asked.field("place").to_numpy()
         starts = offsets[row] + (place >> 7)
         ends = starts + (place & 127) + LENGTH - 1
         raw = data.tobytes()
         texts = pa.array([raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)], pa.binary())
-        # Where the anchor stands in each context.
-        sizes = ends - starts - ANCHOR + 1
-        every = ranges(starts, sizes)
-        of = np.repeat(np.arange(len(starts)), sizes)
-        hashes = _anchor_hashes(prefix(data))
-        hits = np.flatnonzero(hashes[every] == flat_asked.field("anchor").to_numpy().view(np.uint64)[of])
-        which, first = np.unique(of[hits], return_index=True)
-        anchor_at = np.zeros(len(starts), np.int64)
-        anchor_at[which] = every[hits[first]] - starts[which]
         ids, marks = (batch.column(k).take(pa.array(row)) for k in (0, 1))
-        yield pa.RecordBatch.from_arrays(
-            [flat_asked.field("anchor"), flat_asked.field("salt"), flat_asked.field("split"), ids, flat_asked.field("place"), marks, pa.array(anchor_at), texts],
-            ["anchor", "salt", "split", "id", "place", "mark", "anchor_at", "bytes"],
-        )
+        yield pa.RecordBatch.from_arrays([*(flat_asked.field(k) for k in ("key", "n", "at", "place")), ids, marks, texts], ["key", "n", "at", "place", "id", "mark", "bytes"])
 
 
-def _can_repeat(contexts: dict[tuple[int, int, int], tuple[int, bytes]]) -> list[tuple[int, int, int, bytes]]:
-    """Contexts of one anchor that may share a string.
+Context = tuple[int, int, int, int, int, int, bytes]  # low, high, at, id, place, mark, bytes
 
-    A string holds its anchor and, on one side of it at least, ``REACH`` more bytes; so contexts that share a string
-    agree in ``REACH`` bytes before or after the anchor.
-    """
-    sides = [
-        (raw[at - REACH : at + ANCHOR] if at >= REACH else None, raw[at : at + ANCHOR + REACH] if len(raw) >= at + ANCHOR + REACH else None)
-        for at, raw in contexts.values()
-    ]
-    left, right = (Counter(s[k] for s in sides) for k in (0, 1))
-    return [
-        (*place, raw)
-        for (place, (_, raw)), (a, b) in zip(contexts.items(), sides, strict=True)
-        if (a is not None and left[a] > 1) or (b is not None and right[b] > 1)
-    ]
-
-
-def _block(contexts: list[tuple[int, int, int, bytes]], split: bool) -> Iterator[tuple[int, int, int, int | None, int | None]]:
-    """Strings of the contexts' earliest places that start earlier in the block: (id, place, mark, null, null).
-
-    For an anchor that has several blocks also the earliest place of each string, with its digest.
-    """
+
+def _can_repeat(contexts: Iterable[Context]) -> list[Context]:
+    """Contexts of one key that may share a string: a half of their distances has bytes in common with another one."""
+    cores = []
+    for low, high, at, _, place, _, raw in contexts:
+        middle = (low + high) // 2
+        # Distances go down from ``at``, one for each string.
+        cores.append([(a, raw[at - a : at - b + LENGTH]) for a, b in ((low, middle), (middle + 1, high)) if a <= at and b > at - (place & 127)])
+    seen = Counter(c for own in cores for c in own)
+    return [c for c, own in zip(contexts, cores, strict=True) if any(seen[x] > 1 for x in own)]
+
+
+def _block(contexts: list[Context]) -> Iterator[tuple[int, int, int]]:
+    """Strings of the contexts that start earlier in the block: (id, place, mark)."""
     text: list[int] = []
     owner: list[int] = []
     bounds = []
-    for at, (_, place, _, raw) in enumerate(contexts):
+    for k, (*_, place, _, raw) in enumerate(contexts):
         bounds.append(len(text))
         text += [b + 2 for b in raw]
         text.append(1)
-        owner += [at] * (place & 127) + [-1] * (len(raw) + 1 - (place & 127))
+        owner += [k] * (place & 127) + [-1] * (len(raw) + 1 - (place & 127))
     text.append(0)
     owner.append(-1)
     later: dict[int, list[int]] = {}
     alike: list[tuple[int, int, int, int, int]] = []
     before = b""
 
-    def closed() -> Iterator[tuple[int, int, int, int | None, int | None]]:
+    def close() -> None:
         first = min(alike)
-        for *_, at, offset in alike:
-            if (at, offset) != first[3:]:
-                later.setdefault(at, []).append(offset)
-        if split:
-            digest = hashlib.blake2b(before, digest_size=16).digest()
-            one, two = (int.from_bytes(digest[k : k + 8], "little", signed=True) for k in (0, 8))
-            yield first[0], first[1] << 7 | 1, first[2], one, two
+        for *_, k, offset in alike:
+            if (k, offset) != first[3:]:
+                later.setdefault(k, []).append(offset)
 
     for start in suffix_order(text):
-        at = owner[start]
-        if at < 0:
+        k = owner[start]
+        if k < 0:
             continue
-        doc, place, mark, raw = contexts[at]
-        offset = start - bounds[at]
+        *_, doc, place, mark, raw = contexts[k]
+        offset = start - bounds[k]
         string = raw[offset : offset + LENGTH]
         if string != before:
             if alike:
-                yield from closed()
+                close()
             before, alike = string, []
-        alike.append((doc, (place >> 7) + offset, mark, at, offset))
+        alike.append((doc, (place >> 7) + offset, mark, k, offset))
     if alike:
-        yield from closed()
-    for at, offsets in later.items():
+        close()
+    for k, offsets in later.items():
         offsets.sort()
-        doc, place, mark, _ = contexts[at]
+        *_, doc, place, mark, _ = contexts[k]
         run = offsets[0]
         for here, following in zip(offsets, [*offsets[1:], None], strict=True):
             if following != here + 1:
-                yield doc, (place & ~127) + (run << 7) + here - run + 1, mark, None, None
+                yield doc, (place & ~127) + (run << 7) + here - run + 1, mark
                 run = following
 
 
 def _blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks come sorted by (anchor, salt)."""
-    names = ["id", "place", "mark", "one", "two"]
-    key, split, contexts = None, False, {}
+    """Blocks come sorted by key."""
+    key, contexts, rows = None, {}, []
 
-    def pack(rows: list) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(5)], names)
+    def solved() -> Iterator[tuple[int, int, int]]:
+        whole = _can_repeat(contexts.values())
+        return _block(whole) if len(whole) > 1 else iter(())
 
-    def solved() -> Iterator[tuple]:
-        whole = [(*place, raw) for place, (_, raw) in contexts.items()] if split else _can_repeat(contexts)
-        return _block(whole, split) if len(whole) > 1 or split else iter(())
+    def pack() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64()) for i in range(3)], ["id", "place", "mark"])
 
-    rows: list = []
     for batch in batches:
-        for anchor, salt, is_split, doc, place, mark, at, raw in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if (anchor, salt) != key:
-                if contexts:
-                    rows += solved()
-                key, split, contexts = (anchor, salt), is_split, {}
-            contexts[doc, place, mark] = at, raw  # repeated rows give a place twice
+        for own, *context in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if own != key:
+                rows += solved()
+                key, contexts = own, {}
+            contexts[tuple(context[3:6])] = tuple(context)  # repeated rows give a place twice
         if len(rows) > 50_000:
-            yield pack(rows)
+            yield pack()
             rows = []
-    if contexts:
-        rows += solved()
+    rows += solved()
     if rows:
-        yield pack(rows)
+        yield pack()
+
+
+PLACE = ["id", "place", "mark"]
+
+
+def _halves(contexts: DataFrame) -> DataFrame:
+    """The strings of each context in two parts, by their distances, with the keys of these parts."""
+    middle = "CAST((low + high) DIV 2 AS INT)"
+    sides = f"inline(array(named_struct('from', low, 'to', {middle}), named_struct('from', {middle} + 1, 'to', high)))"
+    parts = contexts.selectExpr("key", "at", *PLACE, "bytes", sides)
+    parts = parts.selectExpr("*", "greatest(0, at - to) AS skip", "least((place & 127) - 1, at - `from`) AS last").where("skip <= last")
+    parts = parts.selectExpr("*", f"substring(bytes, skip + 1, CAST(last - skip AS INT) + {LENGTH}) AS text", f"substring(bytes, at - `from` + 1, {LENGTH} - to + `from`) AS core")
+    return parts.selectExpr(
+        "xxhash64(key, `from`, core) AS key", "xxhash64(text) AS context", "at - skip AS at", "`from` AS low", "to AS high",
+        "id", "(shiftright(place, 7) + skip) * 128 + last - skip + 1 AS place", "mark", "text AS bytes",
+    )
+
+
+def _firsts(parts: DataFrame, *more: str) -> DataFrame:
+    """The earliest place of each text of a key."""
+    return written(parts.groupBy("key", "context").agg(F.min(F.struct(*PLACE, *more)).alias("first")).select("key", "first.*"), "repeat-firsts")
+
+
+def _several(firsts: DataFrame) -> DataFrame:
+    return firsts.groupBy("key").agg(F.count("*").cast("int").alias("n")).where("n > 1")
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(id, mark, part): a place and its kind, kind 0 for runs that occur elsewhere, 1 for those that are the first of their text, 2 for repeats."""
-    spark = docs.sparkSession
+    """(id, mark, part): a place, the number of halvings it comes from (3 bits) and its kind (2 bits).
+
+    Kind 0 are runs or parts of them that occur elsewhere, 1 those that are the first of their text, 2 repeats.  A part may be
+    the whole of its run and repeat a part of a longer one, so kinds 0 and 1 belong together within one halving only.
+    """
     keyed = _keyed(docs)
-    shared = keyed.mapInArrow(partial(_runs, whole=False), "anchor long").groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    # Stored, so that both sides of the join come from plain shuffles and Spark can split hot anchors.
-    shared = written(shared, "repeat-anchors")
-    runs = keyed.mapInArrow(partial(_runs, whole=True), "anchor long, context long, id long, place long, mark long")
-    found = written(runs.join(shared, "anchor"), "repeat-runs")
-    release(spark)
-    firsts = written(found.groupBy("anchor", "context").agg(F.min(F.expr(ORDER)).alias("at")).select("anchor", "context", "at.*"), "repeat-firsts")
-    several = written(firsts.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1"), "repeat-anchors")
-    asked = firsts.join(several, "anchor").select(
-        "id",
-        "mark",
-        F.struct("anchor", F.expr(f"CAST(pmod(context, (n + {BLOCK - 1}) DIV {BLOCK}) AS INT)").alias("salt"), F.expr(f"n > {BLOCK}").alias("split"), "place").alias("a"),
-    )
-    asked = asked.groupBy("id", "mark").agg(F.collect_list("a").alias("asked"))
-    once = keyed.join(asked, ["id", "mark"]).select("id", "mark", "text", "asked")
-    contexts = once.mapInArrow(_cut_contexts, "anchor long, salt int, split boolean, id long, place long, mark long, anchor_at long, bytes binary")
-    blocks = contexts.repartition("anchor", "salt").sortWithinPartitions("anchor", "salt")
-    judged = written(blocks.mapInArrow(_blocks, "id long, place long, mark long, one long, two long"), "repeat-blocks")
-    release(spark)
-    strings = judged.where("one IS NOT NULL").select("one", "two", "id", "place", "mark")
-    earliest = written(strings.groupBy("one", "two").agg(F.min(F.expr(ORDER)).alias("at")), "repeat-strings")
-    release(spark)
-    across = strings.join(earliest, ["one", "two"]).where(f"{ORDER} > at").select("id", "place", "mark")
-    place = ["id", "place", "mark"]
-    kinds = [found.select(place), firsts.select(place), judged.where("one IS NULL").select(place).union(across)]
-    every = [k.select("id", "mark", F.expr(f"shiftleft(place, 2) | {i}").alias("part")) for i, k in enumerate(kinds)]
-    return every[0].union(every[1]).union(every[2])
+    shared = keyed.mapInArrow(partial(_runs, whole=False), "key long").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    # Stored, so that both sides of the join come from plain shuffles and Spark can split hot keys.
+    shared = written(shared, "repeat-keys")
+    runs = keyed.mapInArrow(partial(_runs, whole=True), "key long, context long, id long, place long, mark long, at long")
+    found = written(runs.join(shared, "key"), "repeat-runs")
+    firsts = _firsts(found, "at")
+    asked = firsts.join(written(_several(firsts), "repeat-keys"), "key").groupBy("id", "mark")
+    asked = asked.agg(F.collect_list(F.struct("key", "n", F.col("at").cast("int").alias("at"), "place")).alias("asked"))
+    contexts = keyed.join(asked, PLACE[::2]).select("id", "mark", "text", "asked").mapInArrow(_cut_contexts, "key long, n int, at int, place long, id long, mark long, bytes binary")
+    far = f"at >= {HALF}"
+    contexts = written(contexts.selectExpr("*", f"IF({far}, {HALF}, 0) AS low", f"IF({far}, {FAR}, {HALF - 1}) AS high"), "repeat-contexts")
+
+    kinds, blocks = [(found, 0), (firsts, 1)], [contexts.where(f"n <= {BLOCK}")]
+    while not (crowded := contexts.where(f"n > {BLOCK}")).isEmpty():
+        halves = written(_halves(crowded), "repeat-halves")
+        firsts = _firsts(halves, "at", "low", "high", "bytes")
+        contexts = written(firsts.join(written(_several(firsts), "repeat-keys"), "key"), "repeat-contexts")
+        kinds += [(halves, len(blocks) * 4), (firsts, len(blocks) * 4 + 1)]
+        blocks.append(contexts.where(f"n <= {BLOCK}"))
+    columns = ["key", "low", "high", "at", *PLACE, "bytes"]
+    block = reduce(DataFrame.union, [b.select(columns) for b in blocks]).repartition("key").sortWithinPartitions("key")
+    kinds.append((written(block.mapInArrow(_blocks, "id long, place long, mark long"), "repeat-blocks"), 2))
+    return reduce(DataFrame.union, [k.select("id", "mark", F.expr(f"shiftleft(place, 5) | {code}").alias("part")) for k, code in kinds])
 
 
 def _covered(size: int, parts: np.ndarray) -> np.ndarray:
     """Which bytes of a text are removed."""
     kind, run = parts & 3, parts >> 2
-    gone = np.concatenate([np.setdiff1d(run[kind == 0], run[kind == 1]), run[kind == 2]])
+    gone = np.concatenate([np.setdiff1d(run[kind == 0], run[kind == 1]), run[kind == 2]]) >> 3
     steps = np.zeros(size + 1, np.int64)
     starts = gone >> 7
     np.add.at(steps, starts, 1)

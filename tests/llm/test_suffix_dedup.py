@@ -1,6 +1,7 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -34,6 +35,50 @@ def test_one_anchor_in_many_contexts(spark):
     assert sorted((r.doc_id, r.n_removed, r.n_spans) for r in rows) == sorted((i, *want[i, t][1:3]) for i, t in docs)
 
 
+def test_crowded_keys_are_halved_to_single_strings(spark):
+    """More than a block of different contexts agree in 99 bytes around an anchor: only halving down to strings tells them apart."""
+    rnd = random.Random(5)
+    line = "".join(rnd.choice("abcdefghij ") for _ in range(99))
+    docs = [(i, chr(200 + i) + line + chr(900 + i // 3) + "-" * (i % 5)) for i in range(400)]
+    docs += [(1000 + i, chr(200 + i % 7) * 40 + line[:90] + chr(1200 + i)) for i in range(300)]
+    want = small.removal(docs)
+    rows = suffix_dedup.removal(small.frame(spark, docs)).collect()
+    assert sorted((r.doc_id, r.n_removed, r.n_spans, r.kept_sha256) for r in rows) == sorted((i, *want[i, t][1:4]) for i, t in docs)
+    assert sum(r.n_removed > 0 for r in rows) > 400
+
+
+def test_a_text_over_a_chunk(spark, monkeypatch):
+    """Runs at the edges of chunks, of windows of the text and of texts."""
+    from amperline.llm import bytetext
+
+    for size in (257, 1000, 4099):
+        monkeypatch.setattr(suffix_dedup, "CHUNK_BYTES", size)
+        for seed in (1, 2):
+            rnd = random.Random(seed)
+            text = "".join(rnd.choice("abc é") for _ in range(3000))
+            data = bytetext.flat(pa.array([text[:700], text, "", text[500:900], "x"]))
+            got = sorted((int(s), int(n), int(a)) for starts, sizes, *_, at in suffix_dedup._runs_of(*data) for s, n, a in zip(starts, sizes, at, strict=True))
+            raw, edges = data[0].tobytes(), data[1].tolist()
+            strings = [k for a, b in zip(edges, edges[1:], strict=False) for k in range(a, b - 99)]
+            assert [k for s, n, _ in got for k in range(s, s + n)] == strings
+            anchor = {}
+            for s, n, a in got:
+                assert (a >= suffix_dedup.HALF) == (a - n + 1 >= suffix_dedup.HALF)
+                for k in range(s, s + n):
+                    assert anchor.setdefault(raw[k : k + 100], s + a - k) == s + a - k
+
+
+def test_a_long_text_with_repeats(spark):
+    """5 MB of text, in which passages return beyond the edge of a chunk."""
+    rnd = random.Random(8)
+    words = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(2, 9))) for _ in range(5000)]
+    text = " ".join(rnd.choice(words) for _ in range(750_000))
+    passage = text[1_000_000:1_000_400]
+    docs = [(1, text), (2, "<" + passage + ">"), (3, text[suffix_dedup.CHUNK_BYTES - 300 : suffix_dedup.CHUNK_BYTES + 300])]
+    rows = {r.doc_id: r for r in suffix_dedup.removal(small.frame(spark, docs)).collect()}
+    assert (rows[1].n_removed, rows[2].n_removed, rows[2].n_spans, rows[3].n_removed) == (0, 400, 1, 600)
+
+
 def test_cut_repeats(spark):
     docs = small.corpus(9)
     df = small.frame(spark, docs)
