@@ -1,7 +1,7 @@
 """Mergeable sketches: latency quantiles by KLL, distinct sensors by theta sketches.
 
 Sketches of short periods are stored once and merged for longer ones; the rows they were made from are not read again.
-They stand next to the exact forms in ``metrics`` and ``reads``.
+They stand next to the exact forms in ``metrics`` and ``reads``; that of distinct sensors is here, from each day's sensors.
 """
 
 from __future__ import annotations
@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from amperline.operators.metrics import PERCENTILES, percentile_name
 
@@ -80,3 +81,32 @@ def distinct_sensors(sketches: DataFrame, days: int = 7) -> DataFrame:
     silent = F.coalesce(F.theta_sketch_estimate(F.theta_difference("previous", "sketch")), F.lit(0))
     joined = own.join(ranged, ["day", "readingType"]).join(before, ["day", "readingType"], "left")
     return joined.select("day", "readingType", "sensors", "sensors_in_range", silent.cast("bigint").alias("silent_since_yesterday"))
+
+
+def sensor_days(readings: DataFrame) -> DataFrame:
+    """``day, readingType, sensorId``, each once: the exact counterpart of ``sensor_sketches``; days of it add up by union."""
+    return readings.select(F.to_date("event_ts").alias("day"), "readingType", "sensorId").distinct()
+
+
+def exact_distinct_sensors(held: DataFrame, days: int = 7) -> DataFrame:
+    """The columns of ``distinct_sensors``, exact for any number of sensors.
+
+    A sensor counts from a day on until it is seen again or the range is over, so it counts once in each range.  These
+    stretches are counted by first day and length, at most ``days`` rows per day and type; only these are spread over days.
+    """
+    longest = max(days, 2)
+    later = Window.partitionBy("readingType", "sensorId").orderBy("day")
+    until_next = F.least(F.datediff(F.lead("day").over(later), "day"), F.lit(longest))
+    # A day of readings without a sensor is a row too, of none.
+    stretches = (
+        held.where("day IS NOT NULL AND readingType IS NOT NULL")
+        .withColumn("length", F.coalesce(until_next, F.lit(longest)))
+        .groupBy("day", "readingType", "length").agg(F.count("sensorId").alias("n"))
+    )
+    spread = stretches.withColumn("shift", F.explode(F.sequence(F.lit(0), F.col("length") - 1)))
+    per_day = spread.groupBy(F.date_add("day", F.col("shift")).alias("day"), "readingType").agg(
+        F.sum(F.when(F.col("shift") == 0, F.col("n"))).alias("sensors"),
+        F.sum(F.when(F.col("shift") < days, F.col("n"))).alias("sensors_in_range"),
+        F.coalesce(F.sum(F.when(F.col("shift") == 1, F.col("n"))), F.lit(0)).cast("bigint").alias("silent_since_yesterday"),
+    )
+    return per_day.where("sensors IS NOT NULL")

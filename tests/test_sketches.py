@@ -5,6 +5,7 @@ import random
 from pyspark.sql import functions as F
 
 from amperline.operators import alarms, metrics, sketches
+from amperline.plans.catalog import QUERIES
 
 
 def log(spark, size=40_000):
@@ -49,3 +50,34 @@ def test_distinct_sensors_and_silent_ones(spark):
     assert near(got["1970-01-03", "voltage"].sensors, 15_000) and near(got["1970-01-03", "voltage"].sensors_in_range, 20_000)
     assert near(got["1970-01-03", "voltage"].silent_since_yesterday, 5_000)
     assert tuple(got["1970-01-02", "current"][2:]) == (1, 2, 1)
+
+
+def test_query_is_exact_beyond_the_sketch_size(spark, folder):
+    """The registered query on 6,000 sensors a day: its own columns against plain sets."""
+    events = spark.range(18_000).selectExpr(
+        "id AS event_id", "cast(timestamp_seconds(1704067200 + id DIV 6000 * 86400) AS timestamp_ntz) AS ts",
+        "id % 6000 + id DIV 6000 * 500 AS user_id", "'click' AS event_type", "1D AS value", "'{}' AS props",
+    )
+    events.write.parquet(f"{folder}/events.parquet")
+    got = QUERIES["distinct_sensors_range"](spark, folder).collect()
+    assert sorted(map(tuple, got)) == [(f"2024-01-0{i + 1}", "voltage", 6_000, 6_000 + 500 * i, 500 if i else 0) for i in range(3)]
+
+
+def test_exact_sensors_beyond_the_sketch_size(spark):
+    """More sensors a day than a sketch has entries, gaps of all lengths, readings without sensor, type or time."""
+    seen = {(day, kind, s) for day in range(12) for kind, size in (("voltage", 5_000), ("current", 40)) for s in range(size) if (s * 7 + day * day) % (2 + s % 11) == 0}
+    seen |= {(day, "voltage", s) for day in (0, 9) for s in range(9_000)}
+    seen = {(day, kind, s) for day, kind, s in seen if (day, kind) != (5, "current")}
+    parts = spark.createDataFrame(sorted(seen), "day int, readingType string, s int").selectExpr("timestamp_seconds(day * 86400L + s) AS event_ts", "readingType", "concat('s', s) AS sensorId")
+    odd = spark.sql("SELECT * FROM VALUES (timestamp_seconds(20 * 86400), 'voltage', NULL), (timestamp_seconds(5 * 86400), NULL, 's1'), (NULL, 'voltage', 's1') AS t(event_ts, readingType, sensorId)")
+    held = sketches.sensor_days(parts.union(parts).union(odd))
+    of = lambda day, kind: {s for d, k, s in seen if (d, k) == (day, kind)}
+    for days in (1, 7):
+        want = [(20, "voltage", 0, 0, 0)]
+        for day, kind in sorted({(d, k) for d, k, _ in seen}):
+            ranged = set().union(*[of(d, kind) for d in range(day - days + 1, day + 1)])
+            want.append((day, kind, len(of(day, kind)), len(ranged), len(of(day - 1, kind) - of(day, kind))))
+        got = sketches.exact_distinct_sensors(held, days).selectExpr("datediff(day, DATE'1970-01-01')", "readingType", "sensors", "sensors_in_range", "silent_since_yesterday")
+        assert sorted(map(tuple, got.collect())) == sorted(want)
+        assert max(w[2] for w in want) == 9_000 > 1 << sketches.DISTINCT_LOG_SIZE
+    assert sketches.exact_distinct_sensors(held).columns == sketches.distinct_sensors(sketches.sensor_sketches(parts)).columns
