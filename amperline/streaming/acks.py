@@ -7,6 +7,7 @@ heartbeat row on both sides.
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,6 +21,8 @@ from amperline.operators.workflow import WAIT_MS
 HEARTBEAT = "heartbeat"
 MARKS = "case_pk string, at_ms bigint"
 OUTCOMES = "case_pk string, notified_ms bigint, ack_ms bigint, escalated boolean"
+# Cases are dealt into so many buckets of timers; a checkpoint keeps to its number.
+BUCKETS = 1024
 
 
 def beat(spark: SparkSession, folder: str, at: str | None = None) -> None:
@@ -144,11 +147,90 @@ class AckTimer(StatefulProcessor):
         pass
 
 
-def ack_timer(alerts: DataFrame, acks: DataFrame, heartbeat: DataFrame) -> DataFrame:
-    """The same outcome from an event-time timer per case, for long waits.
+class BucketAckTimer(StatefulProcessor):
+    """``AckTimer`` for a bucket of cases: one call and one read of state serve all its cases, not one each.
 
-    Rows are spread by case key.  The interval join is the usual form; this one is for waits too long to keep
-    joined rows in state.
+    Marks are appended as they come, one state entry per batch.  A timer at the bucket's earliest due time goes through
+    them and writes back what still waits.  An alert is the first one of its case in the list; marks behind a closed
+    mark are redelivered ones.
+    """
+
+    wait_ms = AckTimer.wait_ms
+    closed_ms = AckTimer.closed_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.marks = handle.getListState("marks", "kind array<string>, case_pk array<string>, at_ms array<bigint>")
+        self.due = handle.getValueState("due", "at_ms bigint")
+
+    def _wake(self, at: int) -> None:
+        if not self.due.exists() or at < int(self.due.get()[0]):
+            self.due.update((at,))
+            self.handle.registerTimer(at)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        alerts, acks = {}, set()
+        for frame in rows:
+            frame = frame[frame["at_ms"].notna() & (frame["case_pk"] != HEARTBEAT)]
+            for kind, case, at in zip(frame["kind"], frame["case_pk"], frame["at_ms"].astype("int64").tolist()):
+                if kind == "ack":
+                    acks.add((case, at))
+                else:
+                    alerts[case] = min(at, alerts.get(case, at))
+        marks = [("alert", *mark) for mark in alerts.items()] + [("ack", *mark) for mark in acks]
+        if marks:
+            self.marks.appendValue(tuple(map(list, zip(*marks))))
+            self._wake(min(at for _, _, at in marks) + self.wait_ms)
+        yield from ()
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        if not self.due.exists() or expiredTimerInfo.getExpiryTimeInMs() < int(self.due.get()[0]):
+            return  # all that was due then has been seen to
+        now = timerValues.getCurrentWatermarkInMs()
+        closed, alerts, acks = {}, {}, defaultdict(set)
+        for entry in self.marks.get():
+            for kind, case, at in zip(*entry):
+                if kind == "closed":
+                    closed[case] = at
+                elif case in closed:
+                    continue
+                elif kind == "alert":
+                    alerts.setdefault(case, at)
+                else:
+                    acks[case].add(at)
+        closed = {case: at for case, at in closed.items() if at + self.closed_ms > now}
+        over = {case: at for case, at in alerts.items() if at + self.wait_ms <= now}
+        found = [(case, at, min((t for t in acks.pop(case, ()) if at <= t <= at + self.wait_ms), default=None)) for case, at in over.items()]
+        closed |= {case: at + self.wait_ms for case, at in over.items() if at + self.wait_ms + self.closed_ms > now}
+        left = [("closed", *mark) for mark in closed.items()] + [("alert", *mark) for mark in alerts.items() if mark[0] not in over]
+        left += [("ack", case, at) for case, times in acks.items() for at in times if case in alerts or at + self.wait_ms > now]
+        self.due.clear()
+        self.marks.clear()
+        if left:
+            self.marks.appendValue(tuple(map(list, zip(*left))))
+            # Acknowledgements of a waiting alert go with it.
+            self._wake(min(at + (self.closed_ms if kind == "closed" else self.wait_ms) for kind, case, at in left if kind != "ack" or case not in alerts))
+        if found:
+            cases, starts, first = zip(*found)
+            yield pd.DataFrame(
+                {
+                    "case_pk": cases,
+                    "notified_ms": starts,
+                    "ack_ms": pd.array(first, dtype="Int64"),
+                    "escalated": [at is None for at in first],
+                }
+            )
+
+    def close(self) -> None:
+        pass
+
+
+def ack_timer(alerts: DataFrame, acks: DataFrame, heartbeat: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """The same outcome from event-time timers, for long waits.
+
+    Rows are spread by buckets of case keys; with ``buckets=0`` every case has a key and timers of its own, which costs
+    milliseconds a case.  The interval join is the usual form; this one is for waits too long to keep joined rows in
+    state.
     """
     rows = (
         alerts.withColumn("kind", F.lit("alert"))
@@ -157,8 +239,10 @@ def ack_timer(alerts: DataFrame, acks: DataFrame, heartbeat: DataFrame) -> DataF
         .withColumn("at_ts", F.timestamp_millis("at_ms"))
         .withWatermark("at_ts", "10 minutes")
     )
-    return rows.groupBy("case_pk").transformWithStateInPandas(
-        statefulProcessor=AckTimer(),
+    if buckets:
+        rows = rows.withColumn("bucket", F.pmod(F.xxhash64("case_pk"), F.lit(buckets)))
+    return rows.groupBy("bucket" if buckets else "case_pk").transformWithStateInPandas(
+        statefulProcessor=BucketAckTimer() if buckets else AckTimer(),
         outputStructType=OUTCOMES,
         outputMode="append",
         timeMode="EventTime",

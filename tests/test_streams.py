@@ -225,6 +225,76 @@ def test_timer_does_not_depend_on_batches():
     assert not timer.alert.exists()
 
 
+class Run:
+    """A timer class over batches of marks, as a stream hands them on: rows by key, then the timers that are due."""
+
+    def __init__(self, make, key_of):
+        self.make, self.key_of, self.keys, self.calls = make, key_of, {}, 0
+
+    def _of(self, key):
+        if key not in self.keys:
+            timer, handle = self.make(), Handle()
+            timer.init(handle)
+            self.keys[key] = timer, handle
+            for state in vars(timer).values():
+                for name in ("exists", "get", "update", "put", "appendValue", "clear"):
+                    if isinstance(state, Handle.State):
+                        setattr(state, name, lambda *a, f=getattr(state, name): self._count(f, *a))
+        return self.keys[key]
+
+    def _count(self, call, *args):
+        self.calls += 1
+        return call(*args)
+
+    def batch(self, marks, watermark):
+        import pandas as pd
+
+        out, values = [], type("V", (), {"getCurrentWatermarkInMs": lambda self: watermark})()
+        for key in {self.key_of(case) for _, case, _ in marks}:
+            rows = [m for m in marks if self.key_of(m[1]) == key]
+            frames = (pd.DataFrame(rows[i : i + 7], columns=["kind", "case_pk", "at_ms"]) for i in range(0, len(rows), 7))
+            assert not list(self._of(key)[0].handleInputRows((key,), frames, values))
+        for key, (timer, handle) in self.keys.items():
+            while handle.timers and min(handle.timers) < watermark:
+                at = min(handle.timers)
+                for found in timer.handleExpiredTimer((key,), values, type("T", (), {"getExpiryTimeInMs": lambda self, at=at: at})()):
+                    out += [(r.case_pk, int(r.notified_ms), None if r.escalated else int(r.ack_ms)) for r in found.itertuples()]
+                handle.timers.remove(at)
+        return sorted(out, key=str)
+
+    def empty(self):
+        return not any(s.rows for timer, _ in self.keys.values() for s in vars(timer).values() if isinstance(s, Handle.State))
+
+
+def test_buckets_agree_with_a_timer_per_case():
+    """Late and early acknowledgements, alerts that come again before and after their wait, cases without a key: batch by batch the same."""
+    import random
+
+    wait, closed = acks.WAIT_MS, acks.AckTimer.closed_ms
+    for seed in range(20):
+        rnd, now, escalated = random.Random(seed), 0, 0
+        single, many = Run(acks.AckTimer, lambda case: case), Run(acks.BucketAckTimer, lambda case: 0 if case is None else int(case[1:]) % 3)
+        for step in range(60):
+            marks = []
+            for _ in range(rnd.randrange(12)):
+                case = None if rnd.random() < 0.05 else f"c{rnd.randrange(20)}"
+                marks.append((rnd.choice(("alert", "ack", "ack")), case, now + rnd.randrange(1, 3 * wait)))
+            now += rnd.choice((0, wait // 3, wait, closed))
+            want = single.batch(marks, now)
+            assert many.batch(marks, now) == want, (seed, step)
+            escalated += len(want)
+        assert single.batch([], now + 2 * closed + 10 * wait) == many.batch([], now + 2 * closed + 10 * wait)
+        assert escalated > 20 and single.empty() and many.empty()
+
+
+def test_state_calls_do_not_grow_with_the_cases():
+    marks = [(kind, f"c{i}", 1000 + i) for i in range(5_000) for kind in ("alert", "ack")] + [("alert", acks.HEARTBEAT, 10**15), ("ack", "c0", float("nan"))]
+    run = Run(acks.BucketAckTimer, lambda case: 0)
+    assert run.batch(marks, 0) == []
+    assert len(run.batch([], 10**12)) == 5_000 and run.empty()
+    assert run.calls <= 20
+
+
 OUTCOME = "case_pk string, channel string, kind string, skip_reason string, case_id string, external_url string, error string, attempt_no int, attempt_ms long, severity string"
 
 
