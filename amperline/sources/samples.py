@@ -49,9 +49,12 @@ def source_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EVENT_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
-def spread(scan: DataFrame, key: str) -> DataFrame:
-    """Deal source rows out evenly before heavy parsing: one narrow shuffle, whatever the files are like."""
-    return scan.repartition(key)
+def spread(scan: DataFrame, key: str, tasks: int | None = None) -> DataFrame:
+    """Deal source rows out evenly before heavy parsing: one narrow shuffle, whatever the files are like.
+
+    Small narrow rows are put together into few tasks again, unless the number of ``tasks`` is given.
+    """
+    return scan.repartition(tasks, key) if tasks else scan.repartition(key)
 
 
 def event_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -112,6 +112,10 @@ class IngestTarget:
     def staging(self) -> str:
         return f"{self.root}/staging"
 
+    @property
+    def fresh(self) -> str:
+        return f"{self.root}/fresh"
+
     @property
     def counts(self) -> str:
         return f"{self.root}/counts"
@@ -158,7 +162,11 @@ def store_batch(target: IngestTarget, as_of_ms: Clock = None):
         ok = F.size("errors") == 0
         quarantined = rows.where(~ok).select("shard_id", "sequence_number", "topic", "payload", "errors", "arrival_ms")
         write_batch(quarantined, target.quarantine, batch_id)
-        fresh = new_sequences(rows.where(ok), ledger, batch_id)
+        # What ledger and readings are made from is told from copies once, without the columns that are not stored.
+        needed = [c for c in rows.columns if c in readings._fields]
+        found = new_sequences(rows.where(ok).select(*needed, "payload"), ledger, batch_id)
+        found.write.mode("overwrite").parquet(target.fresh)
+        fresh = spark.read.schema(found.schema).parquet(target.fresh)
         write_ledger(fresh, ledger, batch_id)
         new = with_keys(unstored(with_event_date(fresh), keys, batch_id))
         readings.put(new, batch_id)

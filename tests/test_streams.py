@@ -79,6 +79,20 @@ def test_compaction_keeps_rows(spark, folder):
     assert kept(spark, target.readings) == before
 
 
+def test_one_file_is_parsed_by_many_tasks_and_told_from_copies_once(spark, folder):
+    """A source of one row group: no task parses more than its share, and ledger and readings come from one stored result."""
+    from amperline.plans import catalog
+
+    target = streaming.IngestTarget(f"{folder}/out")
+    streaming.run_ingest(catalog._parsed_stream(spark, FOLDER), target)
+    parsed = [r["count"] for r in spark.read.parquet(target.staging).groupBy(F.input_file_name()).count().collect()]
+    assert len(parsed) == int(spark.conf.get("spark.sql.shuffle.partitions")) and max(parsed) < 2 * sum(parsed) / len(parsed)
+    run = ingest(samples.raw_telemetry(spark, FOLDER))
+    fresh = spark.read.parquet(target.fresh)
+    assert fresh.count() == run.writes.count() == target.ledger_table.all_rows(spark).count()
+    assert "payload" not in fresh.columns and kept(spark, target.readings) == kept_of(run.kept)
+
+
 def test_archive_holds_all_records(spark, folder):
     target = streaming.IngestTarget(f"{folder}/out")
     for _ in raw_files(spark, f"{folder}/in", 2):
