@@ -70,7 +70,7 @@ def in_time_range(df: DataFrame, start: str | None = None, end: str | None = Non
     return df
 
 
-def archive_parts(df: DataFrame, arrival: str = "arrival_ts") -> DataFrame:
+def archive_parts(df: DataFrame, arrival: str | Column = "arrival_ts") -> DataFrame:
     return df.select(
         "*",
         F.date_format(arrival, "yyyy").alias("year"),

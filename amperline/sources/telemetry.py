@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amperline.functions import matches
@@ -62,6 +62,11 @@ def read_kafka(
     ))
 
 
+def topic_sensor(topic: Column) -> Column:
+    """The sensor a telemetry topic names, null for any other topic."""
+    return F.when(matches(topic, TELEMETRY_TOPIC), F.split_part(topic, F.lit("/"), F.lit(2)))
+
+
 def route(df: DataFrame) -> DataFrame:
     """Keep telemetry topics; the topic's sensor is the partition key.
 

@@ -1,7 +1,8 @@
-"""Ingest as one stream: validate, drop redeliveries, store first writes, quarantine."""
+"""Ingest as one stream: archive, validate, drop redeliveries, store first writes, quarantine, count metrics."""
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
@@ -10,10 +11,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amperline.operators.dedup import LEDGER_HOURS, MAX_ATTEMPTS, NATURAL_KEY, SEQUENCE_KEY, drop_redelivered, first_writes, is_exhausted
-from amperline.operators.validation import validate
+from amperline.operators.validation import FIELDS, validate
 from amperline.sources.stores import ARCHIVE_ROWS_PER_FILE, archive_parts, first_live_day, with_event_date, with_keys
 from amperline.sources.tables import DayTable
-from amperline.sources.telemetry import route
+from amperline.sources.telemetry import topic_sensor
+from amperline.streaming import metrics
 from amperline.streaming.jobs import read_or_empty, run_to_end, write_batch
 
 # Columns of the stored tables, without the day and the batch.
@@ -25,6 +27,10 @@ KEYS = "sensorId string, timestamp string, readingType string, event_ts timestam
 LEDGER = "shard_id string, sequence_number string, arrival_ms bigint"
 COUNTS = "records bigint, quarantined bigint, redelivered bigint, duplicates bigint, kept bigint"
 HOUR_MS = 3_600_000
+# The sensor of a telemetry topic, and what else a checked record has besides its raw columns.
+ROUTED = "routed_sensor"
+CHECKED = (*FIELDS, "event_ts", "errors", ROUTED)
+ARCHIVE_DAY = ("year", "month", "day")
 # A day of more partitions than this is put together, and so often the job looks for such days.
 LOOSE_BATCHES = 32
 FOLD_EVERY = 32
@@ -33,8 +39,30 @@ Clock = int | Callable[[], int] | None
 
 
 def checked_stream(raw: DataFrame) -> DataFrame:
-    """Validated records.  No watermark: a lagging shard loses nothing, and what was seen before is told by the ledger."""
-    return validate(route(raw), sensor="partition_key")
+    """Every raw record as it came, with its validated fields and the sensor its topic names.
+
+    Records of other topics have no such sensor: they are archived, and go no further.  No watermark: a lagging shard loses
+    nothing, and what was seen before is told by the ledger.
+    """
+    return validate(raw.withColumn(ROUTED, topic_sensor(F.col("topic"))), sensor=ROUTED)
+
+
+def archive_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Raw records of one batch as gzip JSON by arrival day, in partitions that a replay overwrites.
+
+    The batch's partition has a name of its own, as raw records may carry a ``batch_id``.
+    """
+    (
+        archive_parts(rows, F.timestamp_millis("arrival_ms"))
+        .hint("rebalance", *ARCHIVE_DAY)
+        .withColumn("ingest_batch", F.lit(batch_id).cast("bigint"))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*ARCHIVE_DAY, "ingest_batch")
+        .option("compression", "gzip")
+        .option("maxRecordsPerFile", ARCHIVE_ROWS_PER_FILE)
+        .json(path)
+    )
 
 
 def _arrival_day(ms: str) -> Column:
@@ -120,10 +148,23 @@ class IngestTarget:
     def counts(self) -> str:
         return f"{self.root}/counts"
 
+    @property
+    def processed(self) -> str:
+        return f"{self.root}/metrics/processed"
+
+    @property
+    def failures(self) -> str:
+        return f"{self.root}/metrics/failures"
+
     @property
     def archive(self) -> str:
         return f"{self.root}/archive"
 
+    @property
+    def raw_archive(self) -> str:
+        """What ingest archives; ``run_archive`` keeps a log of its own files in the folder above."""
+        return f"{self.archive}/raw"
+
     @property
     def checkpoint(self) -> str:
         return f"{self.root}/checkpoint"
@@ -142,24 +183,29 @@ def _batch_time(spark: SparkSession, target: IngestTarget, batch_id: int, clock:
 def store_batch(target: IngestTarget, as_of_ms: Clock = None):
     """The function each micro-batch of ``checked_stream`` is handed to.
 
-    Every record ends in one place: readings, quarantine (rejected, or given up by age or tries), or it is counted as
-    redelivered or duplicate.  ``as_of_ms`` is the time of processing that ages count from: a fixed one, or a function that
-    is asked for each batch of a job that runs on.  A replay of old records has none, and then only tries count.
+    Every raw record is archived.  Every telemetry record also ends in one place: readings, quarantine (rejected, or given up
+    by age or tries), or it is counted as redelivered or duplicate.  Metrics are kept per minute of arrival: events and
+    latency of what was stored, records that validation refused, duplicate writes.  ``as_of_ms`` is the time of processing
+    that ages count from: a fixed one, or a function that is asked for each batch of a job that runs on.  A replay of old
+    records has none, and then only tries count.
     """
     ledger, keys, readings = target.ledger_table, target.keys_table, target.readings_table
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
+        spark, started = batch.sparkSession, time.monotonic()
         now = _batch_time(spark, target, batch_id, as_of_ms)
         # Several writes use the batch: it is parsed once into a shared folder, which the next batch overwrites.
         batch.write.mode("overwrite").parquet(target.staging)
         rows = spark.read.schema(batch.schema).parquet(target.staging)
+        archive_batch(rows.drop(*CHECKED), target.raw_archive, batch_id)
+        rows = rows.where(F.col(ROUTED).isNotNull()) if ROUTED in rows.columns else rows
         attempts = F.col("attempts") if "attempts" in rows.columns else F.lit(1)
         aged = is_exhausted(F.lit(1), F.col("arrival_ms"), now) if now is not None else F.lit(False)
         tired = attempts > MAX_ATTEMPTS
         reasons = F.when(aged, F.array(F.lit("aged"))).when(tired, F.array(F.lit("exhausted"))).otherwise(F.col("errors"))
         rows = rows.withColumn("errors", reasons)
         ok = F.size("errors") == 0
+        refused = rows.where(~ok & ~F.coalesce(aged | tired, F.lit(False)))
         quarantined = rows.where(~ok).select("shard_id", "sequence_number", "topic", "payload", "errors", "arrival_ms")
         write_batch(quarantined, target.quarantine, batch_id)
         # What ledger and readings are made from is told from copies once, without the columns that are not stored.
@@ -170,13 +216,17 @@ def store_batch(target: IngestTarget, as_of_ms: Clock = None):
         write_ledger(fresh, ledger, batch_id)
         new = with_keys(unstored(with_event_date(fresh), keys, batch_id))
         readings.put(new, batch_id)
+        latency_ms = round((time.monotonic() - started) * 1000)
         # From the stored rows: keys never name a reading that is not there.
         mine = F.col("batch_id") == batch_id
-        keys.put(readings.all_rows(spark).where(mine), batch_id)
+        kept, written = (table.all_rows(spark).where(mine) for table in (readings, ledger))
+        keys.put(kept, batch_id)
+        write_batch(metrics.processed_per_minute(kept, latency_ms), target.processed, batch_id)
+        write_batch(metrics.failures_per_minute(refused, written, kept), target.failures, batch_id)
         # Counted from what was stored, so that the numbers are right after a lost executor or a replay too.
         tally = rows.agg(F.count("*").alias("records"), F.count_if(~ok).alias("quarantined"))
-        for table, name in ((ledger, "processed"), (readings, "kept")):
-            tally = tally.join(table.all_rows(spark).where(mine).agg(F.count("*").alias(name)))
+        for stored, name in ((written, "processed"), (kept, "kept")):
+            tally = tally.join(stored.agg(F.count("*").alias(name)))
         tally = tally.selectExpr("records", "quarantined", "records - quarantined - processed AS redelivered", "processed - kept AS duplicates", "kept")
         write_batch(tally.where("records > 0"), target.counts, batch_id)
         if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
@@ -242,7 +292,7 @@ def run_ingest(raw: DataFrame, target: IngestTarget, as_of_ms: Clock = None, eve
 
 
 def run_archive(raw: DataFrame, target: IngestTarget) -> None:
-    """Archive every raw record, copies included, by arrival day."""
+    """Archive every raw record, copies included, by arrival day: for records that no ingest job archives."""
     writer = (
         archive_parts(raw)
         .writeStream.format("json")

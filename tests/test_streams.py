@@ -93,6 +93,103 @@ def test_one_file_is_parsed_by_many_tasks_and_told_from_copies_once(spark, folde
     assert "payload" not in fresh.columns and kept(spark, target.readings) == kept_of(run.kept)
 
 
+RAW = ("shard_id", "sequence_number", "topic", "payload", "arrival_ms")
+
+
+def archived(spark, target):
+    schema = "shard_id string, sequence_number string, topic string, payload string, arrival_ms bigint, attempts int"
+    return spark.read.schema(schema).json(target.raw_archive)
+
+
+def in_order(frame, *columns):
+    return sorted(map(tuple, frame.select(*columns).collect()), key=str)
+
+
+def test_one_job_archives_and_counts_what_it_ingests(spark, folder):
+    """Over batches and a restart: every raw record in the archive, other topics too, and the metrics of the batch forms."""
+    from amperline.operators import metrics
+    from amperline.streaming import metrics as stream_metrics
+
+    target = streaming.IngestTarget(f"{folder}/out")
+    for i in raw_files(spark, f"{folder}/in", 4):
+        if i % 2:
+            streaming.run_ingest(stream(spark, f"{folder}/in"), target)
+    raw = samples.raw_telemetry(spark, FOLDER)
+    run = ingest(raw)
+    assert run.checked.count() < raw.count()
+    assert in_order(archived(spark, target), *RAW) == in_order(raw, *RAW)
+    days = archived(spark, target).groupBy("year", "month", "day").agg(F.count("*").alias("records"), F.sum(F.char_length("payload")).alias("payload_chars"))
+    days = days.select(F.format_string("%04d", "year"), F.format_string("%02d", "month"), F.format_string("%02d", "day"), "records", "payload_chars")
+    assert in_order(days, "*") == in_order(stores.archive_daily_counts(raw), "*")
+
+    seen = stream_metrics.processed_counts(spark, target.processed)
+    assert in_order(seen, "minute_ms", "readingType", "events") == in_order(metrics.events_by_type(samples.processing_log(run.kept)), "minute_ms", "readingType", "events")
+    columns = ("minute_ms", "validation_errors", "partial_batch_failures", "duplicate_writes")
+    want = in_order(metrics.failure_counters(run.checked, run.writes), *columns)
+    assert in_order(stream_metrics.failure_counts(spark, target.failures), *columns) == want and any(r[3] for r in want)
+    latency = stream_metrics.processing_latency(spark, target.processed)
+    assert latency.columns == metrics.latency_percentiles(samples.processing_log(run.kept)).columns
+    assert latency.where("0 < p50 AND p50 <= p95 AND p95 <= p99").count() == latency.count() == seen.count()
+
+
+def test_the_query_runs_every_step(spark, folder, monkeypatch):
+    from amperline.plans import catalog
+
+    monkeypatch.setattr(catalog, "shared_folder", lambda spark, purpose: f"{folder}/{purpose}")
+    rows, target = catalog.QUERIES["stream_ingest"](spark, FOLDER), streaming.IngestTarget(f"{folder}/ingest")
+    raw = samples.raw_telemetry(spark, FOLDER)
+    assert in_order(archived(spark, target), *RAW) == in_order(raw, *RAW)
+    assert spark.read.parquet(target.processed).agg(F.sum("events")).first()[0] == rows.count()
+    assert spark.read.parquet(target.failures).agg(F.sum("validation_errors")).first()[0] == spark.read.parquet(target.quarantine).count()
+
+
+def test_archive_and_metrics_of_odd_records_and_replays(spark, folder):
+    from amperline.streaming import metrics as stream_metrics
+
+    def text(value, kind="voltage"):
+        return f'{{"sensorId":"sensor-1","timestamp":"2024-01-01T00:00:0{value}Z","readingType":"{kind}","value":{value},"unit":"V"}}'
+
+    now, topic = 1_704_067_200_000 + 26 * 3_600_000, "sensors/sensor-1/telemetry"
+    recent = now - 600_000
+    rows = [
+        ("a", "1", topic, text(1), recent, 1),
+        ("a", "1", topic, text(1), recent + 60_000, 2),  # redelivered
+        ("a", "2", topic, text(1), recent + 60_000, 1),  # a duplicate write
+        ("b", "1", topic, text(2, "current"), recent, 1),
+        ("b", "2", topic, "{", recent, 1),
+        ("b", "3", topic, None, recent + 60_000, 1),
+        ("b", "4", topic, text(3), recent, 6),  # tried too often
+        ("b", "5", topic, "{", now - 25 * 3_600_000, 1),  # too old
+        ("b", "6", "sensors/sensor-1/status", "on", recent, 1),
+        (None, None, None, text(4), recent, 1),
+    ]
+    raw = spark.createDataFrame(rows, "shard_id string, sequence_number string, topic string, payload string, arrival_ms bigint, attempts int")
+    target = streaming.IngestTarget(f"{folder}/out", 2)
+    store = streaming.store_batch(target, now)
+
+    def found():
+        counters = stream_metrics.failure_counts(spark, target.failures)
+        return (
+            in_order(archived(spark, target), *RAW, "attempts"), in_order(stream_metrics.processed_counts(spark, target.processed), "*"),
+            in_order(counters, "*"), [tuple(r) for r in spark.read.parquet(target.counts).orderBy("batch_id").drop("batch_id").collect()],
+        )
+
+    store(streaming.checked_stream(raw), 0)
+    once = found()
+    assert once[0] == sorted(rows, key=str)
+    assert once[1] == [(recent, "current", 1), (recent, "voltage", 1)]
+    assert once[2] == [(recent, 1, 1, 0), (recent + 60_000, 1, 1, 1)]
+    assert once[3] == [(8, 4, 1, 1, 2)]
+    store(streaming.checked_stream(raw), 0)
+    assert found() == once
+    # New sequence numbers for stored keys: archived again, and counted as duplicate writes of their minutes.
+    again = raw.where("attempts = 1 AND topic = 'sensors/sensor-1/telemetry'").withColumn("sequence_number", F.concat("sequence_number", F.lit("-2")))
+    store(streaming.checked_stream(again), 1)
+    both = found()
+    assert len(both[0]) == len(rows) + 6 and both[1] == once[1]
+    assert both[2] == [(recent, 2, 2, 2), (recent + 60_000, 2, 2, 2)]
+
+
 def test_archive_holds_all_records(spark, folder):
     target = streaming.IngestTarget(f"{folder}/out")
     for _ in raw_files(spark, f"{folder}/in", 2):
